@@ -59,7 +59,9 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     out *= np.uint64(0xBF58476D1CE4E5B9)
     out ^= out >> np.uint64(32)
     out *= np.uint64(0x94D049BB133111EB)
-    return np.unique(out ^ (out >> np.uint64(29)))
+    out ^= out >> np.uint64(29)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 @lru_cache(maxsize=1)
@@ -119,28 +121,34 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of (a, b); the component is named by its smallest node.
 
-    Randomised contraction: each round every node moves to the neighbour, or itself, of the least random rank, so
-    the graph shrinks by a constant factor whatever its shape, and rounds grow with the logarithm of its size.
+    Contraction: each round every node moves to the least of itself and its neighbours, then the graph of the moved
+    nodes is taken.  Odd rounds order nodes by id, which ends a star about its smallest node at once; even rounds
+    order them by a random rank, which shrinks a graph of any shape by a constant factor, so that rounds grow with
+    the logarithm of its size.
     """
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    mapping = cut(both.select(F.col("a").alias("node"), F.col("a").alias("to")).distinct())
-    turn = 0
+    rounds: list[DataFrame] = []
     while not both.isEmpty():
-        turn += 1
+        turn = F.lit(len(rounds))
 
-        def rank(column: str, turn: int = turn) -> F.Column:
-            return F.struct(F.xxhash64(F.col(column), F.lit(turn)).alias("r"), F.col(column).alias("v"))
+        def rank(column: str, turn: F.Column = turn) -> F.Column:
+            return F.struct((F.xxhash64(F.col(column), turn) if len(rounds) % 2 else F.lit(0)).alias("r"), F.col(column).alias("v"))
 
         moves = cut(both.groupBy("a").agg(F.least(F.min(rank("b")), F.min(rank("a"))).alias("m")).select(F.col("a").alias("v"), F.col("m.v").alias("w")))
-        mapping = cut(mapping.join(moves, mapping["to"] == moves["v"], "left").select("node", F.coalesce("w", "to").alias("to")))
-        left = both.join(moves.select(F.col("v").alias("a"), F.col("w").alias("x")), "a").select("x", "b")
+        left = both.join(moves.select(F.col("v").alias("a"), F.col("w").alias("x")), "a").where("b <> x").select("x", "b")
         both = cut(left.join(moves.select(F.col("v").alias("b"), F.col("w").alias("y")), "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        rounds.append(moves)
+    if not rounds:
+        return both.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    mapping = rounds[0].select(F.col("v").alias("node"), F.col("w").alias("to"))
+    for moves in rounds[1:]:
+        mapping = mapping.join(moves, mapping["to"] == moves["v"], "left").select("node", F.coalesce("w", "to").alias("to"))
     names = mapping.groupBy("to").agg(F.min("node").alias("component"))
     return cut(mapping.join(names, "to").select("node", "component"))
 
 
 def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross: bool) -> list[tuple[int, int]]:
-    """Spanning links among the sets, or between the two sides, by exact comparison.
+    """(member, smallest member) of what is linked among the sets, or between the two sides, by exact comparison; ``ids`` ascend.
 
     Shingles are ordered by how many of the sets hold them.  Two sets with the similarity asked for share a shingle
     among the first n - ceil(PERCENT n / 100) + 1 of each, so only sets that meet there are compared, and none that
@@ -164,7 +172,7 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross
         listed = short
     by = np.argsort(code[listed], kind="stable")
     post, key = owner[listed][by], code[listed][by]
-    component, links = np.arange(n), []
+    component = np.arange(n)
     mark = np.zeros(len(held), dtype=bool)
     for x in np.flatnonzero(side == 0) if cross else range(n):
         mine = code[start[x] : start[x] + sizes[x]]
@@ -179,9 +187,10 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross
         mark[mine] = False
         for y in met[100 * shared >= PERCENT * (sizes[met] + sizes[x] - shared)]:
             if component[y] != component[x]:
-                component[component == component[y]] = component[x]
-                links.append((int(ids[x]), int(ids[y])))
-    return links
+                one, two = sorted((component[x], component[y]))
+                component[component == two] = one
+    least = ids[component]
+    return [(int(a), int(b)) for a, b in zip(ids, least, strict=True) if a != b]
 
 
 def _slices(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
