@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -33,3 +34,9 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
     return spark
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder name in the folder that driver and executors share; a local one only where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tapelake-")
+    return f"{root}/{uuid.uuid4().hex}"
