@@ -258,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return {"doc_id": got["doc_id"], "y": got["_y"], "x": list(pooler.pool(got["text"]))}
 
     features = map_batches(rows, "doc_id long, y double, x array<float>", run, "text").orderBy("doc_id", "y").toPandas()
-    x = np.array(features["x"].to_list(), dtype=np.float32).reshape(len(features), -1)
+    x = np.array(features["x"].to_list(), dtype=np.float32).reshape(len(features), FEATURES)
     return Model(context=context, **train_network(x, features["y"].to_numpy()))
 
 
