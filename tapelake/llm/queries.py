@@ -59,9 +59,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    words = lm_score.vocabulary(docs)
-    return lm_score.score(docs, words, lm_score.train(docs, words))
+    return lm_score.score_corpus(table(spark, sf_dir, "documents"))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
