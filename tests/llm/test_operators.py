@@ -233,3 +233,11 @@ def test_lm(spark, hard, empty):
         want += z[classes[i]] - np.log(np.exp(z).sum())
     assert lm_score.log_likelihood(lm_score.unpack(weights), classes) == pytest.approx(want, rel=1e-4)
     assert lm_score.score(empty, lm_score.vocabulary(empty), lm_score.train(empty, words)).count() == 0
+
+
+def test_lm_encoding_once_changes_nothing(spark, hard, empty):
+    words = lm_score.vocabulary(hard)
+    want = lm_score.score(hard, words, lm_score.train(hard, words)).collect()
+    key = lambda r: (str(r["doc_id"]), r["n_words"], r["log_likelihood"])
+    assert sorted(lm_score.score_corpus(hard).collect(), key=key) == sorted(want, key=key)
+    assert lm_score.score_corpus(empty).count() == 0
