@@ -70,8 +70,9 @@ class WordCodec:
         return found
 
     def _word(self, word: str) -> bytes:
-        if PLAIN.fullmatch(word) and "<|" not in word:
-            found = b"".join(map(self._piece, PIECES.findall(word.lower())))
+        low = word.lower()  # some letters have their small form outside the plain range
+        if PLAIN.fullmatch(word) and PLAIN.fullmatch(low) and "<|" not in word:
+            found = b"".join(map(self._piece, PIECES.findall(low)))
         else:
             found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(self.words) < CACHE:

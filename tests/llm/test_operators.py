@@ -106,7 +106,7 @@ def test_word_codec():
 
     path = vocabulary_file("word_bpe_49k.json")
     truth = Tokenizer.from_file(path)
-    for text in ["", "Don't STOP", "a b", "İstanbul ΣΑΣ", "éa", "12ab!!'s'S", "<|startoftext|>q", "日本 ½", "ƻ ŉ \x1c 　z\n\n"]:
+    for text in ["", "Don't STOP", "a b", "İstanbul ΣΑΣ", "éa", "12ab!!'s'S", "<|startoftext|>q", "日本 ½", "ƻ ŉ \x1c 　z\n\n", "aƁb Ⱥ1 ȾȾ Ǆ"]:
         assert np.frombuffer(packing.codec(path).encode(text), "<u4").tolist() == truth.encode(text, add_special_tokens=False).ids
 
 
