@@ -4,7 +4,7 @@ Every segment of a turn (opening mark, role, text, closing mark) is encoded by i
 beyond the vocabulary, which no text can encode to.  Control strings inside texts are escaped besides, so that the
 formatted string can be read back as well: a ``<`` followed by k backslashes and a ``|`` gets one more backslash.
 The loss mask comes from prefix sums over segment lengths.  A turn is one row, so encoding spreads over all rows
-whatever the length of a conversation; only digests walk a conversation in order, as a stream.
+whatever the length of a conversation, and so does decoding; only digests walk a conversation in order, as a stream.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import map_batches
+from tapelake.llm.common import map_batches, steps
 
 START, STOP = "<|im_start|>", "<|im_end|>"
 #: Roles whose text is learned from.
@@ -28,6 +28,11 @@ _CONTROL = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 
 
+def tie() -> F.Column:
+    """Order of turns with the same number and role, the same whatever the layout."""
+    return F.xxhash64("ids")
+
+
 def escape(text: str) -> str:
     return _CONTROL.sub(r"<\\\1|", text)
 
@@ -96,7 +101,7 @@ def format_turns(df: DataFrame, path: str) -> DataFrame:
     """Token rows of the turns in (conv_id, turn, role, text): ids and mask (one byte a token) as binary.
 
     Null roles and texts count as empty, null conversations stay together; a role's line feeds become blanks, as a
-    line feed ends the role.  Turns with the same number are ordered by role and text; repeated rows stay.
+    line feed ends the role.  Turns with the same number are ordered by role and ``tie``; repeated rows stay.
     """
 
     def run(rows: dict) -> dict:
@@ -109,7 +114,7 @@ def format_turns(df: DataFrame, path: str) -> DataFrame:
 
 def with_offsets(turns: DataFrame) -> DataFrame:
     """Add token_start, the turn's place in its conversation's token stream."""
-    window = Window.partitionBy("conv_id").orderBy("turn", "role", "ids").rowsBetween(Window.unboundedPreceding, -1)
+    window = Window.partitionBy("conv_id").orderBy("turn", "role", tie()).rowsBetween(Window.unboundedPreceding, -1)
     return turns.withColumn("token_start", F.coalesce(F.sum("n_tokens").over(window), F.lit(0)))
 
 
@@ -119,11 +124,20 @@ DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 def read_back(turns: DataFrame, path: str) -> DataFrame:
     """Digests of each conversation, decoded from its tokens.
 
-    Turns are sorted by conversation within a partition and read as a stream with running digests, so a conversation
-    of any length takes constant memory.
+    Turns are decoded where they lie.  Then they are sorted by conversation within a partition and read as a stream
+    with running digests, so a conversation of any length takes constant memory and its one task hashes only.
     """
     arrow = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
+    def decode(rows: dict) -> dict:
+        read = [codec(path).read(np.frombuffer(i, dtype="<u4"), np.frombuffer(m, dtype=bool)) for i, m in zip(rows["ids"], rows["mask"], strict=True)]
+        return {k: rows[k] for k in ("conv_id", "turn", "tie")} | {
+            "formatted_chars": [len(formatted) for formatted, *_ in read],
+            "role": [role for _, role, *_ in read],
+            "text": [text for _, _, text, _ in read],
+            "learned": [None if learned == text else learned for *_, text, learned in read],  # null: the whole text
+        }
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state, done = None, None, []
 
@@ -137,22 +151,23 @@ def read_back(turns: DataFrame, path: str) -> DataFrame:
             return batch
 
         for batch in batches:
-            at = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            for conv, ids, mask in zip(at["conv_id"].to_pylist(), at["ids"].to_pylist(), at["mask"].to_pylist(), strict=True):
-                if state is None or conv != key:
-                    finish()
-                    key, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                formatted, role, text, learned = codec(path).read(np.frombuffer(ids, dtype="<u4"), np.frombuffer(mask, dtype=bool))
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                state[2] += len(learned)
-                state[3].update(learned.encode())
-                state[4] += len(formatted)
+            for part in steps(batch, "text"):
+                for conv, role, text, learned, size in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    if state is None or conv != key:
+                        finish()
+                        key, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    learned = text if learned is None else learned
+                    state[0] += 1
+                    state[1].update(f"{role}\n{text}\n".encode())
+                    state[2] += len(learned)
+                    state[3].update(learned.encode())
+                    state[4] += size
             if done:
                 yield flush()
         finish()
         if done:
             yield flush()
 
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids").select("conv_id", "ids", "mask")
+    read = map_batches(turns.select("conv_id", "turn", tie().alias("tie"), "ids", "mask"), "conv_id long, turn long, tie long, role string, text string, learned string, formatted_chars long", decode, "ids")
+    ordered = read.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "tie").select("conv_id", "role", "text", "learned", "formatted_chars")
     return ordered.mapInArrow(run, DIGESTS)
