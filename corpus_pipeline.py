@@ -12,6 +12,9 @@ from tapelake.llm import near_duplicates, packing, quality_classifier, quality_r
 from tapelake.llm.common import cut, table
 from tapelake.llm.queries import vocabulary_file
 
+#: Least similarity of near-duplicates in hundredths.
+LINK_PERCENT = 80
+
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
@@ -24,8 +27,8 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_duplicates.deduplicate(docs)
+    """One document of each group of near-duplicates, linked at similarity 0.8 or more."""
+    return near_duplicates.deduplicate(docs, percent=LINK_PERCENT)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from tapelake.llm.common import ascii_words, cut, map_batches
 
-#: Words of a shingle, and the least Jaccard similarity of a link in hundredths.
+#: Words of a shingle, and the least Jaccard similarity of a link in hundredths where a caller names none.
 WIDTH, PERCENT = 5, 85
-#: Slots of a sketch and slots of a band: at similarity 0.85 all bands miss with probability 2e-8.
-SLOTS, BAND = 240, 6
+#: Slots of a sketch, and the chance with which all bands of a pair of the least similarity may miss.
+SLOTS, MISS = 240, 1e-7
 #: Shingle hashes of a block; two blocks meet in one task.
 BLOCK = 1 << 19
 #: Words whose hash a worker keeps.
@@ -109,10 +109,17 @@ def sketches(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     return map_batches(df.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")), "id long, n_shingles long, k1 long, k2 long, sketch binary", run, "text")
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
+def band_slots(percent: int) -> int:
+    """Slots of a band: the most with which a pair of that similarity is missed by all bands with a chance below MISS."""
+    fit = [w for w in range(1, SLOTS + 1) if SLOTS % w == 0 and (1 - (percent / 100) ** w) ** (SLOTS // w) < MISS]
+    return max(fit, default=1)
+
+
+def candidate_edges(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): each member of a bucket of two or more with the bucket's smallest id, once."""
-    wide = 4 * BAND
-    hashes = F.array(*(F.xxhash64(F.substring("sketch", 1 + i * wide, wide), F.lit(i)) for i in range(SLOTS // BAND)))
+    band = band_slots(percent)
+    wide = 4 * band
+    hashes = F.array(*(F.xxhash64(F.substring("sketch", 1 + i * wide, wide), F.lit(i)) for i in range(SLOTS // band)))
     bands = classes.where("rep is not null").select("rep", F.explode(hashes).alias("bucket"))
     stars = cut(bands.groupBy("bucket").agg(F.min("rep").alias("center"), F.count("rep").alias("n")).where("n > 1").select("bucket", "center"))
     return bands.join(stars, "bucket").where("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
@@ -147,11 +154,11 @@ def components(edges: DataFrame) -> DataFrame:
     return cut(mapping.join(names, "to").select("node", "component"))
 
 
-def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross: bool) -> list[tuple[int, int]]:
+def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross: bool, percent: int = PERCENT) -> list[tuple[int, int]]:
     """(member, smallest member) of what is linked among the sets, or between the two sides, by exact comparison; ``ids`` ascend.
 
     Shingles are ordered by how many of the sets hold them.  Two sets with the similarity asked for share a shingle
-    among the first n - ceil(PERCENT n / 100) + 1 of each, so only sets that meet there are compared, and none that
+    among the first n - ceil(percent n / 100) + 1 of each, so only sets that meet there are compared, and none that
     are connected already.
     """
     n = len(sets)
@@ -164,7 +171,7 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross
     order = np.lexsort((code, owner))
     code = code[order]
     start = np.cumsum(sizes) - sizes
-    prefix = sizes - -(-PERCENT * sizes // 100) + 1
+    prefix = sizes - -(-percent * sizes // 100) + 1
     short = np.arange(len(code)) - np.repeat(start, sizes) < np.repeat(prefix, sizes)
     if cross:
         listed = short & (side[owner] == 1)
@@ -179,13 +186,13 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross
         lo, hi = np.searchsorted(key, mine[: prefix[x]], "left"), np.searchsorted(key, mine[: prefix[x]], "right")
         met = _slices(post, lo, hi - lo)
         met = np.unique(met[component[met] != component[x]])
-        met = met[(100 * np.minimum(sizes[met], sizes[x]) >= PERCENT * np.maximum(sizes[met], sizes[x]))]
+        met = met[(100 * np.minimum(sizes[met], sizes[x]) >= percent * np.maximum(sizes[met], sizes[x]))]
         if not len(met):
             continue
         mark[mine] = True
         shared = np.add.reduceat(mark[_slices(code, start[met], sizes[met])].astype(np.int64), np.cumsum(sizes[met]) - sizes[met])
         mark[mine] = False
-        for y in met[100 * shared >= PERCENT * (sizes[met] + sizes[x] - shared)]:
+        for y in met[100 * shared >= percent * (sizes[met] + sizes[x] - shared)]:
             if component[y] != component[x]:
                 one, two = sorted((component[x], component[y]))
                 component[component == two] = one
@@ -198,9 +205,9 @@ def _slices(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarr
     return values[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
 
-def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(a, b): links between class representatives, enough of them to connect all that are linked."""
-    families = components(candidate_edges(classes))
+    families = components(candidate_edges(classes, percent))
     members = families.join(classes.select("rep", "n_shingles", "k1", "k2"), F.col("node") == F.col("rep")).select("rep", "n_shingles", "k1", "k2", F.col("component").alias("family"))
     sizes = members.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
     placed = cut(members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
@@ -218,15 +225,16 @@ def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text:
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("rep").sort_values("rep")
         side = (rows["block"].to_numpy() == key[2]).astype(int)
-        found = block_links(rows["rep"].to_numpy(), [np.frombuffer(m, dtype=np.uint64) for m in rows["members"]], side, key[1] != key[2])
+        found = block_links(rows["rep"].to_numpy(), [np.frombuffer(m, dtype=np.uint64) for m in rows["members"]], side, key[1] != key[2], percent)
         return pd.DataFrame(found, columns=["a", "b"])
 
     return dealt.groupBy("family", "x", "y").applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; kept marks one document of each component.
 
+    Sets are linked from a Jaccard similarity of ``percent`` hundredths on.
     Null texts and texts without words have empty sets and are linked with nothing.  Rows that repeat an id share
     its verdict if their texts agree; with differing texts each row follows its own text.  A row with a null id
     follows the documents with its set; alone, its component is null and it is kept.  Other columns are ignored.
@@ -234,14 +242,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows = cut(sketches(docs, id_column, text))
     full = rows.where("n_shingles > 0")
     classes = cut(full.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
-    joined = components(links(docs, classes, id_column, text))
+    joined = components(links(docs, classes, id_column, text, percent))
     named = cut(classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id")))
     out = rows.select("id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, without those that near_duplicates doesn't keep."""
-    dropped = near_duplicates(docs, id_column, text).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = near_duplicates(docs, id_column, text, percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_dropped")).distinct()
     return docs.join(dropped, docs[id_column].cast("long") == F.col("_dropped"), "left_anti")

@@ -63,7 +63,7 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
