@@ -1,7 +1,9 @@
 """The corpus operators do the whole job: each test holds what an earlier version cut."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from tapelake.llm import near_duplicates
+from tapelake.llm import near_duplicates, quality_rules
 
 
 def copies(spark, changed):
@@ -17,3 +19,10 @@ def test_pipeline_links_from_80_percent(spark):
     assert near_duplicates.deduplicate(near, percent=85).count() == 2
     assert corpus_pipeline.drop_near_duplicates(spark, copies(spark, 12), "").count() == 2  # 88 of 112: 0.786
     assert [near_duplicates.band_slots(p) for p in (85, 80)] == [6, 5]
+
+
+def test_pipeline_keeps_clean_text_of_any_length(spark):
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(1_000_001)), lambda i: i.cast("string")), " ")
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert corpus_pipeline.apply_rules(spark, docs, "").count() == 1
+    assert "many_words" in {r.name for r in quality_rules.RULES}  # the SQL of op9 names it
