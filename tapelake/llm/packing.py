@@ -28,8 +28,6 @@ WINDOW, GRAIN, SHARD = 4096, 32, 1024
 END = 2
 #: The usual BM25 constants.
 K1, B = 1.2, 0.75
-#: Terms of a seed with which the index is searched: those of highest inverse document frequency times saturation.
-QUERY_TERMS = 48
 #: Entries at which a worker's caches stop growing; common words come early.
 CACHE = 300_000
 
@@ -149,7 +147,7 @@ def profile(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
             terms, counts = np.unique(np.frombuffer(raw, dtype="<u4")[:-1], return_counts=True)
             out["tokens"].append(len(raw) // 4)
             out["terms"].append(terms.astype("<u4").tobytes())
-            out["counts"].append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+            out["counts"].append(counts.astype("<u4").tobytes())
             out["grains"].append(grain_checksums(raw))
         return out
 
@@ -176,15 +174,13 @@ class _Index:
         at = np.searchsorted(self.vocabulary, term)
         self.weight = (saturated * self.idf[at])[order]
         self.bounds = np.append(0, np.cumsum(sizes))
-        self.at, self.strength = at, saturated * self.idf[at]
+        self.at = at
 
     def search(self, seed: int) -> np.ndarray:
-        """BM25 score of every document for the seed's strongest terms."""
-        lo, hi = self.bounds[seed], self.bounds[seed + 1]
-        at = self.at[lo:hi]
-        if len(at) > QUERY_TERMS:
-            at = at[np.argpartition(-self.strength[lo:hi], QUERY_TERMS)[:QUERY_TERMS]]
+        """BM25 score of every document for all terms of the seed; those without another holder can't rank any."""
+        at = self.at[self.bounds[seed] : self.bounds[seed + 1]]
         size = self.size[at]
+        at, size = at[size > 1], size[size > 1]
         total = int(size.sum())
         begins = np.cumsum(size) - size
         rows = np.repeat(self.start[at] - begins, size) + np.arange(total)
@@ -197,7 +193,7 @@ def pack_shard(shard: int, docs: pd.DataFrame) -> pd.DataFrame:
     n = len(docs)
     tokens = docs["tokens"].to_numpy()
     grains = [np.frombuffer(g, dtype="<u4") for g in docs["grains"]]
-    index = _Index([np.frombuffer(t, dtype="<u4").astype(np.int64) for t in docs["terms"]], [np.frombuffer(c, dtype=np.uint8) for c in docs["counts"]])
+    index = _Index([np.frombuffer(t, dtype="<u4").astype(np.int64) for t in docs["terms"]], [np.frombuffer(c, dtype="<u4") for c in docs["counts"]])
     start = np.zeros(n, dtype=np.int64)
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence = 0

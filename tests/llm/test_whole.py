@@ -1,9 +1,12 @@
 """The corpus operators do the whole job: each test holds what an earlier version cut."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tapelake.llm import near_duplicates, quality_rules
+from tapelake.llm import near_duplicates, packing, quality_rules
+from tapelake.llm.queries import vocabulary_file
 
 
 def copies(spark, changed):
@@ -26,3 +29,21 @@ def test_pipeline_keeps_clean_text_of_any_length(spark):
     docs = spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text"))
     assert corpus_pipeline.apply_rules(spark, docs, "").count() == 1
     assert "many_words" in {r.name for r in quality_rules.RULES}  # the SQL of op9 names it
+
+
+def profiles(rows):
+    """Rows as ``packing.profile`` gives them, from (id, tokens, {term: count})."""
+    packed = [(i, n, np.array(sorted(t), "<u4").tobytes(), np.array([t[k] for k in sorted(t)], "<u4").tobytes(), bytes(4 * -(-n // packing.GRAIN))) for i, n, t in rows]
+    return pd.DataFrame(packed, columns=["id", "tokens", "terms", "counts", "grains"])
+
+
+def test_packing_searches_with_all_terms_of_a_seed():
+    seed = {term: 10 for term in range(60)} | {100: 1}
+    got = packing.pack_shard(0, profiles([(1, 3000, seed), (2, 1500, {200: 9}), (3, 1400, {100: 9, 201: 9})]))
+    assert got[got["sequence_id"] == 0]["doc_id"].tolist() == [1, 3]
+
+
+def test_packing_counts_every_occurrence(spark):
+    text = "word " * 1000
+    row = packing.profile(spark.createDataFrame([(1, text)], "doc_id long, text string"), vocabulary_file("word_bpe_49k.json")).first()
+    assert np.frombuffer(row["counts"], "<u4").sum() == row["tokens"] - 1 >= 1000
