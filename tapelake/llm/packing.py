@@ -1,8 +1,9 @@
 """Lexical retrieval packing: sequences filled with related documents.
 
-Documents are dealt to shards of about SHARD documents by a hash of their id; a shard holds a BM25 inverted index of
-its own documents, as document-partitioned search engines do.  Whole windows of a long document are sequences of
-their own.  What remains seeds windows, longest first: the index ranks the unused documents by BM25 against the seed
+Documents are dealt to shards of about SHARD documents by their content: a tree splits the corpus at the median of the
+direction in which a node's BM25 vectors vary most, so that neighbours tend to share a leaf.  A shard holds an inverted
+index of its own documents with the document frequencies and mean length of the whole corpus; neighbours in other
+shards are not found.  Whole windows of a long document are sequences of their own.  What remains seeds windows, longest first: the index ranks the unused documents by BM25 against the seed
 and they fill its window greedily.  The last one is cut at a multiple of GRAIN tokens; its rest stays unused and is
 indexed like any other document.
 
@@ -14,20 +15,25 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import map_batches
+from tapelake.llm.common import cut, map_batches
 
 WINDOW, GRAIN, SHARD = 4096, 32, 1024
 #: Id that ends a document.
 END = 2
 #: The usual BM25 constants.
 K1, B = 1.2, 0.75
+#: Dimensions of the projected vectors that place documents, and documents of a shard that shape the tree.
+DIMENSIONS, PER_SHARD = 64, 16
 #: Entries at which a worker's caches stop growing; common words come early.
 CACHE = 300_000
 
@@ -154,25 +160,142 @@ def profile(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
     return map_batches(df.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")), "id long, tokens long, terms binary, counts binary, grains binary", run, "text")
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """What BM25 needs of the corpus: documents, their mean length, and how many hold each term (all below the vocabulary's size)."""
+
+    n: int
+    mean: float
+    held: np.ndarray
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        held = self.held[terms]
+        return np.log1p((self.n - held + 0.5) / (held + 0.5))
+
+    def saturated(self, counts: np.ndarray, length: np.ndarray | float) -> np.ndarray:
+        return counts * (K1 + 1) / (counts + K1 * (1 - B + B * length / self.mean))
+
+
+def statistics(profiles: DataFrame) -> Statistics:
+    """Count over the whole corpus; the driver gets one row for each term of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, length = np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            for terms, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(terms, "<u4")
+                if len(own) and own[-1] >= len(held):
+                    held = np.append(held, np.zeros(int(own[-1]) + 1 - len(held), np.int64))
+                held[own] += 1
+                n += 1
+                length += int(np.frombuffer(counts, "<u4").sum())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-2, len(held))), pa.array(np.append([n, length], held))], names=["term", "n"])
+
+    rows = profiles.select("terms", "counts").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    counted = np.zeros(3 + int(rows["term"].max()) if len(rows) else 2, dtype=np.int64)
+    counted[rows["term"].to_numpy() + 2] = rows["n"].to_numpy()
+    return Statistics(int(counted[0]), max(counted[1] / max(counted[0], 1), 1.0), counted[2:])
+
+
+@lru_cache(maxsize=1)
+def _directions(terms: int) -> np.ndarray:
+    """A random direction for each term; a document's vector is their sum weighted by BM25, at unit length."""
+    return np.random.default_rng(13).standard_normal((terms, DIMENSIONS)).astype(np.float32)
+
+
+def vector(corpus: Statistics, terms: bytes, counts: bytes) -> np.ndarray:
+    own, times = np.frombuffer(terms, "<u4"), np.frombuffer(counts, "<u4").astype(np.float64)
+    weights = (corpus.saturated(times, times.sum()) * corpus.idf(own)).astype(np.float32)
+    out = weights @ _directions(len(corpus.held))[own]
+    return out / max(float(np.sqrt(out @ out)), 1e-9)
+
+
+class Tree:
+    """Splits by hyperplanes; a node of k shards gives k // 2 of them, by share of its sample, to its left side."""
+
+    def __init__(self, sample: np.ndarray, shards: int):
+        self.normals, self.cuts, self.sides = [], [], []
+        self.root = self._grow(sample, 0, shards)
+        self.normals, self.cuts = np.array(self.normals, np.float32).reshape(-1, DIMENSIONS), np.array(self.cuts, np.float32)
+
+    def _grow(self, sample: np.ndarray, first: int, shards: int) -> int:
+        """Index of a node; a shard s counts as -1 - s."""
+        if shards == 1:
+            return -1 - first
+        normal, at = np.eye(1, DIMENSIONS, dtype=np.float32)[0], 0.0
+        if len(sample):
+            away = sample - sample.mean(axis=0)
+            normal = np.linalg.eigh((away.T @ away).astype(np.float64))[1][:, -1].astype(np.float32)
+            at = np.float32(np.quantile(sample @ normal, shards // 2 / shards))
+        low = sample @ normal < at
+        node = len(self.normals)
+        self.normals.append(normal)
+        self.cuts.append(at)
+        self.sides.append((0, 0))
+        self.sides[node] = self._grow(sample[low], first, shards // 2), self._grow(sample[~low], first + shards // 2, shards - shards // 2)
+        return node
+
+    def place(self, x: np.ndarray) -> int:
+        node = self.root
+        while node >= 0:
+            node = self.sides[node][0 if x @ self.normals[node] < self.cuts[node] else 1]
+        return -1 - node
+
+
+def deal(profiles: DataFrame, corpus: Statistics) -> DataFrame:
+    """Add ``shard``: the leaf of a document, or one of a leaf's parts where it holds many more than SHARD.
+
+    The tree is shaped by about PER_SHARD documents for each shard, which a hash picks; every document is placed.
+    """
+    shards = max(1, -(-corpus.n // SHARD))
+    if shards == 1:
+        return profiles.withColumn("shard", F.lit(0).cast("long"))
+    context = profiles.sparkSession.sparkContext
+    known = context.broadcast(corpus)
+
+    def project(rows: dict) -> dict:
+        return {"x": [vector(known.value, t, c).tobytes() for t, c in zip(rows["terms"], rows["counts"], strict=True)]}
+
+    few = F.pmod(F.xxhash64("id", "tokens", F.crc32("grains"), F.lit(1)), F.lit(SHARD)) < PER_SHARD
+    picked = sorted(bytes(r["x"]) for r in map_batches(profiles.where(few).select("terms", "counts"), "x binary", project, "terms").collect())
+    tree = context.broadcast(Tree(np.frombuffer(b"".join(picked), np.float32).reshape(-1, DIMENSIONS), shards))
+
+    def leaf(rows: dict) -> dict:
+        return rows | {"leaf": [tree.value.place(vector(known.value, t, c)) for t, c in zip(rows["terms"], rows["counts"], strict=True)]}
+
+    names = "id long, tokens long, terms binary, counts binary, grains binary"
+    placed = map_batches(profiles.select("terms", "counts"), "terms binary, counts binary, leaf long", leaf, "terms").groupBy("leaf").count().collect()
+    parts = np.ones(shards, dtype=np.int64)
+    for r in placed:
+        parts[r["leaf"]] = -(-r["count"] // SHARD) if r["count"] > 2 * SHARD else 1
+    first = np.cumsum(parts) - parts
+
+    def shard(rows: dict) -> dict:
+        found = np.array(leaf(rows)["leaf"], dtype=np.int64)
+        salt = np.array([zlib.crc32(g, zlib.crc32(str(i).encode())) for i, g in zip(rows["id"], rows["grains"], strict=True)], dtype=np.int64)
+        return rows | {"shard": (first[found] + salt % parts[found]).tolist()}
+
+    return map_batches(profiles, names + ", shard long", shard, "terms")
+
+
 class _Index:
-    """BM25 postings of one shard, in arrays sorted by term."""
+    """BM25 postings of one shard, in arrays sorted by term, weighted by the corpus' statistics or else the shard's own."""
 
-    def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray]):
+    def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], corpus: Statistics | None = None):
         n = len(terms)
         sizes = np.array([len(t) for t in terms])
         owner = np.repeat(np.arange(n), sizes)
         term = np.concatenate(terms) if n else np.zeros(0, np.int64)
         tf = np.concatenate(counts).astype(np.float64) if n else np.zeros(0)
         length = np.bincount(owner, tf, minlength=n)
-        mean = max(length.mean(), 1.0) if n else 1.0
-        saturated = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / mean))
         order = np.argsort(term, kind="stable")
         self.n, self.owner = n, owner[order]
         self.vocabulary, self.start = np.unique(term[order], return_index=True)
         self.size = np.diff(np.append(self.start, len(term)))
-        self.idf = np.log1p((n - self.size + 0.5) / (self.size + 0.5))
+        if corpus is None:
+            corpus = Statistics(n, max(length.mean(), 1.0) if n else 1.0, np.bincount(term))
         at = np.searchsorted(self.vocabulary, term)
-        self.weight = (saturated * self.idf[at])[order]
+        self.weight = (corpus.saturated(tf, length[owner]) * corpus.idf(term))[order]
         self.bounds = np.append(0, np.cumsum(sizes))
         self.at = at
 
@@ -187,13 +310,13 @@ class _Index:
         return np.bincount(self.owner[rows], self.weight[rows], minlength=self.n)
 
 
-def pack_shard(shard: int, docs: pd.DataFrame) -> pd.DataFrame:
+def pack_shard(shard: int, docs: pd.DataFrame, corpus: Statistics | None = None) -> pd.DataFrame:
     """Pack one shard's documents; its cost and memory are bounded by the shard, whose rows are sorted first."""
     docs = docs.sort_values(["id", "tokens", "grains"], kind="stable", na_position="first").reset_index(drop=True)
     n = len(docs)
     tokens = docs["tokens"].to_numpy()
     grains = [np.frombuffer(g, dtype="<u4") for g in docs["grains"]]
-    index = _Index([np.frombuffer(t, dtype="<u4").astype(np.int64) for t in docs["terms"]], [np.frombuffer(c, dtype="<u4") for c in docs["counts"]])
+    index = _Index([np.frombuffer(t, dtype="<u4").astype(np.int64) for t in docs["terms"]], [np.frombuffer(c, dtype="<u4") for c in docs["counts"]], corpus)
     start = np.zeros(n, dtype=np.int64)
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence = 0
@@ -240,15 +363,17 @@ def pack(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text"
 
     Null texts count as empty, so they hold their end id alone.  Each row is packed, repeated rows too; ties are
     broken by id, length and content.  An empty table gives no piece.  Other columns are ignored.  The number of
-    shards follows from the row count, so a shard's size, memory and cost do not grow with the input.
+    shards follows from the row count and a shard holds at most about 2 SHARD rows, so its memory and cost do not grow
+    with the input; a seed's neighbours in other shards are not found.
     """
-    shards = max(1, -(-df.count() // SHARD))
-    dealt = profile(df, path, id_column, text).withColumn("shard", F.pmod(F.xxhash64("id", "tokens", F.crc32("grains")), F.lit(shards)))
+    profiles = cut(profile(df, path, id_column, text))
+    corpus = statistics(profiles)
+    known = df.sparkSession.sparkContext.broadcast(corpus)
 
     def run(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
-        return pack_shard(int(key[0]), docs)
+        return pack_shard(int(key[0]), docs, known.value)
 
-    return dealt.groupBy("shard").applyInPandas(run, PACKED)
+    return deal(profiles, corpus).groupBy("shard").applyInPandas(run, PACKED)
 
 
 def sequences(pieces: DataFrame, df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:

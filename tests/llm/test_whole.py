@@ -47,3 +47,20 @@ def test_packing_counts_every_occurrence(spark):
     text = "word " * 1000
     row = packing.profile(spark.createDataFrame([(1, text)], "doc_id long, text string"), vocabulary_file("word_bpe_49k.json")).first()
     assert np.frombuffer(row["counts"], "<u4").sum() == row["tokens"] - 1 >= 1000
+
+
+def test_packing_places_by_content_with_statistics_of_the_corpus(spark):
+    topics, n = 8, 4 * packing.SHARD
+    rng = np.random.default_rng(1)
+    made = profiles([(i, 31, dict.fromkeys(rng.choice(np.arange(40 * (i % topics), 40 * (i % topics) + 40), 30, replace=False).tolist(), 1)) for i in range(n)])
+    df = spark.createDataFrame(made, "id long, tokens long, terms binary, counts binary, grains binary").repartition(3)
+    corpus = packing.statistics(df)
+    assert (corpus.n, corpus.mean, int(corpus.held.sum()), len(corpus.held)) == (n, 30.0, 30 * n, 40 * topics)
+    placed = packing.deal(df, corpus).select("id", "shard").toPandas()
+    assert len(placed) == n and placed["shard"].value_counts().max() <= 2 * packing.SHARD
+    together = sum((g["shard"].value_counts() ** 2).sum() for _, g in placed.groupby(placed["id"] % topics)) / topics / (n / topics) ** 2
+    assert together > 0.6  # a hash gives 0.25
+    assert packing.statistics(df.limit(0)).n == 0
+    copies = df.crossJoin(spark.range(n).select(F.col("id").alias("copy"))).where("id = 0").withColumn("id", F.col("copy")).drop("copy")
+    alike = packing.deal(copies, packing.statistics(copies)).groupBy("shard").count().toPandas()
+    assert alike["count"].sum() == n and alike["count"].max() <= 2 * packing.SHARD
