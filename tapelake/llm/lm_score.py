@@ -5,8 +5,9 @@ layer and a softmax over word classes; a word's probability is its class's times
 corpus.  The sum of the conditional log-probabilities scores a document.
 
 The most frequent words have classes of their own; the rest fall into classes by their ending.  Counts cover the
-whole corpus.  The network is trained where the texts are: each partition fits a copy on a fixed share of all its
-windows, and the copies are averaged, weighted by windows, through a shuffle.
+whole corpus and stay in Spark, a row for each word; the words of a document are joined to them, so every word has its
+exact share.  The network is trained where the texts are: each round, a partition fits a copy on its part of all
+windows, every window once over the rounds, and the copies are averaged, weighted by windows, through a shuffle.
 """
 
 from __future__ import annotations
@@ -26,31 +27,33 @@ from tapelake.llm.common import ascii_words, cut, map_batches, steps
 TOP, ENDINGS = 191, 64
 PADDING = TOP + ENDINGS
 CLASSES = PADDING + 1
-#: Cells of each ending over which the shares of its words are kept.
-CELLS = 1024
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN, ROUNDS, BATCH, RATE = 24, 2, 512, 3e-3
-#: One window in so many, of every document, is trained on.
-EVERY = 16
+#: Parts of a logarithm's unit in which shares are summed.
+FINE = 1 << 30
 #: Words handled in one step, and words a worker keeps.
 STRIDE, CACHE = 1 << 10, 300_000
 
 
-def _cell(word: bytes, value: int) -> int:
-    return xxhash.xxh3_64_intdigest(word[-2:]) % ENDINGS * CELLS + value % CELLS
+def _ending(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word[-2:]) % ENDINGS
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, cell, n) over the whole corpus, words by their hash."""
+    """(word, ending, n) over the whole corpus, words by their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
             values = [xxhash.xxh3_64_intdigest(w) for w in held]
-            out = [pa.array(np.array(values, dtype=np.uint64).astype(np.int64)), pa.array([_cell(w, v) for w, v in zip(held, values, strict=True)], pa.int32()), pa.array(list(held.values()), pa.int64())]
+            out = [pa.array(np.array(values, dtype=np.uint64).astype(np.int64)), pa.array([_ending(w) for w in held], pa.int32()), pa.array(list(held.values()), pa.int64())]
             held.clear()
-            return pa.RecordBatch.from_arrays(out, names=["word", "cell", "n"])
+            return pa.RecordBatch.from_arrays(out, names=["word", "ending", "n"])
 
         for batch in batches:
             for part in steps(batch, "text"):
@@ -60,58 +63,56 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    return docs.select("text").mapInArrow(run, "word long, cell int, n long").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word long, ending int, n long").groupBy("word", "ending").agg(F.sum("n").alias("n"))
 
 
 class _Codes(dict):
-    """Class, and cell above it, of words looked up so far."""
+    """(hash, class) of words looked up so far."""
 
     def __init__(self, top: dict[int, int]):
         self.top = top
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        code = self.top.get(value - (1 << 64) if value >> 63 else value)
-        if code is None:
-            cell = _cell(word, value)
-            code = TOP + cell // CELLS + CLASSES * (cell + 1)
+    def __missing__(self, word: bytes) -> tuple[int, int]:
+        value = _signed(xxhash.xxh3_64_intdigest(word))
+        own = self.top.get(value)
+        code = value, TOP + _ending(word) if own is None else own
         if len(self) < CACHE:
             self[word] = code
         return code
 
 
 class Vocabulary:
-    """Class and log share of any word."""
+    """Class of any word; ``shares`` is a table in Spark and stays on the driver."""
 
-    def __init__(self, top: dict[int, int], cells: np.ndarray):
-        self.top, self.cells = top, cells
-        self.shares = np.concatenate([[0.0], cells])
+    def __init__(self, top: dict[int, int], totals: np.ndarray, shares: DataFrame | None = None):
+        self.top, self.totals, self.shares = top, totals, shares
         self.codes = _Codes(top)
 
     def __reduce__(self) -> tuple:
-        return Vocabulary, (self.top, self.cells)
+        return Vocabulary, (self.top, self.totals)
 
-    def classes(self, text: str | None) -> tuple[np.ndarray, float]:
-        """Classes of the words, padded at both ends, and the sum of the log shares."""
+    def classes(self, text: str | None) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, float]]:
+        """Classes of the words, padded at both ends; words that share a class with their times, and what the shares sum to if none was ever seen."""
         words = ascii_words(text)
-        codes = np.fromiter(map(self.codes.__getitem__, words), dtype=np.int64, count=len(words))
-        cell, own = np.divmod(codes, CLASSES)
+        codes = np.array([self.codes[w] for w in words], dtype=np.int64).reshape(-1, 2)
         out = np.full(len(words) + 4, PADDING)
-        out[2:-2] = own
-        return out, float(self.shares[cell].sum())
+        out[2:-2] = codes[:, 1]
+        rest = codes[codes[:, 1] >= TOP]
+        return out, (*np.unique(rest[:, 0], return_counts=True), -float(np.log1p(self.totals[rest[:, 1] - TOP]).sum()))
 
 
 def vocabulary(docs: DataFrame) -> Vocabulary:
-    """Counts of all words; the driver gets TOP words and ENDINGS * CELLS cells at most."""
+    """Counts of all words; the driver gets TOP words and a total for each ending.
+
+    A word's share of its ending is its count by the total and one; that one is what all unseen words have.
+    """
     counts = cut(word_counts(docs))
     top = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(TOP).collect()]
     rest = counts.where(~F.col("word").isin(top)) if top else counts
-    sums, types = np.zeros(ENDINGS * CELLS), np.zeros(ENDINGS * CELLS)
-    for r in rest.groupBy("cell").agg(F.sum("n").alias("n"), F.count("n").alias("k")).collect():
-        sums[r["cell"]], types[r["cell"]] = r["n"], r["k"]
-    each = (sums + 1) / (types + 1)
-    total = (sums + 1).reshape(ENDINGS, CELLS).sum(axis=1, keepdims=True)
-    return Vocabulary({w: i for i, w in enumerate(top)}, np.log(each.reshape(ENDINGS, CELLS) / total).reshape(-1))
+    totals = np.zeros(ENDINGS)
+    for r in rest.groupBy("ending").agg(F.sum("n").alias("n")).collect():
+        totals[r["ending"]] = r["n"]
+    return Vocabulary({w: i for i, w in enumerate(top)}, totals, rest.groupBy("word").agg(F.round(F.log(F.sum("n")) * FINE).cast("long").alias("log_n")))
 
 
 SHAPES = ((len(OFFSETS), CLASSES, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
@@ -181,15 +182,33 @@ class Trainer:
         self.flat -= RATE * (self.first / (1 - 0.9**self.step)) / (np.sqrt(self.second / (1 - 0.999**self.step)) + 1e-8)
 
 
-def encode(docs: DataFrame, words: Vocabulary) -> DataFrame:
-    """(doc_id, shares, classes): a byte for each word's class, padded at both ends, and the sum of the log shares."""
+def code(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """(row, doc_id, base, classes, words, times), stored: a byte for each word's class, padded at both ends, and what ``add_shares`` needs."""
     held = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(rows: dict) -> dict:
         coded = [held.value.classes(t) for t in rows["text"]]
-        return {"doc_id": rows["doc_id"], "shares": [s for _, s in coded], "classes": [c.astype(np.uint8).tobytes() for c, _ in coded]}
+        rare = [r for _, r in coded]
+        return {"row": rows["row"], "doc_id": rows["doc_id"], "base": [b for _, _, b in rare], "classes": [c.astype(np.uint8).tobytes() for c, _ in coded], "words": [w for w, _, _ in rare], "times": [k for _, k, _ in rare]}
+
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return cut(map_batches(numbered, "row long, doc_id long, base double, classes binary, words array<long>, times array<long>", run, "text"))
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, shares double, classes binary", run, "text")
+
+def add_shares(coded: DataFrame, words: Vocabulary) -> DataFrame:
+    """(doc_id, shares, classes) with the sum of the log shares of a document's words.
+
+    A document's distinct words meet their counts in a join; words in very many documents have classes of their own
+    and take no part in it.  Sums are of whole numbers, so they don't depend on the order of rows.
+    """
+    met = coded.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    sums = met.join(words.shares, "word").groupBy("row").agg((F.sum(F.col("times") * F.col("log_n")) / FINE).alias("seen"))
+    return coded.join(sums, "row", "left").select("doc_id", (F.col("base") + F.coalesce("seen", F.lit(0.0))).alias("shares"), "classes")
+
+
+def encode(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """(doc_id, shares, classes) of every text."""
+    return add_shares(code(docs, words), words)
 
 
 def decoded(classes: bytes) -> np.ndarray:
@@ -198,7 +217,7 @@ def decoded(classes: bytes) -> np.ndarray:
 
 def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Weights fitted on the texts of ``docs``."""
-    return fit(encode(docs, words), rounds)
+    return fit(code(docs, words), rounds)
 
 
 def fit(coded: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
@@ -213,7 +232,7 @@ def fit(coded: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
             def learn() -> None:
                 nonlocal seen, size
                 classes = np.concatenate(waiting)
-                at = np.arange(2 + turn, len(classes) - 2, EVERY)
+                at = np.arange(2 + turn, len(classes) - 2, rounds)
                 at = at[classes[at] != PADDING]
                 trainer.fit(classes, np.random.default_rng(len(at)).permutation(at))
                 seen += len(at)
@@ -266,5 +285,6 @@ def rate(coded: DataFrame, weights: np.ndarray) -> DataFrame:
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Scores of all texts by a network fitted on them; the texts are encoded once for training and scoring."""
-    coded = cut(encode(docs, vocabulary(docs)))
-    return rate(coded, fit(coded))
+    words = vocabulary(docs)
+    coded = code(docs, words)
+    return rate(add_shares(coded, words), fit(coded))

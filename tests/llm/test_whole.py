@@ -2,10 +2,11 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tapelake.llm import near_duplicates, packing, quality_rules
+from tapelake.llm import lm_score, near_duplicates, packing, quality_rules
 from tapelake.llm.queries import vocabulary_file
 
 
@@ -64,3 +65,35 @@ def test_packing_places_by_content_with_statistics_of_the_corpus(spark):
     copies = df.crossJoin(spark.range(n).select(F.col("id").alias("copy"))).where("id = 0").withColumn("id", F.col("copy")).drop("copy")
     alike = packing.deal(copies, packing.statistics(copies)).groupBy("shard").count().toPandas()
     assert alike["count"].sum() == n and alike["count"].max() <= 2 * packing.SHARD
+
+
+def test_lm_shares_are_exact_and_every_window_is_trained_on(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "TOP", 0)
+    words = [f"w{i}ng" for i in range(5000)]  # one ending
+    docs = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(words[:1] * 999)), (None, "w1ng w1ng"), (None, None)], "doc_id long, text string")
+    held = lm_score.vocabulary(docs)
+    got = lm_score.encode(docs, held).collect()
+    count = np.ones(5000)
+    count[0], count[1] = 1000, 3
+    share = np.log(count / (count.sum() + 1))
+    assert sorted(r["shares"] for r in got) == pytest.approx(sorted([share.sum(), 999 * share[0], 2 * share[1], 0.0]))
+    other = spark.createDataFrame([(0, "neverng")], "doc_id long, text string")
+    assert lm_score.encode(other, held).first()["shares"] == pytest.approx(-np.log(count.sum() + 1))
+
+
+def test_lm_trains_on_every_window(spark, tmp_path):
+    docs = spark.createDataFrame([(0, " ".join(f"v{i}" for i in range(100)))], "doc_id long, text string").coalesce(1)
+    coded = lm_score.code(docs, lm_score.vocabulary(docs))
+    path, step = str(tmp_path), lm_score.Trainer.fit
+
+    class Noting(lm_score.Trainer):
+        def fit(self, classes, at):
+            np.save(f"{path}/{at.min()}.npy", at)
+            step(self, classes, at)
+
+    lm_score.Trainer, before = Noting, lm_score.Trainer
+    try:
+        lm_score.fit(coded)
+    finally:
+        lm_score.Trainer = before
+    assert sorted(np.concatenate([np.load(p) for p in tmp_path.iterdir()])) == list(range(2, 102))
