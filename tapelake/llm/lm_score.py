@@ -1,46 +1,57 @@
 """Language-model scoring by masked pseudo-likelihood.
 
-Every word is predicted from the words on both sides by a window network: class embeddings by position, a hidden
-layer and a softmax over word classes; a word's probability is its class's times its share of the class in the
-corpus.  The sum of the conditional log-probabilities scores a document.
-
-The most frequent words have classes of their own; the rest fall into classes by their ending.  Counts cover the
-whole corpus and stay in Spark, a row for each word; the words of a document are joined to them, so every word has its
-exact share.  The network is trained where the texts are: each round, a partition fits a copy on its part of all
-windows, every window once over the rounds, and the copies are averaged, weighted by windows, through a shuffle.
+Every word is predicted from the words on both sides by a window network: embeddings by position, a hidden layer and a
+softmax over word classes in two steps, first a group of classes, then the class in it.  A word's probability is its
+class's times its share of the class among all *other* documents of the corpus; a word that no other document holds is
+spelled out letter by letter.  The sum of the conditional log-probabilities scores a document.
+
+The most frequent words have classes of their own; the rest fall into classes by their ending.  Counts cover the whole
+corpus and stay in Spark, a row for each word.  A bounded number of frequent words travels with the tasks; the others
+of a document meet their counts in a join, so every word has its exact share whatever the size of the corpus.
+
+Training deals the texts, in blocks, to shards by a hash of id and content, about SHARD words each, so the shards
+follow from the corpus and not from the layout of its files.  Each shard fits a copy of the network, its blocks in
+the order of their hashes, and the copies are averaged, weighted by words.  A first round on one block in FIRST gives
+the second, on all others, a common start; every word is trained on once.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.common import ascii_words, cut, map_batches, steps
 
-#: Classes: frequent words, endings, and one that pads the ends of a text.
-TOP, ENDINGS = 191, 64
-PADDING = TOP + ENDINGS
-CLASSES = PADDING + 1
+#: Classes in groups of MEMBERS: frequent words, then endings.  One more value pads the ends of a text.
+GROUPS, MEMBERS = 32, 32
+CLASSES = GROUPS * MEMBERS
+TOP = 768
+ENDINGS = CLASSES - TOP
+PADDING = CLASSES
 OFFSETS = (-2, -1, 1, 2)
-HIDDEN, ROUNDS, BATCH, RATE = 24, 2, 512, 3e-3
-#: Parts of a logarithm's unit in which shares are summed.
+HIDDEN, BATCH, RATE = 16, 4096, 4e-3
+#: Words of a shard and of a block of a text, and the share of blocks (one in FIRST) that the first round takes.
+SHARD, BLOCK, FIRST = 1 << 21, 1 << 16, 8
+#: Frequent words whose counts travel with the tasks.
+KNOWN = 1 << 17
+#: Nats for each letter of a word that no other document holds.
+LETTER = float(np.log(32))
+#: Parts of a nat in which shares are summed, so that sums don't depend on the order of rows.
 FINE = 1 << 30
-#: Words handled in one step, and words a worker keeps.
-STRIDE, CACHE = 1 << 10, 300_000
+#: Words scored in one step, and words a worker keeps.
+STRIDE, CACHE = 1 << 14, 500_000
 
 
-def _ending(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word[-2:]) % ENDINGS
-
-
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+@lru_cache(maxsize=1 << 16)
+def _ending(tail: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(tail) % ENDINGS
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -51,7 +62,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             values = [xxhash.xxh3_64_intdigest(w) for w in held]
-            out = [pa.array(np.array(values, dtype=np.uint64).astype(np.int64)), pa.array([_ending(w) for w in held], pa.int32()), pa.array(list(held.values()), pa.int64())]
+            out = [pa.array(np.array(values, dtype=np.uint64).astype(np.int64)), pa.array([_ending(w[-2:]) for w in held], pa.int32()), pa.array(list(held.values()), pa.int64())]
             held.clear()
             return pa.RecordBatch.from_arrays(out, names=["word", "ending", "n"])
 
@@ -59,7 +70,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for part in steps(batch, "text"):
                 for text in part.column(0).to_pylist():
                     held.update(ascii_words(text))
-                if len(held) > 2 * CACHE:
+                if len(held) > CACHE:
                     yield flush()
         yield flush()
 
@@ -67,61 +78,116 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class _Codes(dict):
-    """(hash, class) of words looked up so far."""
+    """Codes of words, given in the order in which the words are met; ``new`` lists those just met."""
 
-    def __init__(self, top: dict[int, int]):
-        self.top = top
+    def __init__(self):
+        self.new: list[bytes] = []
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        value = _signed(xxhash.xxh3_64_intdigest(word))
-        own = self.top.get(value)
-        code = value, TOP + _ending(word) if own is None else own
-        if len(self) < CACHE:
-            self[word] = code
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
         return code
 
 
 class Vocabulary:
-    """Class of any word; ``shares`` is a table in Spark and stays on the driver."""
+    """Classes of any word and counts of the frequent ones; ``counts``, a table in Spark, stays on the driver.
 
-    def __init__(self, top: dict[int, int], totals: np.ndarray, shares: DataFrame | None = None):
-        self.top, self.totals, self.shares = top, totals, shares
-        self.codes = _Codes(top)
+    ``words`` and ``seen`` hold the KNOWN most frequent words and their counts, the TOP ones first; ``totals`` the
+    words of each class, and ``once`` the words that the corpus holds a single time.
+    """
 
-    def __reduce__(self) -> tuple:
-        return Vocabulary, (self.top, self.totals)
+    def __init__(self, words: np.ndarray, seen: np.ndarray, totals: np.ndarray, once: int, top: int = TOP, counts: DataFrame | None = None):
+        self.words, self.seen, self.totals, self.once, self.top, self.counts = words, seen, totals, once, top, counts
+        self.place = {w: i for i, w in enumerate(words.tolist())}
+        rest = max(float(totals[top:].sum()), 1.0)
+        #: Share of a class that words of no other document have, and its logarithm.
+        self.novel = min(max(once / rest, 1e-6), 0.5)
+        self.novel_cost, self.seen_cost = float(np.log(self.novel)), float(np.log1p(-self.novel))
+        self._reset()
 
-    def classes(self, text: str | None) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, float]]:
-        """Classes of the words, padded at both ends; words that share a class with their times, and what the shares sum to if none was ever seen."""
-        words = ascii_words(text)
-        codes = np.array([self.codes[w] for w in words], dtype=np.int64).reshape(-1, 2)
-        out = np.full(len(words) + 4, PADDING)
-        out[2:-2] = codes[:, 1]
-        rest = codes[codes[:, 1] >= TOP]
-        return out, (*np.unique(rest[:, 0], return_counts=True), -float(np.log1p(self.totals[rest[:, 1] - TOP]).sum()))
+    def __reduce__(self) -> tuple:
+        return Vocabulary, (self.words, self.seen, self.totals, self.once, self.top)
+
+    def _reset(self) -> None:
+        """Forget the words met so far; a word's code is its row in class, count (-1 where only the join knows it), hash and length."""
+        self.codes = _Codes()
+        self.table = np.zeros((4, 1 << 12), dtype=np.int64)
+        self.filled = 0
+
+    def _fill(self) -> None:
+        """Look up the words that were first met in the last text."""
+        new = self.codes.new
+        if not new:
+            return
+        if len(self.codes) > self.table.shape[1]:
+            self.table = np.concatenate([self.table, np.zeros((4, max(self.table.shape[1], len(new))), dtype=np.int64)], axis=1)
+        place, top = self.place, min(self.top, len(self.words))
+        values = np.array([xxhash.xxh3_64_intdigest(w) for w in new], dtype=np.uint64).astype(np.int64)
+        at = np.array([place.get(v, -1) for v in values.tolist()], dtype=np.int64)
+        ends = np.array([_ending(w[-2:]) for w in new], dtype=np.int64)
+        known = self.seen[at] if len(self.seen) else at
+        self.table[:, self.filled : len(self.codes)] = np.where((at >= 0) & (at < top), at, self.top + ends), np.where(at < 0, -1, known), values, [len(w) for w in new]
+        self.filled = len(self.codes)
+        new.clear()
+
+    def log_share(self, others: np.ndarray, classes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Log share of a word in its class, from its count in other documents."""
+        seen = self.seen_cost + np.log(np.maximum(others, 1)) - np.log1p(self.totals[classes])
+        return np.where(others > 0, seen, self.novel_cost - LETTER * (letters + 1))
+
+    def encode(self, texts: list[str | None]) -> list[tuple]:
+        """(classes padded at both ends, base, novel, words, times, letters, log totals) of each text.
+
+        ``base`` sums the log shares of words whose counts are at hand and ``novel`` counts those among them that no
+        other document holds; the rest are listed with what ``add_shares`` needs.
+        """
+        out = []
+        for text in texts:
+            if len(self.codes) > CACHE:
+                self._reset()
+            words = ascii_words(text)
+            places = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+            self._fill()
+            kinds = self.table[0][places]
+            classes = np.full(len(words) + 4, PADDING, dtype=np.uint16)
+            classes[2:-2] = kinds
+            local, times = np.unique(places, return_counts=True)
+            kind, seen, value, letters = self.table[:, local]
+            near, far = (seen >= 0) & (kind >= self.top), seen < 0
+            base = times[near] * self.log_share(seen[near] - times[near], kind[near], letters[near])
+            novel = int(times[(seen >= 0) & (seen <= times)].sum())
+            out.append((classes, float(base.sum()), novel, value[far], times[far], letters[far], np.log1p(self.totals[kind[far]])))
+        return out
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    """Counts of all words; the driver gets TOP words and a total for each ending.
+def vocabulary(docs: DataFrame, top: int = TOP, known: int = KNOWN) -> Vocabulary:
+    """Counts of all words; the driver gets ``known`` words and one total for each class.
 
-    A word's share of its ending is its count by the total and one; that one is what all unseen words have.
+    At most TOP words have classes of their own, and at most as many as are known.
     """
     counts = cut(word_counts(docs))
-    top = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(TOP).collect()]
-    rest = counts.where(~F.col("word").isin(top)) if top else counts
-    totals = np.zeros(ENDINGS)
-    for r in rest.groupBy("ending").agg(F.sum("n").alias("n")).collect():
-        totals[r["ending"]] = r["n"]
-    return Vocabulary({w: i for i, w in enumerate(top)}, totals, rest.groupBy("word").agg(F.round(F.log(F.sum("n")) * FINE).cast("long").alias("log_n")))
-
-
-SHAPES = ((len(OFFSETS), CLASSES, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
+    rows = counts.orderBy(F.desc("n"), "word").limit(known).toPandas()
+    words, seen = rows["word"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    totals = np.zeros(CLASSES)
+    sums = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once")).toPandas()
+    totals[top + sums["ending"].to_numpy(np.int64)] = sums["n"]
+    own = min(top, len(words))
+    totals[:own] = seen[:own]
+    np.subtract.at(totals, top + rows["ending"].to_numpy(np.int64)[:own], seen[:own])
+    return Vocabulary(words, seen, totals, int(sums["once"].sum()), top, counts.select("word", "n"))
+
+
+SHAPES = ((len(OFFSETS), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, GROUPS), (GROUPS,), (GROUPS, HIDDEN, MEMBERS), (GROUPS, MEMBERS))
 SIZES = [int(np.prod(s)) for s in SHAPES]
 
 
-def start(seed: int = 5) -> np.ndarray:
+def start(totals: np.ndarray, seed: int = 5) -> np.ndarray:
+    """Small random weights, and biases by which classes have their shares of the corpus."""
     random = np.random.default_rng(seed)
-    return np.concatenate([random.normal(0, 0.1, SIZES[0]), np.zeros(SIZES[1]), random.normal(0, 0.1, SIZES[2]), np.zeros(SIZES[3])]).astype(np.float32)
+    share = (totals + 1).reshape(GROUPS, MEMBERS)
+    biases = np.log(share.sum(axis=1) / share.sum()), np.log(share / share.sum(axis=1, keepdims=True))
+    parts = [random.normal(0, 0.1, SIZES[0]), np.zeros(SIZES[1]), random.normal(0, 0.1, SIZES[2]), biases[0], random.normal(0, 0.1, SIZES[4]), biases[1].reshape(-1)]
+    return np.concatenate(parts).astype(np.float32)
 
 
 def unpack(weights: np.ndarray) -> list[np.ndarray]:
@@ -133,20 +199,45 @@ def hidden_layer(weights: list[np.ndarray], classes: np.ndarray, at: np.ndarray)
     total = weights[1] + weights[0][0][classes[at + OFFSETS[0]]]
     for k, d in enumerate(OFFSETS[1:], 1):
         total += weights[0][k][classes[at + d]]
-    return np.tanh(total)
+    return np.tanh(total, out=total)
+
+
+def _runs(groups: np.ndarray) -> list[tuple[int, int, int]]:
+    """(group, first, end) of the runs in sorted ``groups``."""
+    bounds = np.searchsorted(groups, np.arange(GROUPS + 1))
+    return [(g, int(a), int(b)) for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """In place, over the first axis; each word's own greatest value is its shift."""
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    return logits
+
 
+def _forward(w: list[np.ndarray], classes: np.ndarray, at: np.ndarray) -> tuple:
+    """Places sorted by the group of their word, its runs, hidden values and the two softmaxes, a column for each word."""
+    groups = classes[at] // MEMBERS
+    order = np.argsort(groups, kind="stable")
+    at, groups = at[order], groups[order]
+    hidden, runs = hidden_layer(w, classes, at), _runs(groups)
+    inner = np.empty((len(at), MEMBERS), dtype=np.float32)
+    for g, a, b in runs:
+        np.matmul(hidden[a:b], w[4][g], out=inner[a:b])
+    inner += w[5][groups]
+    return at, groups, runs, hidden, _softmax(w[2].T @ hidden.T + w[3][:, None]), _softmax(np.ascontiguousarray(inner.T))
 
-def log_likelihood(weights: list[np.ndarray], classes: np.ndarray) -> float:
-    """Sum over the words of the log-probability of each one's class given both sides."""
-    total = 0.0
-    for i in range(2, len(classes) - 2, STRIDE):
-        at = np.arange(i, min(i + STRIDE, len(classes) - 2))
-        logits = hidden_layer(weights, classes, at) @ weights[2] + weights[3]
-        own = logits[np.arange(len(at)), classes[at]]
-        most = logits.max()  # one shift for the block keeps the powers finite
-        np.exp(logits - most, out=logits)
-        total += float(own.sum(dtype=np.float64) - np.log(logits.sum(axis=1) + 1e-37).sum(dtype=np.float64)) - len(at) * float(most)
-    return total
+
+def log_probabilities(w: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
+    """Log-probability of each word's class given both sides; 0 at padding."""
+    out = np.zeros(len(classes))
+    words = np.flatnonzero(classes != PADDING)
+    for i in range(0, len(words), STRIDE):
+        at, groups, _, _, outer, inner = _forward(w, classes, words[i : i + STRIDE])
+        rows = np.arange(len(at))
+        out[at] = np.log(np.maximum(outer[groups, rows], 1e-37)) + np.log(np.maximum(inner[classes[at] % MEMBERS, rows], 1e-37))
+    return out
 
 
 class Trainer:
@@ -162,129 +253,182 @@ class Trainer:
 
     def _step(self, classes: np.ndarray, at: np.ndarray) -> None:
         w = unpack(self.flat)
-        hidden = hidden_layer(w, classes, at)
-        error = hidden @ w[2] + w[3]
-        error -= error.max(axis=1, keepdims=True)
-        np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(at)), classes[at]] -= 1
-        error /= len(at)
-        inner = (error @ w[2].T) * (1 - hidden**2)
-        embeddings = np.zeros(SHAPES[0], dtype=np.float32)
+        at, groups, runs, hidden, outer, inner = _forward(w, classes, at)
+        rows = np.arange(len(at))
+        outer[groups, rows] -= 1
+        inner[classes[at] % MEMBERS, rows] -= 1
+        back = outer.T @ w[2].T
+        slope = np.zeros_like(self.flat)
+        parts = unpack(slope)
+        for g, a, b in runs:
+            own = inner[:, a:b].T
+            back[a:b] += own @ w[4][g].T
+            parts[4][g] = hidden[a:b].T @ own
+            parts[5][g] = inner[:, a:b].sum(axis=1)
+        back *= 1 - hidden * hidden
+        columns = np.arange(HIDDEN)
         for k, d in enumerate(OFFSETS):
-            near = np.zeros((len(at), CLASSES), dtype=np.float32)
-            near[np.arange(len(at)), classes[at + d]] = 1
-            embeddings[k] = near.T @ inner
-        slope = np.concatenate([embeddings.reshape(-1), inner.sum(axis=0), (hidden.T @ error).reshape(-1), error.sum(axis=0)])
+            cells = (classes[at + d] * HIDDEN)[:, None] + columns
+            parts[0][k] = np.bincount(cells.reshape(-1), back.reshape(-1), minlength=(CLASSES + 1) * HIDDEN).reshape(CLASSES + 1, HIDDEN)
+        parts[1][:] = back.sum(axis=0)
+        parts[2][:] = hidden.T @ outer.T
+        parts[3][:] = outer.sum(axis=1)
+        slope /= len(at)
         self.step += 1
-        self.first += 0.1 * (slope - self.first)
-        self.second += 0.001 * (slope * slope - self.second)
-        self.flat -= RATE * (self.first / (1 - 0.9**self.step)) / (np.sqrt(self.second / (1 - 0.999**self.step)) + 1e-8)
+        self.first *= 0.9
+        self.first += 0.1 * slope
+        self.second *= 0.999
+        slope *= slope
+        slope *= 0.001
+        self.second += slope
+        np.sqrt(self.second, out=slope)
+        slope += 1e-8
+        np.divide(self.first, slope, out=slope)
+        slope *= RATE * (1 - 0.999**self.step) ** 0.5 / (1 - 0.9**self.step)
+        self.flat -= slope
+
+
+CODED = "row long, doc_id long, base double, novel long, classes binary, words array<long>, times array<long>, letters array<long>, totals array<double>"
 
 
 def code(docs: DataFrame, words: Vocabulary) -> DataFrame:
-    """(row, doc_id, base, classes, words, times), stored: a byte for each word's class, padded at both ends, and what ``add_shares`` needs."""
+    """The encoded texts, stored: two bytes for each word's class, padded at both ends, and what ``add_shares`` needs."""
     held = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(rows: dict) -> dict:
-        coded = [held.value.classes(t) for t in rows["text"]]
-        rare = [r for _, r in coded]
-        return {"row": rows["row"], "doc_id": rows["doc_id"], "base": [b for _, _, b in rare], "classes": [c.astype(np.uint8).tobytes() for c, _ in coded], "words": [w for w, _, _ in rare], "times": [k for _, k, _ in rare]}
+        names = ("classes", "base", "novel", "words", "times", "letters", "totals")
+        coded = dict(zip(names, zip(*held.value.encode(rows["text"]), strict=True), strict=True)) if rows["row"] else dict.fromkeys(names, [])
+        return {"row": rows["row"], "doc_id": rows["doc_id"]} | coded | {"classes": [c.tobytes() for c in coded["classes"]]}
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return cut(map_batches(numbered, "row long, doc_id long, base double, classes binary, words array<long>, times array<long>", run, "text"))
+    return cut(map_batches(numbered, CODED, run, "text"))
 
 
 def add_shares(coded: DataFrame, words: Vocabulary) -> DataFrame:
-    """(doc_id, shares, classes) with the sum of the log shares of a document's words.
+    """(doc_id, shares, novel, classes): the sum of the log shares of a document's words, and its novel words.
 
-    A document's distinct words meet their counts in a join; words in very many documents have classes of their own
-    and take no part in it.  Sums are of whole numbers, so they don't depend on the order of rows.
+    The words of a document whose counts did not travel meet them in a join; the frequent ones, which very many
+    documents hold, take no part in it.  Sums are of whole numbers, so they don't depend on the order of rows.
     """
-    met = coded.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    sums = met.join(words.shares, "word").groupBy("row").agg((F.sum(F.col("times") * F.col("log_n")) / FINE).alias("seen"))
-    return coded.join(sums, "row", "left").select("doc_id", (F.col("base") + F.coalesce("seen", F.lit(0.0))).alias("shares"), "classes")
+    met = coded.select("row", F.explode(F.arrays_zip("words", "times", "letters", "totals")).alias("w")).select("row", "w.*")
+    others = F.coalesce(F.col("n"), F.lit(0)) - F.col("times")
+    share = F.when(others > 0, F.lit(words.seen_cost) + F.log(others) - F.col("totals")).otherwise(F.lit(words.novel_cost) - F.lit(LETTER) * (F.col("letters") + 1))
+    counted = met.join(words.counts, met["words"] == F.col("word"), "left")
+    sums = counted.groupBy("row").agg(F.sum(F.round(share * FINE).cast("long") * F.col("times")).alias("far"), F.sum(F.when(others > 0, 0).otherwise(F.col("times"))).alias("more"))
+    joined = coded.select("row", "doc_id", "base", "novel", "classes").join(sums, "row", "left")
+    return joined.select("doc_id", (F.col("base") + F.coalesce(F.col("far") / FINE, F.lit(0.0))).alias("shares"), (F.col("novel") + F.coalesce("more", F.lit(0))).alias("novel"), "classes")
 
 
 def encode(docs: DataFrame, words: Vocabulary) -> DataFrame:
-    """(doc_id, shares, classes) of every text."""
+    """(doc_id, shares, novel, classes) of every text."""
     return add_shares(code(docs, words), words)
 
 
 def decoded(classes: bytes) -> np.ndarray:
-    return np.frombuffer(classes, dtype=np.uint8).astype(np.int64)
+    return np.frombuffer(classes, dtype=np.uint16).astype(np.int64)
 
 
-def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights fitted on the texts of ``docs``."""
-    return fit(code(docs, words), rounds)
+def _hash(*columns: Column) -> Column:
+    return F.xxhash64(*columns)
 
 
-def fit(coded: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
-    """Average the partitions' copies after each round; an empty corpus keeps the start."""
-    weights = start()
-    for turn in range(rounds):
+def blocks(coded: DataFrame, shards: int) -> DataFrame:
+    """(shard, hash, first, classes): blocks of about BLOCK words, with the two neighbours on either side of each.
+
+    Shard and order follow from a document's id and content; texts that agree in both are interchangeable.
+    """
+    size = (F.octet_length("classes") / 2).cast("int") - 4
+    cuts = coded.where(size > 0).select("doc_id", "classes", F.explode(F.sequence(F.lit(0), F.floor((size - 1) / BLOCK).cast("int"))).alias("block"))
+    key = cuts.select(_hash(F.col("doc_id"), F.xxhash64("classes"), F.col("block")).alias("hash"), F.substring("classes", F.col("block") * (2 * BLOCK) + 1, F.lit(2 * BLOCK + 8)).alias("classes"))
+    return key.select(F.pmod("hash", F.lit(shards)).alias("shard"), "hash", (F.pmod(_hash(F.col("hash"), F.lit(1)), F.lit(FIRST)) == 0).alias("first"), "classes")
+
+
+def fit(coded: DataFrame, words: Vocabulary) -> np.ndarray:
+    """Weights fitted on every word of the encoded texts; an empty corpus keeps the start."""
+    weights = start(words.totals)
+    shards = max(1, -(-int(words.totals.sum()) // SHARD))
+    dealt = blocks(coded, shards)
+    for first in (True, False):
         held = coded.sparkSession.sparkContext.broadcast(weights)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held, turn: int = turn) -> Iterator[pa.RecordBatch]:
-            trainer, seen, waiting, size = Trainer(held.value), 0, [], 0
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            total, seen = np.zeros(len(held.value)), 0
+            trainer, shard, learned, waiting, size = None, None, 0, [], 0
 
             def learn() -> None:
-                nonlocal seen, size
-                classes = np.concatenate(waiting)
-                at = np.arange(2 + turn, len(classes) - 2, rounds)
-                at = at[classes[at] != PADDING]
+                nonlocal learned, size
+                classes = np.concatenate([decoded(c) for c in waiting])
+                # A block's first and last two are its neighbours' or padding: they are seen, not predicted.
+                bounds = np.cumsum([0, *(len(c) // 2 for c in waiting)])
+                at = np.concatenate([np.arange(a + 2, b - 2) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
                 trainer.fit(classes, np.random.default_rng(len(at)).permutation(at))
-                seen += len(at)
+                learned += len(at)
                 waiting.clear()
                 size = 0
 
+            def finish() -> None:
+                nonlocal seen, learned
+                if waiting:
+                    learn()
+                if trainer is not None:
+                    np.add(total, trainer.flat.astype(np.float64) * learned, out=total)
+                    seen += learned
+                learned = 0
+
             for batch in batches:
                 for part in steps(batch, "classes"):
-                    for classes in part.column(0).to_pylist():
-                        waiting.append(decoded(classes))
-                        size += len(waiting[-1])
-                        if size > 1 << 18:
+                    for own, classes in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                        if own != shard:
+                            finish()
+                            trainer, shard = Trainer(held.value), own
+                        waiting.append(classes)
+                        size += len(classes)
+                        if size > 1 << 19:
                             learn()
-            if waiting:
-                learn()
+            finish()
             if seen:
-                place = np.arange(-1, len(trainer.flat))
-                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(np.concatenate([[1.0], trainer.flat.astype(np.float64)]) * seen)], names=["place", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total))), pa.array(np.concatenate([[float(seen)], total]))], names=["place", "value"])
 
-        sums = coded.select("classes").mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toPandas().sort_values("place")
+        ordered = dealt.where("first" if first else "not first").repartition("shard").sortWithinPartitions("shard", "hash", "classes").select("shard", "classes")
+        sums = ordered.mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toPandas().sort_values("place")
         if len(sums):
             values = sums["value"].to_numpy()
             weights = (values[1:] / values[0]).astype(np.float32)
     return weights
 
 
+def train(docs: DataFrame, words: Vocabulary) -> np.ndarray:
+    """Weights fitted on the texts of ``docs``."""
+    return fit(code(docs, words), words)
+
+
 def score(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
-    """(doc_id, n_words, log_likelihood, per_word) of every whole text; per_word is null without words."""
+    """(doc_id, n_words, log_likelihood, per_word, n_novel) of every whole text, as ``score_corpus`` says."""
     return rate(encode(docs, words), weights)
 
 
 def rate(coded: DataFrame, weights: np.ndarray) -> DataFrame:
-    """The scores of encoded texts, as ``score`` gives them."""
+    """The scores of encoded texts."""
     held = coded.sparkSession.sparkContext.broadcast(weights)
 
     def run(rows: dict) -> dict:
-        layers = unpack(held.value)
-        out: dict[str, list] = {"doc_id": rows["doc_id"], "n_words": [], "log_likelihood": [], "per_word": []}
-        for packed, shares in zip(rows["classes"], rows["shares"], strict=True):
-            classes = decoded(packed)
-            n = len(classes) - 4
-            total = log_likelihood(layers, classes) + shares if n else 0.0
-            out["n_words"].append(n)
-            out["log_likelihood"].append(total)
-            out["per_word"].append(total / n if n else None)
-        return out
+        parts = [decoded(c) for c in rows["classes"]]
+        n = np.array([len(p) - 4 for p in parts])
+        each = log_probabilities(unpack(held.value), np.concatenate(parts)) if parts else np.zeros(0)
+        sums = np.add.reduceat(each, np.cumsum([0, *(len(p) for p in parts)])[:-1]) if parts else each
+        total = np.where(n > 0, sums + np.array(rows["shares"], dtype=float), 0.0).tolist()
+        return {"doc_id": rows["doc_id"], "n_words": n.tolist(), "log_likelihood": total, "per_word": [t / k if k else None for t, k in zip(total, n.tolist(), strict=True)], "n_novel": rows["novel"]}
 
-    return map_batches(coded, "doc_id long, n_words long, log_likelihood double, per_word double", run, "classes")
+    return map_batches(coded, "doc_id long, n_words long, log_likelihood double, per_word double, n_novel long", run, "classes")
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
-    """Scores of all texts by a network fitted on them; the texts are encoded once for training and scoring."""
+    """(doc_id, n_words, log_likelihood, per_word, n_novel) of all texts by a network fitted on them.
+
+    ``n_novel`` counts the words that no other row holds.  Null and blank texts have no words: their likelihood is 0
+    and ``per_word`` is null.  Repeated rows are scored each, and count as other rows to one another.  An empty table
+    gives no row.  Other columns are ignored.  The texts are encoded once for training and scoring.
+    """
     words = vocabulary(docs)
     coded = code(docs, words)
-    return rate(add_shares(coded, words), fit(coded))
+    return rate(add_shares(coded, words), fit(coded, words))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapelake.llm import bpe, chat, html_extract, lm_score, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
+from tapelake.llm import bpe, chat, html_extract, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
 from tapelake.llm.queries import vocabulary_file
 
 HARD = [(1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "word " * 30_000), (6, "x" * 50_000), (7, "same text of six words here"), (7, "same text of six words here"), (8, "same text of six words here"), (9, "日本語 <|endoftext|> é́ don't  stop"), (None, "no id at all but some words")]
@@ -216,28 +216,3 @@ def test_long_texts_pool_alike(monkeypatch):
     whole = pooler.pool([text])
     monkeypatch.setattr(quality_classifier, "STRIDE", 64)
     assert np.allclose(pooler.pool([text, "a"])[0], whole[0], atol=1e-5)
-
-
-def test_lm(spark, hard, empty):
-    words = lm_score.vocabulary(hard)
-    weights = lm_score.train(hard, words)
-    got = lm_score.score(hard, words, weights).collect()
-    assert len(got) == len(HARD)
-    assert all((r["per_word"] is None) == (r["n_words"] == 0) and r["log_likelihood"] <= 0 for r in got)
-    layers = [w.astype(np.float64) for w in lm_score.unpack(weights)]
-    classes, _ = words.classes("same text of six words here")
-    want = 0.0
-    for i in range(2, len(classes) - 2):
-        h = np.tanh(layers[1] + sum(layers[0][k][classes[i + d]] for k, d in enumerate(lm_score.OFFSETS)))
-        z = h @ layers[2] + layers[3]
-        want += z[classes[i]] - np.log(np.exp(z).sum())
-    assert lm_score.log_likelihood(lm_score.unpack(weights), classes) == pytest.approx(want, rel=1e-4)
-    assert lm_score.score(empty, lm_score.vocabulary(empty), lm_score.train(empty, words)).count() == 0
-
-
-def test_lm_encoding_once_changes_nothing(spark, hard, empty):
-    words = lm_score.vocabulary(hard)
-    want = lm_score.score(hard, words, lm_score.train(hard, words)).collect()
-    key = lambda r: (str(r["doc_id"]), r["n_words"], r["log_likelihood"])
-    assert sorted(lm_score.score_corpus(hard).collect(), key=key) == sorted(want, key=key)
-    assert lm_score.score_corpus(empty).count() == 0
