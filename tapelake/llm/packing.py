@@ -1,11 +1,13 @@
 """Lexical retrieval packing: sequences filled with related documents.
 
-Documents are dealt to shards of about SHARD documents by their content: a tree splits the corpus at the median of the
-direction in which a node's BM25 vectors vary most, so that neighbours tend to share a leaf.  A shard holds an inverted
-index of its own documents with the document frequencies and mean length of the whole corpus; neighbours in other
-shards are not found.  Whole windows of a long document are sequences of their own.  What remains seeds windows, longest first: the index ranks the unused documents by BM25 against the seed
-and they fill its window greedily.  The last one is cut at a multiple of GRAIN tokens; its rest stays unused and is
-indexed like any other document.
+Documents are brought into an order of their content: a tree of hyperplanes, each the direction in which a node's BM25
+vectors vary most, gives leaves, and inside a leaf the last direction goes on.  The order is cut into shards of SHARD
+documents, so that neighbours tend to share a shard while no shard outgrows its size, however many documents are alike.
+A shard holds an inverted index of its own documents with the document frequencies and mean length of the whole corpus;
+neighbours in other shards are not found.  Whole windows of a long document are sequences of their own.  What remains
+seeds windows, longest first: the index ranks the unused documents by BM25 against the seed and they fill its window
+greedily.  The last one is cut at a multiple of GRAIN tokens; its rest stays unused and is indexed like any other
+document.
 
 Token ids never leave the task that makes them.  A document travels as its terms and one checksum for each GRAIN
 tokens, from which the checksum of any piece follows, so the shuffle moves a fraction of the text.
@@ -14,6 +16,7 @@ tokens, from which the checksum of any piece follows, so the shuffle moves a fra
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,20 +25,23 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tapelake.llm.common import cut, map_batches
 
-WINDOW, GRAIN, SHARD = 4096, 32, 1024
+WINDOW, GRAIN, SHARD = 4096, 32, 2048
 #: Id that ends a document.
 END = 2
 #: The usual BM25 constants.
 K1, B = 1.2, 0.75
-#: Dimensions of the projected vectors that place documents, and documents of a shard that shape the tree.
-DIMENSIONS, PER_SHARD = 64, 16
+#: Dimensions of the projected vectors that order documents, leaves of the tree at most, and documents that shape a leaf.
+DIMENSIONS, LEAVES, PER_LEAF = 48, 1024, 32
 #: Entries at which a worker's caches stop growing; common words come early.
-CACHE = 300_000
+CACHE = 500_000
 
 #: Fixed letters and pieces of the vocabulary's pattern within the range where no normalisation is needed.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -43,6 +49,20 @@ PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9
 PLAIN = re.compile(rf"[!-~{LETTERS}]+")
 
 
+class _Found(dict):
+    """Values looked up once by ``find``, as long as there is room."""
+
+    def __init__(self, find, known: dict):
+        super().__init__(known)
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.find(key)
+        if len(self) < CACHE:
+            self[key] = value
+        return value
+
+
 class WordCodec:
     """Ids of a word vocabulary, looked up word by word.
 
@@ -59,37 +79,28 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
+        self.merge = self.tokenizer.model.tokenize
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Found(self._word, {"": b""})
+        self.pieces = _Found(self._piece, {})
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            known = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            found = np.array([t.id for t in self.model.tokenize(known)], dtype="<u4").tobytes()
-            if len(self.pieces) < CACHE:
-                self.pieces[piece] = found
-        return found
+        known = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return _packed([t.id for t in self.merge(known)])
 
     def _word(self, word: str) -> bytes:
-        low = word.lower()  # some letters have their small form outside the plain range
-        if PLAIN.fullmatch(word) and PLAIN.fullmatch(low) and "<|" not in word:
-            found = b"".join(map(self._piece, PIECES.findall(low)))
-        else:
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self.words) < CACHE:
-            self.words[word] = found
-        return found
+        low = word.lower()
+        # Some letters have their small form outside the plain range.
+        if PLAIN.fullmatch(word) and "<|" not in word and (word.isascii() or PLAIN.fullmatch(low)):
+            return self.pieces[low] if low.isascii() and low.isalpha() else b"".join(map(self.pieces.__getitem__, PIECES.findall(low)))
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        words = self.words
-        out = []
-        for word in text.replace("\n", " ").split(" "):
-            found = words.get(word)
-            out.append(self._word(word) if found is None else found)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -211,71 +222,67 @@ def vector(corpus: Statistics, terms: bytes, counts: bytes) -> np.ndarray:
 
 
 class Tree:
-    """Splits by hyperplanes; a node of k shards gives k // 2 of them, by share of its sample, to its left side."""
+    """Splits by hyperplanes at the median of a sample; leaves in the order of the tree, each with a direction of its own."""
 
-    def __init__(self, sample: np.ndarray, shards: int):
+    def __init__(self, sample: np.ndarray, leaves: int):
         self.normals, self.cuts, self.sides = [], [], []
-        self.root = self._grow(sample, 0, shards)
+        self.root = self._grow(sample, 0, leaves)
         self.normals, self.cuts = np.array(self.normals, np.float32).reshape(-1, DIMENSIONS), np.array(self.cuts, np.float32)
 
-    def _grow(self, sample: np.ndarray, first: int, shards: int) -> int:
-        """Index of a node; a shard s counts as -1 - s."""
-        if shards == 1:
-            return -1 - first
-        normal, at = np.eye(1, DIMENSIONS, dtype=np.float32)[0], 0.0
+    def _grow(self, sample: np.ndarray, first: int, leaves: int) -> int:
+        """Index of a node of ``leaves`` leaves, the first of which has the number ``first``."""
+        normal = np.eye(1, DIMENSIONS, dtype=np.float32)[0]
         if len(sample):
             away = sample - sample.mean(axis=0)
             normal = np.linalg.eigh((away.T @ away).astype(np.float64))[1][:, -1].astype(np.float32)
-            at = np.float32(np.quantile(sample @ normal, shards // 2 / shards))
-        low = sample @ normal < at
+        at = np.float32(np.quantile(sample @ normal, leaves // 2 / leaves)) if len(sample) else np.float32(0)
         node = len(self.normals)
         self.normals.append(normal)
         self.cuts.append(at)
-        self.sides.append((0, 0))
-        self.sides[node] = self._grow(sample[low], first, shards // 2), self._grow(sample[~low], first + shards // 2, shards - shards // 2)
+        self.sides.append((-1 - first, -1 - first))
+        if leaves > 1:
+            low = sample @ normal < at
+            self.sides[node] = self._grow(sample[low], first, leaves // 2), self._grow(sample[~low], first + leaves // 2, leaves - leaves // 2)
         return node
 
-    def place(self, x: np.ndarray) -> int:
+    def place(self, x: np.ndarray) -> tuple[int, float]:
+        """Leaf of a vector, and its place along the leaf's direction."""
         node = self.root
-        while node >= 0:
-            node = self.sides[node][0 if x @ self.normals[node] < self.cuts[node] else 1]
-        return -1 - node
+        while True:
+            along = float(x @ self.normals[node])
+            low, high = self.sides[node]
+            if low < 0:
+                return -1 - low, along
+            node = low if along < self.cuts[node] else high
+
 
+ORDERED = "id long, tokens long, terms binary, counts binary, grains binary, leaf int, along double, salt long"
 
-def deal(profiles: DataFrame, corpus: Statistics) -> DataFrame:
-    """Add ``shard``: the leaf of a document, or one of a leaf's parts where it holds many more than SHARD.
 
-    The tree is shaped by about PER_SHARD documents for each shard, which a hash picks; every document is placed.
+def order(profiles: DataFrame, corpus: Statistics, shard: int = SHARD) -> DataFrame:
+    """Add the place of each document in the order of content: leaf, place along the leaf, and a salt that parts what is alike.
+
+    The tree has a leaf for each shard, LEAVES at most, and is shaped by about PER_LEAF documents a leaf, which a hash
+    picks; what the driver gets and sends is bounded by that.  Every document is placed.
     """
-    shards = max(1, -(-corpus.n // SHARD))
-    if shards == 1:
-        return profiles.withColumn("shard", F.lit(0).cast("long"))
     context = profiles.sparkSession.sparkContext
+    salted = profiles.withColumn("salt", F.xxhash64(F.monotonically_increasing_id(), F.lit(1)))
+    leaves = min(LEAVES, max(1, -(-corpus.n // shard)))
     known = context.broadcast(corpus)
 
     def project(rows: dict) -> dict:
         return {"x": [vector(known.value, t, c).tobytes() for t, c in zip(rows["terms"], rows["counts"], strict=True)]}
 
-    few = F.pmod(F.xxhash64("id", "tokens", F.crc32("grains"), F.lit(1)), F.lit(SHARD)) < PER_SHARD
-    picked = sorted(bytes(r["x"]) for r in map_batches(profiles.where(few).select("terms", "counts"), "x binary", project, "terms").collect())
-    tree = context.broadcast(Tree(np.frombuffer(b"".join(picked), np.float32).reshape(-1, DIMENSIONS), shards))
-
-    def leaf(rows: dict) -> dict:
-        return rows | {"leaf": [tree.value.place(vector(known.value, t, c)) for t, c in zip(rows["terms"], rows["counts"], strict=True)]}
-
-    names = "id long, tokens long, terms binary, counts binary, grains binary"
-    placed = map_batches(profiles.select("terms", "counts"), "terms binary, counts binary, leaf long", leaf, "terms").groupBy("leaf").count().collect()
-    parts = np.ones(shards, dtype=np.int64)
-    for r in placed:
-        parts[r["leaf"]] = -(-r["count"] // SHARD) if r["count"] > 2 * SHARD else 1
-    first = np.cumsum(parts) - parts
+    share = PER_LEAF * leaves / max(corpus.n, 1)
+    few = salted.where(F.pmod("salt", F.lit(1 << 30)) < int(share * (1 << 30))).select("terms", "counts")
+    picked = sorted(bytes(r["x"]) for r in map_batches(few, "x binary", project, "terms").collect()) if leaves > 1 else []
+    tree = context.broadcast(Tree(np.frombuffer(b"".join(picked), np.float32).reshape(-1, DIMENSIONS), leaves))
 
-    def shard(rows: dict) -> dict:
-        found = np.array(leaf(rows)["leaf"], dtype=np.int64)
-        salt = np.array([zlib.crc32(g, zlib.crc32(str(i).encode())) for i, g in zip(rows["id"], rows["grains"], strict=True)], dtype=np.int64)
-        return rows | {"shard": (first[found] + salt % parts[found]).tolist()}
+    def place(rows: dict) -> dict:
+        found = [tree.value.place(vector(known.value, t, c)) for t, c in zip(rows["terms"], rows["counts"], strict=True)]
+        return rows | {"leaf": [x for x, _ in found], "along": [y for _, y in found]}
 
-    return map_batches(profiles, names + ", shard long", shard, "terms")
+    return map_batches(salted, ORDERED, place, "terms")
 
 
 class _Index:
@@ -310,8 +317,8 @@ class _Index:
         return np.bincount(self.owner[rows], self.weight[rows], minlength=self.n)
 
 
-def pack_shard(shard: int, docs: pd.DataFrame, corpus: Statistics | None = None) -> pd.DataFrame:
-    """Pack one shard's documents; its cost and memory are bounded by the shard, whose rows are sorted first."""
+def pack_shard(first: int, docs: pd.DataFrame, corpus: Statistics | None = None) -> pd.DataFrame:
+    """Pack one shard's documents into sequences numbered from ``first`` on; rows are sorted first."""
     docs = docs.sort_values(["id", "tokens", "grains"], kind="stable", na_position="first").reset_index(drop=True)
     n = len(docs)
     tokens = docs["tokens"].to_numpy()
@@ -352,28 +359,57 @@ def pack_shard(shard: int, docs: pd.DataFrame, corpus: Statistics | None = None)
     out = pd.DataFrame(pieces, columns=["row", "start", "length", "sequence_id", "offset"])
     rows = out["row"].to_numpy()
     crc = join_checksums([grains[d][s // GRAIN : -(-(s + k) // GRAIN)] for d, s, k, _, _ in pieces], out["length"].to_numpy())
-    return pd.DataFrame({"doc_id": docs["id"].to_numpy()[rows] if n else [], "start": out["start"], "length": out["length"], "ids_crc32": crc, "doc_tokens": tokens[rows] if n else [], "sequence_id": out["sequence_id"] + (shard << 32), "offset": out["offset"]})
+    return pd.DataFrame({"doc_id": docs["id"].to_numpy()[rows] if n else [], "start": out["start"], "length": out["length"], "ids_crc32": crc, "doc_tokens": tokens[rows] if n else [], "sequence_id": out["sequence_id"] + first, "offset": out["offset"]})
 
 
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", exact: bool = False) -> DataFrame:
     """Pieces of sequences of at most WINDOW tokens; each of a document's ids lies in one piece.
 
     Null texts count as empty, so they hold their end id alone.  Each row is packed, repeated rows too; ties are
-    broken by id, length and content.  An empty table gives no piece.  Other columns are ignored.  The number of
-    shards follows from the row count and a shard holds at most about 2 SHARD rows, so its memory and cost do not grow
-    with the input; a seed's neighbours in other shards are not found.
+    broken by id, length and content.  An empty table gives no piece.  Other columns are ignored.  A shard holds SHARD
+    rows, at the end of a partition up to half as many more, so its memory and cost do not grow with the input; a
+    seed's neighbours in other shards are not found.  ``exact`` makes one shard of the whole corpus, so that every
+    seed ranks all unused documents: for a corpus that one task can hold.
     """
     profiles = cut(profile(df, path, id_column, text))
     corpus = statistics(profiles)
     known = df.sparkSession.sparkContext.broadcast(corpus)
+    size = max(corpus.n, 1) if exact else SHARD
+    arrow = to_arrow_schema(StructType.fromDDL(PACKED))
 
-    def run(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
-        return pack_shard(int(key[0]), docs, known.value)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pd.DataFrame] = []
+        held, first = 0, TaskContext.get().partitionId() << 40
+
+        def packed(rows: pd.DataFrame) -> pa.RecordBatch:
+            nonlocal first
+            out = pack_shard(first, rows, known.value)
+            first = int(out["sequence_id"].max()) + 1
+            return pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
 
-    return deal(profiles, corpus).groupBy("shard").applyInPandas(run, PACKED)
+        for batch in batches:
+            waiting.append(batch.to_pandas())
+            held += len(batch)
+            if held > 2 * size:
+                rows = pd.concat(waiting, ignore_index=True)
+                while len(rows) > 2 * size:
+                    yield packed(rows.iloc[:size])
+                    rows = rows.iloc[size:]
+                waiting, held = [rows], len(rows)
+        if held:
+            rows = pd.concat(waiting, ignore_index=True)
+            if len(rows) > size + size // 2:
+                yield packed(rows.iloc[:size])
+                rows = rows.iloc[size:]
+            yield packed(rows)
+
+    placed = order(profiles, corpus, size)
+    keys = ("leaf", "along", "salt")
+    ranged = (placed.coalesce(1) if exact else placed.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+    return ranged.select("id", "tokens", "terms", "counts", "grains").mapInArrow(run, PACKED)
 
 
 def sequences(pieces: DataFrame, df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
