@@ -29,18 +29,17 @@ from pyspark.sql import functions as F
 
 from tapelake.llm.common import ascii_words, cut, map_batches, steps
 
-#: Classes in groups of MEMBERS: frequent words, then endings.  One more value pads the ends of a text.
-GROUPS, MEMBERS = 32, 32
+#: Classes in groups of MEMBERS: frequent words, then endings, and one that pads the ends of a text.
+GROUPS, MEMBERS = 16, 16
 CLASSES = GROUPS * MEMBERS
-TOP = 768
-ENDINGS = CLASSES - TOP
-PADDING = CLASSES
+TOP, ENDINGS = 191, 64
+PADDING = TOP + ENDINGS
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN, BATCH, RATE = 16, 4096, 4e-3
 #: Words of a shard and of a block of a text, and the share of blocks (one in FIRST) that the first round takes.
 SHARD, BLOCK, FIRST = 1 << 21, 1 << 16, 8
-#: Frequent words whose counts travel with the tasks.
-KNOWN = 1 << 17
+#: Frequent words at most whose counts travel with the tasks, and steps of a doubling in which frequencies are told apart.
+KNOWN, FINENESS = 1 << 18, 16
 #: Nats for each letter of a word that no other document holds.
 LETTER = float(np.log(32))
 #: Parts of a nat in which shares are summed, so that sums don't depend on the order of rows.
@@ -102,7 +101,7 @@ class Vocabulary:
         rest = max(float(totals[top:].sum()), 1.0)
         #: Share of a class that words of no other document have, and its logarithm.
         self.novel = min(max(once / rest, 1e-6), 0.5)
-        self.novel_cost, self.seen_cost = float(np.log(self.novel)), float(np.log1p(-self.novel))
+        self.novel_cost, self.seen_cost, self.log_totals = float(np.log(self.novel)), float(np.log1p(-self.novel)), np.log1p(totals)
         self._reset()
 
     def __reduce__(self) -> tuple:
@@ -130,16 +129,12 @@ class Vocabulary:
         self.filled = len(self.codes)
         new.clear()
 
-    def log_share(self, others: np.ndarray, classes: np.ndarray, letters: np.ndarray) -> np.ndarray:
-        """Log share of a word in its class, from its count in other documents."""
-        seen = self.seen_cost + np.log(np.maximum(others, 1)) - np.log1p(self.totals[classes])
-        return np.where(others > 0, seen, self.novel_cost - LETTER * (letters + 1))
-
     def encode(self, texts: list[str | None]) -> list[tuple]:
-        """(classes padded at both ends, base, novel, words, times, letters, log totals) of each text.
+        """(classes padded at both ends, base, novel, words, times, spelled) of each text.
 
         ``base`` sums the log shares of words whose counts are at hand and ``novel`` counts those among them that no
-        other document holds; the rest are listed with what ``add_shares`` needs.
+        other document holds.  The rest are listed: ``base`` has their shares but for the logarithm of their count in
+        other documents, in whose place ``spelled`` stands if there is none.
         """
         out = []
         for text in texts:
@@ -149,24 +144,33 @@ class Vocabulary:
             places = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
             self._fill()
             kinds = self.table[0][places]
-            classes = np.full(len(words) + 4, PADDING, dtype=np.uint16)
+            classes = np.full(len(words) + 4, PADDING, dtype=np.uint8)
             classes[2:-2] = kinds
             local, times = np.unique(places, return_counts=True)
             kind, seen, value, letters = self.table[:, local]
             near, far = (seen >= 0) & (kind >= self.top), seen < 0
-            base = times[near] * self.log_share(seen[near] - times[near], kind[near], letters[near])
-            novel = int(times[(seen >= 0) & (seen <= times)].sum())
-            out.append((classes, float(base.sum()), novel, value[far], times[far], letters[far], np.log1p(self.totals[kind[far]])))
+            share = self.seen_cost - self.log_totals[kind]
+            spelled = self.novel_cost - LETTER * (letters + 1) - share
+            others = seen - times
+            share[near] += np.where(others > 0, np.log(np.maximum(others, 1)), spelled)[near]
+            base = float((times * share)[near | far].sum())
+            out.append((classes, base, int(times[(seen >= 0) & (others <= 0)].sum()), value[far], times[far], spelled[far]))
         return out
 
 
 def vocabulary(docs: DataFrame, top: int = TOP, known: int = KNOWN) -> Vocabulary:
-    """Counts of all words; the driver gets ``known`` words and one total for each class.
+    """Counts of all words; the driver gets ``known`` words at most, how many have which frequency, and one total for each class.
 
     At most TOP words have classes of their own, and at most as many as are known.
     """
+    step = F.floor(F.log2("n") * FINENESS).cast("int")
     counts = cut(word_counts(docs))
-    rows = counts.orderBy(F.desc("n"), "word").limit(known).toPandas()
+    held, least = 0, 0
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        held, least = held + r["count"], r["step"] if held + r["count"] <= known else r["step"] + 1
+        if held > known:
+            break
+    rows = counts.where(step >= least).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words, seen = rows["word"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     totals = np.zeros(CLASSES)
     sums = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once")).toPandas()
@@ -177,7 +181,7 @@ def vocabulary(docs: DataFrame, top: int = TOP, known: int = KNOWN) -> Vocabular
     return Vocabulary(words, seen, totals, int(sums["once"].sum()), top, counts.select("word", "n"))
 
 
-SHAPES = ((len(OFFSETS), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, GROUPS), (GROUPS,), (GROUPS, HIDDEN, MEMBERS), (GROUPS, MEMBERS))
+SHAPES = ((len(OFFSETS), CLASSES, HIDDEN), (HIDDEN,), (HIDDEN, GROUPS), (GROUPS,), (GROUPS, HIDDEN, MEMBERS), (GROUPS, MEMBERS))
 SIZES = [int(np.prod(s)) for s in SHAPES]
 
 
@@ -269,7 +273,7 @@ class Trainer:
         columns = np.arange(HIDDEN)
         for k, d in enumerate(OFFSETS):
             cells = (classes[at + d] * HIDDEN)[:, None] + columns
-            parts[0][k] = np.bincount(cells.reshape(-1), back.reshape(-1), minlength=(CLASSES + 1) * HIDDEN).reshape(CLASSES + 1, HIDDEN)
+            parts[0][k] = np.bincount(cells.reshape(-1), back.reshape(-1), minlength=CLASSES * HIDDEN).reshape(CLASSES, HIDDEN)
         parts[1][:] = back.sum(axis=0)
         parts[2][:] = hidden.T @ outer.T
         parts[3][:] = outer.sum(axis=1)
@@ -288,15 +292,15 @@ class Trainer:
         self.flat -= slope
 
 
-CODED = "row long, doc_id long, base double, novel long, classes binary, words array<long>, times array<long>, letters array<long>, totals array<double>"
+CODED = "row long, doc_id long, base double, novel long, classes binary, words array<long>, times array<long>, spelled array<double>"
 
 
 def code(docs: DataFrame, words: Vocabulary) -> DataFrame:
-    """The encoded texts, stored: two bytes for each word's class, padded at both ends, and what ``add_shares`` needs."""
+    """The encoded texts, stored: a byte for each word's class, padded at both ends, and what ``add_shares`` needs."""
     held = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(rows: dict) -> dict:
-        names = ("classes", "base", "novel", "words", "times", "letters", "totals")
+        names = ("classes", "base", "novel", "words", "times", "spelled")
         coded = dict(zip(names, zip(*held.value.encode(rows["text"]), strict=True), strict=True)) if rows["row"] else dict.fromkeys(names, [])
         return {"row": rows["row"], "doc_id": rows["doc_id"]} | coded | {"classes": [c.tobytes() for c in coded["classes"]]}
 
@@ -310,9 +314,9 @@ def add_shares(coded: DataFrame, words: Vocabulary) -> DataFrame:
     The words of a document whose counts did not travel meet them in a join; the frequent ones, which very many
     documents hold, take no part in it.  Sums are of whole numbers, so they don't depend on the order of rows.
     """
-    met = coded.select("row", F.explode(F.arrays_zip("words", "times", "letters", "totals")).alias("w")).select("row", "w.*")
+    met = coded.select("row", F.explode(F.arrays_zip("words", "times", "spelled")).alias("w")).select("row", "w.*")
     others = F.coalesce(F.col("n"), F.lit(0)) - F.col("times")
-    share = F.when(others > 0, F.lit(words.seen_cost) + F.log(others) - F.col("totals")).otherwise(F.lit(words.novel_cost) - F.lit(LETTER) * (F.col("letters") + 1))
+    share = F.when(others > 0, F.log(others)).otherwise(F.col("spelled"))
     counted = met.join(words.counts, met["words"] == F.col("word"), "left")
     sums = counted.groupBy("row").agg(F.sum(F.round(share * FINE).cast("long") * F.col("times")).alias("far"), F.sum(F.when(others > 0, 0).otherwise(F.col("times"))).alias("more"))
     joined = coded.select("row", "doc_id", "base", "novel", "classes").join(sums, "row", "left")
@@ -325,7 +329,7 @@ def encode(docs: DataFrame, words: Vocabulary) -> DataFrame:
 
 
 def decoded(classes: bytes) -> np.ndarray:
-    return np.frombuffer(classes, dtype=np.uint16).astype(np.int64)
+    return np.frombuffer(classes, dtype=np.uint8).astype(np.int64)
 
 
 def _hash(*columns: Column) -> Column:
@@ -337,9 +341,9 @@ def blocks(coded: DataFrame, shards: int) -> DataFrame:
 
     Shard and order follow from a document's id and content; texts that agree in both are interchangeable.
     """
-    size = (F.octet_length("classes") / 2).cast("int") - 4
+    size = F.octet_length("classes") - 4
     cuts = coded.where(size > 0).select("doc_id", "classes", F.explode(F.sequence(F.lit(0), F.floor((size - 1) / BLOCK).cast("int"))).alias("block"))
-    key = cuts.select(_hash(F.col("doc_id"), F.xxhash64("classes"), F.col("block")).alias("hash"), F.substring("classes", F.col("block") * (2 * BLOCK) + 1, F.lit(2 * BLOCK + 8)).alias("classes"))
+    key = cuts.select(_hash(F.col("doc_id"), F.xxhash64("classes"), F.col("block")).alias("hash"), F.substring("classes", F.col("block") * BLOCK + 1, F.lit(BLOCK + 4)).alias("classes"))
     return key.select(F.pmod("hash", F.lit(shards)).alias("shard"), "hash", (F.pmod(_hash(F.col("hash"), F.lit(1)), F.lit(FIRST)) == 0).alias("first"), "classes")
 
 
@@ -359,7 +363,7 @@ def fit(coded: DataFrame, words: Vocabulary) -> np.ndarray:
                 nonlocal learned, size
                 classes = np.concatenate([decoded(c) for c in waiting])
                 # A block's first and last two are its neighbours' or padding: they are seen, not predicted.
-                bounds = np.cumsum([0, *(len(c) // 2 for c in waiting)])
+                bounds = np.cumsum([0, *map(len, waiting)])
                 at = np.concatenate([np.arange(a + 2, b - 2) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
                 trainer.fit(classes, np.random.default_rng(len(at)).permutation(at))
                 learned += len(at)
@@ -383,7 +387,7 @@ def fit(coded: DataFrame, words: Vocabulary) -> np.ndarray:
                             trainer, shard = Trainer(held.value), own
                         waiting.append(classes)
                         size += len(classes)
-                        if size > 1 << 19:
+                        if size > 1 << 18:
                             learn()
             finish()
             if seen:

@@ -45,7 +45,7 @@ def test_steps_follow_the_slope():
     """One step moves every weight against the numeric slope of the mean loss."""
     random = np.random.default_rng(1)
     weights = lm_score.start(np.ones(lm_score.CLASSES)) + random.normal(0, 0.1, sum(lm_score.SIZES)).astype(np.float32)
-    classes = np.concatenate([[lm_score.PADDING] * 2, random.integers(0, lm_score.CLASSES, 40), [lm_score.PADDING] * 2])
+    classes = np.concatenate([[lm_score.PADDING] * 2, random.integers(0, lm_score.PADDING, 40), [lm_score.PADDING] * 2])
     trainer = lm_score.Trainer(weights)
     trainer.fit(classes, np.arange(2, 42))
     slope = trainer.first / 0.1
