@@ -1,32 +1,38 @@
 """MinHash near-duplicates, confirmed on full shingle sets.
 
-A document's set holds the hashes of its distinct 5-word shingles.  Documents with equal sets form a class and travel
-as its smallest id.  A class gets one-permutation hashes with optimal densification, banded into buckets; a bucket
+A document's set holds the hashes of its distinct 5-word shingles.  Documents with equal sets form a class, which is
+a node of the graph.  A class gets one-permutation hashes with optimal densification, banded into buckets; a bucket
 gives star-shaped candidate edges, one from each member to the smallest, so the edges never exceed the members.  The
-components of the candidate graph are families: every pair that shares a bucket lies within one.  Inside a family all
-links are found exactly by prefix filtering over the full sets, in blocks of bounded size; a task returns spanning
-links only.  Components of the links give the result.
+components of the candidate graph are families: every pair that shares a bucket lies within one.
+
+Inside a family all links are found exactly.  A family is dealt into blocks of bounded size, and its hub, the node that
+shares most buckets with others, meets every block.  Two nodes that are linked with the hub are connected already, and
+as 1 - similarity is a metric, a pair with a node far from the hub needs no look if the other is near it.  So only
+what is not linked with the hub meets the other blocks; of near copies of one text this is little, and the work grows
+with their number and not with its square.  Components of the links give the result.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import ascii_words, cut, map_batches
+from tapelake.llm.common import ascii_words, cut, map_batches, steps
 
 #: Words of a shingle, and the least Jaccard similarity of a link in hundredths where a caller names none.
 WIDTH, PERCENT = 5, 85
 #: Slots of a sketch, and the chance with which all bands of a pair of the least similarity may miss.
 SLOTS, MISS = 240, 1e-7
-#: Shingle hashes of a block; two blocks meet in one task.
-BLOCK = 1 << 19
+#: Shingle hashes of a block, and bits at most of the filter that finds the texts of candidates.
+BLOCK, FILTER = 1 << 15, 1 << 24
 #: Words whose hash a worker keeps.
 CACHE = 300_000
 #: Attempts of the densification before it takes the first full slot.
@@ -94,11 +100,16 @@ def set_key(values: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
+def _identified(df: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(id, hash, text): an id and a hash of the text tell rows apart that differ in either."""
+    return df.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+
+
 def sketches(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, k1, k2, sketch): key and sketch are null for an empty set."""
+    """(id, hash, n_shingles, k1, k2, sketch): key and sketch are null for an empty set."""
 
     def run(rows: dict) -> dict:
-        out: dict[str, list] = {"id": rows["id"], "n_shingles": [], "k1": [], "k2": [], "sketch": []}
+        out: dict[str, list] = {"id": rows["id"], "hash": rows["hash"], "n_shingles": [], "k1": [], "k2": [], "sketch": []}
         for t in rows["text"]:
             values = shingles(t)
             k1, k2 = set_key(values) if len(values) else (None, None)
@@ -106,7 +117,14 @@ def sketches(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
                 out[name].append(value)
         return out
 
-    return map_batches(df.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")), "id long, n_shingles long, k1 long, k2 long, sketch binary", run, "text")
+    return map_batches(_identified(df, id_column, text), "id long, hash long, n_shingles long, k1 long, k2 long, sketch binary", run, "text")
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """(node, k1, k2, at, n_shingles, sketch): a row for each distinct set, numbered, with one text that has it, stored."""
+    at = F.min(F.struct("id", "hash")).alias("at")
+    sets = rows.where("n_shingles > 0").groupBy("k1", "k2").agg(at, F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    return cut(sets).withColumn("node", F.monotonically_increasing_id())
 
 
 def band_slots(percent: int) -> int:
@@ -116,13 +134,16 @@ def band_slots(percent: int) -> int:
 
 
 def candidate_edges(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): each member of a bucket of two or more with the bucket's smallest id, once."""
+    """(a, b, weight), stored: each member of a bucket of two or more with the bucket's smallest node, itself included.
+
+    ``weight`` sums the sizes of the buckets that give the edge.
+    """
     band = band_slots(percent)
     wide = 4 * band
     hashes = F.array(*(F.xxhash64(F.substring("sketch", 1 + i * wide, wide), F.lit(i)) for i in range(SLOTS // band)))
-    bands = classes.where("rep is not null").select("rep", F.explode(hashes).alias("bucket"))
-    stars = cut(bands.groupBy("bucket").agg(F.min("rep").alias("center"), F.count("rep").alias("n")).where("n > 1").select("bucket", "center"))
-    return bands.join(stars, "bucket").where("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
+    bands = classes.select("node", F.explode(hashes).alias("bucket"))
+    stars = cut(bands.groupBy("bucket").agg(F.min("node").alias("center"), F.count("node").alias("n")).where("n > 1"))
+    return cut(bands.join(stars, "bucket").groupBy(F.col("node").alias("a"), F.col("center").alias("b")).agg(F.sum("n").alias("weight")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -205,30 +226,92 @@ def _slices(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarr
     return values[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
 
-def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(a, b): links between class representatives, enough of them to connect all that are linked."""
-    families = components(candidate_edges(classes, percent))
-    members = families.join(classes.select("rep", "n_shingles", "k1", "k2"), F.col("node") == F.col("rep")).select("rep", "n_shingles", "k1", "k2", F.col("component").alias("family"))
-    sizes = members.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
-    placed = cut(members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
-    texts = docs.select(F.col(id_column).cast("long").alias("rep"), F.col(text).alias("text")).join(placed, "rep")
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bits of a hash of (id, hash) of every row, FILTER of them at most: the driver gets one number for each 64."""
+    bits = min(FILTER, 1 << max(10, int(16 * keys.count()).bit_length()))
+    place = F.pmod(F.xxhash64("id", "hash"), F.lit(bits))
+    words = keys.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id, hash), {bits}) % 64 as int))").alias("b"))
+    out = np.zeros(bits // 64, dtype=np.int64)
+    for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
+        out[r["w"]] = r["b"]
+    return out
 
-    def run(rows: dict) -> dict:
-        made = [shingles(t) for t in rows["text"]]
-        same = [bool(len(s)) and set_key(s) == k for s, k in zip(made, zip(rows["k1"], rows["k2"], strict=True), strict=True)]
-        return {k: rows[k] for k in ("rep", "family", "block", "blocks")} | {"members": [s.tobytes() if ok else None for s, ok in zip(made, same, strict=True)]}
 
-    sets = map_batches(texts.select("rep", "family", "block", "blocks", "k1", "k2", "text"), "rep long, family long, block int, blocks int, members binary", run, "text").where("members is not null")
-    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = met.select("family", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "rep", "block", "members")
+def _sets(docs: DataFrame, placed: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``placed`` with the set of each node, stored.  Sets are made where the texts lie, and only of candidates' texts."""
+    bits = _filter(placed.select("id", "hash"))
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+    mask = 64 * len(bits)
 
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("rep").sort_values("rep")
-        side = (rows["block"].to_numpy() == key[2]).astype(int)
-        found = block_links(rows["rep"].to_numpy(), [np.frombuffer(m, dtype=np.uint64) for m in rows["members"]], side, key[1] != key[2], percent)
-        return pd.DataFrame(found, columns=["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(3).to_numpy(zero_copy_only=False)
+            few = batch.filter(pa.array((held.value[at >> 6] >> (at & 63)) & 1 == 1))
+            for part in steps(few, "text"):
+                made = [shingles(t) for t in part.column(2).to_pylist()]
+                keys = [set_key(v) for v in made]
+                columns = [part.column(0), part.column(1), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), pa.array([v.tobytes() for v in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "hash", "k1", "k2", "members"])
 
-    return dealt.groupBy("family", "x", "y").applyInPandas(compare, "a long, b long")
+    texts = _identified(docs, id_column, text).withColumn("at", F.pmod(F.xxhash64("id", "hash"), F.lit(mask)))
+    made = texts.mapInArrow(run, "id long, hash long, k1 long, k2 long, members binary").withColumnRenamed("k1", "s1").withColumnRenamed("k2", "s2")
+    met = placed.alias("p").join(made.alias("m"), F.expr("p.id <=> m.id and p.hash = m.hash and p.k1 = m.s1 and p.k2 = m.s2"))
+    return cut(met.select("node", "family", "block", "blocks", "hub", "members"))
+
+
+def _members(rows: pd.DataFrame) -> list[np.ndarray]:
+    return [np.frombuffer(m, dtype=np.uint64) for m in rows["members"]]
+
+
+def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(a, b): links between nodes, enough of them to connect all that are linked."""
+    edges = candidate_edges(classes, percent)
+    families = components(edges.select("a", "b")).select("node", F.col("component").alias("family"))
+    degrees = edges.groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("degree"))
+    members = families.join(degrees, "node").join(classes.select("node", F.col("at.id").alias("id"), F.col("at.hash").alias("hash"), "n_shingles", "k1", "k2"), "node")
+    sizes = members.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"), F.max_by("node", F.struct("degree", "node")).alias("hub"))
+    placed = cut(members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    sets = _sets(docs, placed, id_column, text)
+
+    def within(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        """Links of a block and the hub; ``away`` marks nodes that are not linked with the hub."""
+        rows = rows.drop_duplicates("node").sort_values("node")
+        held, nodes = _members(rows), rows["node"].to_numpy()
+        near = dict(block_links(nodes, held, np.zeros(len(nodes), dtype=int), False, percent))
+        away = np.zeros(len(nodes), dtype=bool)
+        if rows["blocks"].iloc[0] > 1:
+            hub = held[int(np.flatnonzero(nodes == rows["hub"].iloc[0])[0])]
+            shared = np.array([np.isin(h, hub, assume_unique=True).sum() for h in held])
+            sizes = np.array([len(h) for h in held])
+            away = 100 * shared < percent * (sizes + len(hub) - shared)
+        return pd.DataFrame({"family": key[0], "node": nodes, "to": [near.get(n, n) for n in nodes.tolist()], "away": away, "size": [len(h) for h in held]})
+
+    hubs = sets.where("node = hub and blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    inner = cut(sets.unionByName(hubs).groupBy("family", "block").applyInPandas(within, "family long, node long, to long, away boolean, size long"))
+    found = inner.where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b"))
+    away = cut(inner.where("away").select("family", "node", "size").distinct())
+    if away.isEmpty():
+        return found
+    chunks = away.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("chunks"))
+
+    def across(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates(["node", "side"]).sort_values(["node", "side"])
+        return pd.DataFrame(block_links(rows["node"].to_numpy(), _members(rows), rows["side"].to_numpy(), True, percent), columns=["a", "b"])
+
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = sets.join(chunks, "family").select("family", "block", every("chunks").alias("chunk"), "node", "members", F.lit(0).alias("side"))
+    apart = sets.join(away.select("node"), "node").join(chunks, "family").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int"))
+    sent = apart.select("family", every("blocks").alias("block"), "chunk", "node", "members", F.lit(1).alias("side"))
+    return found.unionByName(own.unionByName(sent).groupBy("family", "block", "chunk").applyInPandas(across, "a long, b long"))
+
+
+def _named(docs: DataFrame, id_column: str, text: str, percent: int) -> DataFrame:
+    """(id, hash, n_shingles, k1, k2, node, component) of every row; the last two are null for an empty set."""
+    rows = cut(sketches(docs, id_column, text))
+    classes = classes_of(rows)
+    joined = components(links(docs, classes, id_column, text, percent)).withColumnRenamed("node", "linked")
+    named = classes.join(joined, F.col("node") == F.col("linked"), "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+    return rows.drop("sketch").join(named, ["k1", "k2"], "left")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -236,20 +319,35 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     Sets are linked from a Jaccard similarity of ``percent`` hundredths on.
     Null texts and texts without words have empty sets and are linked with nothing.  Rows that repeat an id share
-    its verdict if their texts agree; with differing texts each row follows its own text.  A row with a null id
-    follows the documents with its set; alone, its component is null and it is kept.  Other columns are ignored.
+    its verdict if their texts agree; with differing texts each row follows its own text.  A row with a null id is
+    linked like any other but never names a component; without a neighbour that has an id its component is null and
+    it is kept.  Other columns are ignored.
     """
-    rows = cut(sketches(docs, id_column, text))
-    full = rows.where("n_shingles > 0")
-    classes = cut(full.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
-    joined = components(links(docs, classes, id_column, text, percent))
-    named = cut(classes.join(joined, F.col("rep") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id")))
-    out = rows.select("id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
-    component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    rows = _named(docs, id_column, text, percent)
+    names = rows.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
+    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
+    out = rows.join(names, "component", "left").select("id", "n_shingles", component.alias("component_id"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that near_duplicates doesn't keep."""
-    dropped = near_duplicates(docs, id_column, text, percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_column].cast("long") == F.col("_dropped"), "left_anti")
+    """The rows of ``docs``, all columns, with exactly one row of each component and every row without words.
+
+    A component keeps its smallest id, a null id only if there is no other, and of rows that repeat it the one with
+    the least hash of its text; of rows that agree in id and text any one.  Names of columns may be anything.
+    """
+    rows = cut(_named(docs, id_column, text, percent).where("component is not null").groupBy("component", "id", "hash").agg(F.count("*").alias("n")))
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "hash")).alias("first"))
+    judged = rows.join(first, "component").select("id", "hash", "n", F.expr("id <=> first.id and hash = first.hash").alias("stays"))
+    own_id, own_hash = (f"_{name}_{len(''.join(docs.columns))}" for name in ("id", "hash"))  # longer than any column together
+    known = docs.withColumns({own_id: F.col(id_column).cast("long"), own_hash: F.xxhash64(text)})
+
+    def having(what: DataFrame, how: str) -> DataFrame:
+        what = what.select(F.col("id").alias("_i"), F.col("hash").alias("_h"))
+        return known.join(what, known[own_id].eqNullSafe(what["_i"]) & (known[own_hash] == what["_h"]), how)
+
+    repeated = cut(judged.where("stays and n > 1"))
+    if repeated.isEmpty():
+        return having(judged.where("not stays"), "left_anti").drop(own_id, own_hash)
+    once = having(judged.where("not stays or n > 1"), "left_anti")
+    return once.unionByName(having(repeated, "left_semi").dropDuplicates([own_id, own_hash])).drop(own_id, own_hash)
