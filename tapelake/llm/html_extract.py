@@ -1,15 +1,19 @@
 """Main text of web pages by two-pass block rules.
 
-The page is cut into blocks at block-level tags.  Pass one decides each block from its length, link density and
-stop-word density and from the elements that hold it (menus, footers, adverts, comments and the like are out, an
-article's own blocks are in).  Short blocks that stay ambiguous inherit, in pass two, the label of the nearest decided
-neighbours.
+The page is cut into blocks at block-level tags.  Pass one decides a block by its link density, length and stop-word
+density; prose of comments, adverts, notices and the like reads as an article's does, so there the element that holds
+it decides.  Blocks that stay ambiguous, most of them short, inherit in pass two the label of the nearest decided
+neighbours, where a neighbour in another section of the page counts as further off.  An ``article`` or ``main``
+element decides nothing by itself; it tips the scales where the neighbours disagree.
+
+Reading a page takes time in proportion to its length, whatever its markup.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -49,10 +53,17 @@ STOPWORDS = frozenset(
     "al algo como con cuando de del desde donde el ella ellos en entre era es esta este está fue ha hay la las le lo los más me mi muy no nos o para pero por porque que se si sin sobre su sus también te tiene un una uno y ya".split()
 )
 
+#: Elements that part the sections of a page.
+SECTIONS = frozenset("article aside body details dialog div fieldset footer form header main nav section td".split())
+
+#: Characters from which a block isn't short and from which it is long; link and stop-word densities.
 LONG, LENGTHY = 70, 200
-LINKS, STOPS_LOW, STOPS_HIGH = 0.33, 0.15, 0.30
+LINKS, STOPS = 0.33, 0.15
+#: Blocks that a border between sections counts for in the distance of neighbours.
+BORDER = 3
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
+#: A tag ends at the first ``>`` outside a value in quotes, and only a quote after ``=`` begins such a value.
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|$))|<[!?][^>]*(?:>|$)|</[^a-zA-Z>][^>]*(?:>|$)|</>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$)|[^\s>]*+))*+)(?:>|$)", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in DROPPED}
@@ -60,12 +71,16 @@ _ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in DROPPED}
 
 @dataclass
 class Block:
+    """Text of a block, its characters within links, what holds it, and what pass one and two made of it."""
+
     text: str
     linked: int
     inside: bool
     outside: bool
     heading: bool
+    section: int
     label: str = field(default="")
+    decided: str = field(default="")
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -74,21 +89,25 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     linked = anchor = 0
     heading = False
-    stack: list[tuple[str, bool]] = []  # open holders, with whether each is outside the main text
-    out_depth = in_depth = 0
+    # Open holders: tag, 1 if it is outside the main text by its tag and 2 if by its name, section before it.
+    stack: list[tuple[str, int, int]] = []
+    held: Counter = Counter()
+    out_depth = in_depth = section = sections = 0
+    unclosed: set[str] = set()
 
     def close() -> None:
         nonlocal linked, parts
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, min(linked, len(text)), in_depth > 0, out_depth > 0, heading))
+                out.append(Block(text, min(linked, len(text)), in_depth > 0, out_depth > 0, heading, section))
         parts, linked = [], 0
 
     def pop() -> str:
-        nonlocal out_depth, in_depth
-        tag, outside = stack.pop()
-        out_depth -= outside
+        nonlocal out_depth, in_depth, section
+        tag, outside, section = stack.pop()
+        held[tag] -= 1
+        out_depth -= outside > 0
         in_depth -= tag in INSIDE
         return tag
 
@@ -110,9 +129,14 @@ def blocks_of(page: str) -> list[Block]:
         if tag in DROPPED:
             if tag in ("title", "head"):
                 close()
-            if not ends and tag != "head" and tag not in VOID and not hit[3].rstrip().endswith("/"):
+            if not ends and tag != "head" and tag not in unclosed and not hit[3].rstrip().endswith("/"):
                 end = _ENDS[tag].search(page, at)
-                at = end.end() if end else size if tag in ("script", "style") else at
+                if end:
+                    at = end.end()
+                elif tag in ("script", "style"):
+                    at = size
+                else:
+                    unclosed.add(tag)
             continue
         if tag == "a":
             anchor = 0 if ends else 1
@@ -123,9 +147,15 @@ def blocks_of(page: str) -> list[Block]:
                 heading = not ends
             elif not heading or tag != "br":
                 heading = False
+        if (tag == "h1" and not ends) or tag == "main":
+            # A page's title or main part shows that a holder was named after something else.
+            for i, (name, outside, before) in enumerate(stack):
+                if outside == 2:
+                    stack[i] = (name, 0, before)
+                    out_depth -= 1
         if tag in HOLDERS:
             if ends:
-                if any(t == tag for t, _ in stack):
+                if held[tag]:
                     while pop() != tag:
                         pass
                 anchor = 0
@@ -134,57 +164,94 @@ def blocks_of(page: str) -> list[Block]:
                     pop()
                 names = " ".join(x for m in _NAMED.findall(hit[3]) for x in m if x)
                 marked = tag not in ("html", "body", "article", "main") and bool((names and BOILERPLATE.search(names)) or (hit[3] and _HIDDEN.search(hit[3])))
-                outside = tag in OUTSIDE or marked or (tag == "header" and not in_depth)
-                stack.append((tag, outside))
-                out_depth += outside
+                outside = 1 if tag in OUTSIDE or (tag == "header" and not in_depth) else 2 if marked else 0
+                stack.append((tag, outside, section))
+                held[tag] += 1
+                out_depth += outside > 0
                 in_depth += tag in INSIDE
+                if tag in SECTIONS:
+                    sections += 1
+                    section = sections
     close()
     return out
 
 
-def classify(blocks: list[Block]) -> None:
-    """Label every block 'good' or 'bad'."""
+def densities(block: Block) -> tuple[float, float]:
+    """Shares of stop words among the words, and of linked characters among all."""
+    words = [w.strip(".,;:!?\"'()#*$%&").lower() for w in block.text.split()]
+    return sum(w in STOPWORDS for w in words) / max(1, len(words)), block.linked / max(1, len(block.text))
+
+
+def first_pass(blocks: list[Block]) -> None:
+    """Label 'good' or 'bad' where a block decides itself, else 'near' (likely good) or 'short'."""
     for b in blocks:
-        words = [w.strip(".,;:!?\"'()#*$%&").lower() for w in b.text.split()]
-        stops = sum(w in STOPWORDS for w in words) / max(1, len(words))
-        links = b.linked / max(1, len(b.text))
-        if b.outside or links > LINKS:
-            b.label = "bad"
-        elif b.inside:
-            b.label = "good"
-        elif b.text.startswith(("©", "Copyright")):
-            b.label = "bad"
-        elif len(b.text) < LONG or b.heading:
-            b.label = "bad" if links else "short"
-        elif stops >= STOPS_HIGH:
-            b.label = "good" if len(b.text) > LENGTHY else "near"
-        elif stops >= STOPS_LOW:
-            b.label = "near"
+        stops, links = densities(b)
+        if links > LINKS:
+            b.label, b.decided = "bad", "links"
+        elif b.outside or b.text.startswith(("©", "Copyright")):
+            b.label, b.decided = "bad", "holder"
+        elif b.heading or len(b.text) < LONG:
+            b.label = "short"
+        elif len(b.text) >= LENGTHY and stops >= STOPS:
+            b.label, b.decided = "good", "density"
         else:
-            b.label = "bad"
-    decided = [b.label in ("good", "bad") for b in blocks]
-    before, after = [-1] * len(blocks), [-1] * len(blocks)
-    last = -1
-    for i in range(len(blocks)):
-        before[i] = last
-        last = i if decided[i] else last
-    last = -1
-    for i in reversed(range(len(blocks))):
-        after[i] = last
-        last = i if decided[i] else last
-    labels = [b.label for b in blocks]
+            b.label = "near" if stops >= STOPS or len(b.text) >= LENGTHY else "short"
+
+
+def _nearest(blocks: list[Block]) -> list[tuple[int, int]]:
+    """(distance, index) of the last decided block at or before each block, by the label that pass one gave; -1 if none.
+
+    The nearest one of the same section and the nearest one of any section compete, the latter at BORDER more.
+    """
+    out, last, by_section = [], -1, {}
     for i, b in enumerate(blocks):
-        if decided[i]:
+        if b.decided:
+            last = i
+            by_section[b.section] = i
+        own = by_section.get(b.section, -1)
+        near = [(i - j + (BORDER if blocks[j].section != b.section else 0), j) for j in (own, last) if j >= 0]
+        out.append(min(near) if near else (1 << 30, -1))
+    return out
+
+
+def second_pass(blocks: list[Block]) -> None:
+    """Give ambiguous blocks the label of the nearest decided neighbours.
+
+    A heading goes with what follows.  Where the neighbours on the two sides differ, the nearer one counts; at equal
+    distance, or beside bad neighbours only, a block is good if it is near good or in an article.  If no block of a
+    page has decided itself as good, all its ambiguous blocks are good: they are the only text that may be meant.
+    """
+    before = _nearest(blocks)
+    after = [(d, len(blocks) - 1 - j if j >= 0 else -1) for d, j in reversed(_nearest(blocks[::-1]))]
+    some = any(b.label == "good" for b in blocks)
+    found = []
+    for b, (left, i), (right, j) in zip(blocks, before, after, strict=True):
+        if b.decided:
+            found.append(b.label)
             continue
-        p, n = before[i], after[i]
-        left, right = labels[p] if p >= 0 else "bad", labels[n] if n >= 0 else "bad"
-        if left == right:
-            b.label = left if left == "good" or labels[i] == "short" or p >= 0 or n >= 0 else "good"
-        elif labels[i] == "near" or b.heading and right == "good":
-            b.label = "good"
+        likely = b.label == "near" or b.inside
+        sides = [blocks[k].label for k in (i, j) if k >= 0]
+        if not some:
+            label = "good"
+        elif not any(x == "good" for x in sides):
+            label = "good" if likely else "bad"
+        elif all(x == "good" for x in sides) or (b.heading and j >= 0 and blocks[j].label == "good" and right < left + BORDER):
+            label = "good"
+        elif left == right:
+            label = "good" if likely else "bad"
         else:
-            nearer = left if n < 0 or (p >= 0 and i - p < n - i) else right if p < 0 or n - i < i - p else "bad"
-            b.label = nearer
+            label = blocks[i if left < right else j].label
+            label = "good" if label == "bad" and b.inside else label
+        found.append(label)
+    for b, label in zip(blocks, found, strict=True):
+        if not b.decided:
+            b.label, b.decided = label, "neighbours"
+
+
+def classify(blocks: list[Block]) -> None:
+    """Label every block 'good' or 'bad', and note what decided it."""
+    first_pass(blocks)
+    second_pass(blocks)
 
 
 def main_text(page: str | None) -> str:
@@ -195,7 +262,11 @@ def main_text(page: str | None) -> str:
 
 
 def extract(df: DataFrame, id_column: str = "page_id", source: str = "html", keep: str = "url") -> DataFrame:
-    """(page_id, url, text, n_chars).  Null pages have the empty text; repeated rows stay; other columns are ignored."""
+    """(page_id, url, text, n_chars) of every row.
+
+    Null and empty pages have the empty text, and so have pages without main text; repeated rows stay, an empty table
+    gives no row, and other columns are ignored.
+    """
 
     def run(rows: dict) -> dict:
         texts = [main_text(x) for x in rows["html"]]

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapelake.llm import bpe, chat, html_extract, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
+from tapelake.llm import bpe, chat, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
 from tapelake.llm.queries import vocabulary_file
 
 HARD = [(1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "word " * 30_000), (6, "x" * 50_000), (7, "same text of six words here"), (7, "same text of six words here"), (8, "same text of six words here"), (9, "日本語 <|endoftext|> é́ don't  stop"), (None, "no id at all but some words")]
@@ -57,18 +57,6 @@ def test_sharding(spark, empty):
     assert sharding.shard(empty.select("doc_id"), ["doc_id"], 16).count() == 0
 
 
-def test_html():
-    page = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><header>Site</header><nav><ul><li><a href=x>Home</a></ul></nav>
-    <div class="cookie-notice">We use cookies</div><article><h1>Head &amp; line</h1><p>First   para.<br>Next<p><b>Second</b> one.</article>
-    <aside>side</aside><section id="comments"><p>I was the first to say that this is the best of all that there is.</p></section><form><p>Sign up</p></form><footer>&copy; us</footer>"""
-    assert html_extract.main_text(page) == "Head & line First para. Next Second one."
-    body = "This is the story of a man who was in the town and had no one to talk to about what he saw there. " * 3
-    plain = f"<body><div><a href=x>One</a> <a href=y>Two</a></div><h2>Title</h2><p>{body}</p><p>Short one.</p><p>{body}</p><div>Copyright 2020</div></body>"
-    assert html_extract.main_text(plain) == " ".join(["Title", body.strip(), "Short one.", body.strip()])
-    for broken in (None, "", "<", "<p", "<!--", "</p></div>", "<script>x", "a<b", "<a href='x"):
-        html_extract.main_text(broken)
-
-
 def test_chat(spark):
     rows = [(1, 1, "assistant", chat.STOP + "a<\\|b"), (1, 0, "user", None), (1, 1, "assistant", chat.STOP + "a<\\|b"), (2, 0, None, ""), (None, None, "user", "x" * 20_000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
