@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +25,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Bytes up to which a piece is merged by scanning.
 SHORT = 256
 #: Entries at which a worker's caches stop growing; common words come early.
-CACHE = 300_000
+CACHE = 500_000
 NEVER = 1 << 60
 
 
@@ -35,6 +36,20 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Found(dict):
+    """Values looked up once by ``find``, as long as there is room."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.find(key)
+        if len(self) < CACHE:
+            self[key] = value
+        return value
+
+
 class BytePairCodec:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -47,11 +62,15 @@ class BytePairCodec:
         self.rank = {bytes(letters[c] for c in m): r for r, m in enumerate(merged)}
         self.bytes_of |= {i: s.encode() for s, i in special.items()}
         self.special = special
+        self.first = {x[0] for x in special}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.pattern = regex.compile(PATTERN)
         self.wide_blank = regex.compile(r"\s\s|^\s|\s$")
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces = Found(lambda piece: self._packed(piece.encode()))
+        self.chunks = Found(lambda word: self._chunk(" " + word))
+        self.begins = Found(self._chunk)
+        self.line = self._packed(b"\n") if b"\n" in self.id_of else b""
+        self.simple = bool(self.line) and not any(c.isspace() for x in special for c in x)
 
     def merge(self, piece: bytes) -> list[bytes]:
         """The parts of one piece after all merges, lowest rank and leftmost first."""
@@ -96,41 +115,42 @@ class BytePairCodec:
             i = after[i]
         return out
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = np.array([self.id_of[p] for p in self.merge(piece.encode())], dtype="<u4").tobytes()
-            if len(self.pieces) < CACHE:
-                self.pieces[piece] = found
-        return found
+    def ids_of(self, piece: bytes) -> list[int]:
+        """The ids of one piece of the pattern."""
+        return [self.id_of[p] for p in self.merge(piece)]
+
+    def _packed(self, piece: bytes) -> bytes:
+        ids = self.ids_of(piece)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a word with the blank before it; letters alone make one piece."""
+        word = chunk[1:] if chunk.startswith(" ") else chunk
+        return self._packed(chunk.encode()) if word.isascii() and word.isalpha() else self._span(chunk)
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self._piece, self.pattern.findall(text)))
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def _span(self, text: str) -> bytes:
-        if self.cut is None:
+        if not any(map(text.__contains__, self.first)):
             return self._plain(text)
-        return b"".join(np.array([self.special[p]], dtype="<u4").tobytes() if p in self.special else self._plain(p) for p in self.cut.split(text) if p)
+        return b"".join(struct.pack("<I", self.special[p]) if p in self.special else self._plain(p) for p in self.cut.split(text) if p)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
-        A blank between two non-blanks always begins a piece, so texts without wider blanks are cut there and each
-        chunk's ids are looked up whole.
+        A blank between two non-blanks always begins a piece, and a line feed between two is a piece, so texts without
+        wider blanks are cut there and each chunk's ids are looked up whole.
         """
-        if self.wide_blank.search(text):
+        if self.wide_blank.search(text) or not self.simple:
             return self._span(text)
-        first, *rest = text.split(" ")
-        out = [self._span(first)] if first else []
-        chunks = self.chunks
-        for word in rest:
-            found = chunks.get(word)
-            if found is None:
-                found = self._span(" " + word)
-                if len(chunks) < CACHE:
-                    chunks[word] = found
-            out.append(found)
-        return b"".join(out)
+        if not text:
+            return b""
+        out = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(self.begins[first] + b"".join(map(self.chunks.__getitem__, rest)))
+        return self.line.join(out)
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; special tokens give their names, and broken UTF-8 gives replacement characters."""

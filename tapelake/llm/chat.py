@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapelake.llm.bpe import BytePairCodec, byte_letters
 from tapelake.llm.common import map_batches, steps
 
 START, STOP = "<|im_start|>", "<|im_end|>"
@@ -51,45 +52,54 @@ def loss_mask(lengths: list[int], learned: list[bool]) -> np.ndarray:
     return np.cumsum(steps)[:-1].astype(bool)
 
 
-class ChatCodec:
+class _Segments(BytePairCodec):
+    """Ids of segments, whose pieces the tokenizers library merges."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.start, self.stop = size, size + 1
-        self.line = self._ids("\n")
+        self.library = Tokenizer.from_file(path).model.tokenize
+        self.letters = {b: c for c, b in byte_letters().items()}
+        super().__init__(path)
+
+    def ids_of(self, piece: bytes) -> list[int]:
+        return [t.id for t in self.library(piece.decode("latin-1").translate(self.letters))]
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids if text else []
 
-    def turn(self, role: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+class ChatCodec:
+    def __init__(self, path: str):
+        self.segments = _Segments(path)
+        size = max(self.segments.bytes_of) + 1
+        self.start, self.stop = size, size + 1
+        self.open, self.close, self.line = self.start.to_bytes(4, "little"), self.stop.to_bytes(4, "little"), self.segments.encode("\n")
+        self.head = lru_cache(maxsize=1 << 12)(lambda role: self.segments.encode(escape(role)))
+        self.head_text = lru_cache(maxsize=1 << 12)(self.segments.decode)
+
+    def turn(self, role: str, text: str) -> tuple[bytes, np.ndarray]:
         """Ids and loss mask of one turn: start, role, line feed, text, stop, line feed."""
-        parts = [[self.start], self._ids(escape(role)), self.line, self._ids(escape(text)), [self.stop], self.line]
-        ids = np.array([i for p in parts for i in p], dtype="<u4")
-        return ids, loss_mask([len(p) for p in parts], [False, False, False, role in LEARNED, False, False])
-
-    def text_of(self, ids: list[int]) -> str:
-        """The string of ids, marks included."""
-        out, held = [], []
-        for i in [*ids, None]:
-            if i is not None and i < self.start:
-                held.append(i)
-                continue
-            out.append(self.tokenizer.decode(held, skip_special_tokens=False) if held else "")
-            held = []
-            out.append("" if i is None else START if i == self.start else STOP)
-        return "".join(out)
-
-    def read(self, ids: np.ndarray, mask: np.ndarray) -> tuple[str, str, str, str]:
-        """(formatted, role, text, learned text) of one turn, from its tokens alone."""
-        formatted = self.text_of(ids.tolist())
-        head, _, rest = formatted.removeprefix(START).partition("\n")
-        text = unescape(rest.removesuffix(STOP + "\n"))
-        return formatted, unescape(head), text, unescape(self.text_of(ids[mask].tolist()))
+        parts = [self.open, self.head(role), self.line, self.segments.encode(escape(text)), self.close, self.line]
+        return b"".join(parts), loss_mask([len(p) // 4 for p in parts], [False, False, False, role in LEARNED, False, False])
+
+    def read(self, ids: bytes, mask: np.ndarray) -> tuple[str, str, str, str]:
+        """(formatted, role, text, learned text) of one turn, from its tokens alone.
+
+        Where tokens are learned, they are a run of their own and everything before them is the head.
+        """
+        tail = self.close + self.line
+        if not ids.startswith(self.open) or not ids.endswith(tail):
+            raise ValueError("a turn is not between its marks")
+        end = len(ids) - len(tail)
+        on = np.flatnonzero(mask)
+        if len(on):
+            begin, stop = 4 * int(on[0]), 4 * int(on[-1]) + 4
+            if stop - begin != 4 * len(on):
+                raise ValueError("the learned tokens of a turn are not one run")
+            learned = self.segments.decode(ids[begin:stop])
+            inner = self.head_text(ids[4:begin]) + learned + (self.segments.decode(ids[stop:end]) if stop < end else "")
+        else:
+            learned, inner = "", self.segments.decode(ids[4:end])
+        role, _, text = inner.partition("\n")
+        return START + inner + STOP + "\n", unescape(role), unescape(text), unescape(learned)
 
 
 @lru_cache(maxsize=2)
@@ -100,13 +110,13 @@ def codec(path: str) -> ChatCodec:
 def format_turns(df: DataFrame, path: str) -> DataFrame:
     """Token rows of the turns in (conv_id, turn, role, text): ids and mask (one byte a token) as binary.
 
-    Null roles and texts count as empty, null conversations stay together; a role's line feeds become blanks, as a
+    Null roles and texts count as empty, null conversations stay together, an empty table gives no row; a role's line feeds become blanks, as a
     line feed ends the role.  Turns with the same number are ordered by role and ``tie``; repeated rows stay.
     """
 
     def run(rows: dict) -> dict:
         made = [codec(path).turn(r, t) for r, t in zip(rows["role"], rows["text"], strict=True)]
-        return {k: rows[k] for k in ("conv_id", "turn", "role")} | {"n_tokens": [len(i) for i, _ in made], "ids": [i.tobytes() for i, _ in made], "mask": [m.astype(np.uint8).tobytes() for _, m in made]}
+        return {k: rows[k] for k in ("conv_id", "turn", "role")} | {"n_tokens": [len(m) for _, m in made], "ids": [i for i, _ in made], "mask": [m.astype(np.uint8).tobytes() for _, m in made]}
 
     clean = df.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.translate(F.coalesce("role", F.lit("")), "\n", " ").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     return map_batches(clean, "conv_id long, turn long, role string, n_tokens long, ids binary, mask binary", run, "text")
@@ -130,7 +140,7 @@ def read_back(turns: DataFrame, path: str) -> DataFrame:
     arrow = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
     def decode(rows: dict) -> dict:
-        read = [codec(path).read(np.frombuffer(i, dtype="<u4"), np.frombuffer(m, dtype=bool)) for i, m in zip(rows["ids"], rows["mask"], strict=True)]
+        read = [codec(path).read(i, np.frombuffer(m, dtype=bool)) for i, m in zip(rows["ids"], rows["mask"], strict=True)]
         return {k: rows[k] for k in ("conv_id", "turn", "tie")} | {
             "formatted_chars": [len(formatted) for formatted, *_ in read],
             "role": [role for _, role, *_ in read],

@@ -24,10 +24,12 @@ FRAME = ROW * ROWS
 CHUNK, GROUP, RATE = 8, 16, 25
 #: Boxes of the public container format that hold other boxes.
 CONTAINERS = (b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta")
+#: Boxes within boxes, and samples of a track, beyond which a container counts as broken.
+DEPTH, SAMPLES = 32, 1 << 26
 
 PROBED = (
     "status string, codec string, timescale long, duration long, seconds double, n_samples long, sample_bytes long, "
-    "keyframes array<struct<offset: long, length: long>>"
+    "keyframes array<struct<offset: long, length: long, time: long>>, n_tracks int"
 )
 
 
@@ -83,10 +85,13 @@ def write_container(payload: bytes) -> bytes:
     return head + media + movie
 
 
-def walk(data: bytes, start: int = 0, end: int | None = None, path: tuple = ()):
-    """Yield (path, start, end) of every box body, containers before what they hold."""
-    end = len(data) if end is None else end
-    while start + 8 <= end:
+def walk(data: bytes):
+    """Yield (path, start, end) of every box body in the order of the file, containers before what they hold."""
+    waiting: list[tuple[int, int, tuple]] = [(0, len(data), ())]
+    while waiting:
+        start, end, path = waiting.pop()
+        if start + 8 > end:
+            continue
         size, head = int.from_bytes(data[start : start + 4], "big"), 8
         if size == 1:
             size, head = int.from_bytes(data[start + 8 : start + 16], "big"), 16
@@ -96,50 +101,92 @@ def walk(data: bytes, start: int = 0, end: int | None = None, path: tuple = ()):
         if size < head or start + size > end:
             raise ValueError(f"box {kind!r} at {start} overruns what holds it")
         yield (*path, kind), start + head, start + size
+        waiting.append((start + size, end, path))
         if kind in CONTAINERS:
-            yield from walk(data, start + head, start + size, (*path, kind))
-        start += size
+            if len(path) == DEPTH:
+                raise ValueError(f"more than {DEPTH} boxes within one another")
+            waiting.append((start + head, start + size, (*path, kind)))
 
 
-def _numbers(data: bytes, at: int, count: int, size: int = 4) -> np.ndarray:
-    if at + count * size > len(data):
+def _numbers(data: bytes, box: tuple[int, int], at: int, count: int, size: int = 4) -> np.ndarray:
+    """``count`` unsigned numbers at ``at`` of a box body, which must hold them."""
+    if box[0] + at + count * size > box[1]:
         raise ValueError("a sample table overruns its box")
-    return np.frombuffer(data, dtype=f">u{size}", count=count, offset=at).astype(np.int64)
+    return np.frombuffer(data, dtype=f">u{size}", count=count, offset=box[0] + at).astype(np.int64)
 
 
-def sample_ranges(data: bytes) -> dict:
-    """Decode the first track's tables: codec, clock, and offset, length and sync flag of each sample."""
-    found: dict[bytes, tuple[int, int]] = {}
+def _counted(data: bytes, box: tuple[int, int], width: int = 1, size: int = 4) -> np.ndarray:
+    """The entries of a table that says how many it has, a row of ``width`` numbers each."""
+    count = int(_numbers(data, box, 4, 1)[0])
+    return _numbers(data, box, 8, count * width, size).reshape(count, width)
+
+
+def tracks(data: bytes) -> list[dict[bytes, tuple[int, int]]]:
+    """Bodies of the boxes of each track, by kind, the first of a kind."""
+    found: list[dict[bytes, tuple[int, int]]] = []
+    fragments = False
     for path, start, end in walk(data):
-        if len(path) > 1:
-            found.setdefault(path[-1], (start, end))
-    missing = [k for k in (b"mdhd", b"stsd", b"stts", b"stsc", b"stsz") if k not in found]
-    if missing or not (b"stco" in found or b"co64" in found):
-        raise ValueError(f"no track with sample tables: {missing or 'chunk offsets'} not found")
-    at = found[b"mdhd"][0]
-    timescale, duration = struct.unpack_from(">IQ", data, at + 20) if data[at] else struct.unpack_from(">II", data, at + 12)
-    at = found[b"stsz"][0] + 4
-    each, n = (int(x) for x in _numbers(data, at, 2))
-    lengths = np.full(n, each, dtype=np.int64) if each else _numbers(data, at + 8, n)
-    wide = b"co64" in found
-    at = found[b"co64" if wide else b"stco"][0] + 4
-    chunks = _numbers(data, at + 4, int(_numbers(data, at, 1)[0]), 8 if wide else 4)
-    at = found[b"stsc"][0] + 4
-    runs = _numbers(data, at + 4, 3 * int(_numbers(data, at, 1)[0])).reshape(-1, 3)
-    per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunks) + 1)))
+        if path == (b"moov", b"trak"):
+            found.append({})
+        elif path[:2] == (b"moov", b"trak"):
+            found[-1].setdefault(path[-1], (start, end))
+        fragments |= path == (b"moof",)
+    if fragments:
+        raise ValueError("samples in movie fragments")
+    if not found:
+        raise ValueError("no track")
+    return found
+
+
+def decode_track(data: bytes, boxes: dict[bytes, tuple[int, int]]) -> dict:
+    """A track's tables: codec, clock, and offset, length, start time and sync flag of each sample."""
+    missing = [k.decode() for k in (b"mdhd", b"stsd", b"stts", b"stsc", b"stsz") if k not in boxes]
+    if missing or not (b"stco" in boxes or b"co64" in boxes):
+        raise ValueError(f"no {missing or 'chunk offsets'} in the track")
+    head = boxes[b"mdhd"]
+    if data[head[0]]:
+        timescale, duration = int(_numbers(data, head, 20, 1)[0]), int(_numbers(data, head, 24, 1, 8)[0])
+    else:
+        timescale, duration = map(int, _numbers(data, head, 12, 2))
+    each, n = map(int, _numbers(data, boxes[b"stsz"], 4, 2))
+    if n > SAMPLES or each * n > len(data):
+        raise ValueError("more samples than the file can hold")
+    lengths = np.full(n, each, dtype=np.int64) if each else _numbers(data, boxes[b"stsz"], 12, n)
+    wide = b"co64" in boxes
+    chunks = _counted(data, boxes[b"co64" if wide else b"stco"], 1, 8 if wide else 4)[:, 0]
+    runs = _counted(data, boxes[b"stsc"], 3)
+    if len(chunks) and (not len(runs) or runs[0, 0] != 1 or (np.diff(np.append(runs[:, 0], len(chunks) + 1)) <= 0).any()):
+        raise ValueError("runs of chunks are out of order")
+    per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunks) + 1))) if len(chunks) else np.zeros(0, np.int64)
     if per.sum() != n:
         raise ValueError("chunks and samples disagree")
+    chunks, per = chunks[per > 0], per[per > 0]
     begins = np.cumsum(lengths) - lengths
-    firsts = np.cumsum(per) - per
-    offsets = begins + np.repeat(chunks - begins[firsts], per) if n else begins
-    if n and (offsets + lengths).max() > len(data):
+    offsets = begins + np.repeat(chunks - begins[np.cumsum(per) - per], per) if n else begins
+    if n and ((offsets + lengths).max() > len(data) or offsets.min() < 0):
         raise ValueError("a sample lies outside the file")
+    times = _counted(data, boxes[b"stts"], 2)
+    if times[:, 0].sum() != n:
+        raise ValueError("times and samples disagree")
+    steps = np.repeat(times[:, 1], times[:, 0])
     sync = np.arange(n)
-    if b"stss" in found:
-        at = found[b"stss"][0] + 4
-        sync = _numbers(data, at + 4, int(_numbers(data, at, 1)[0])) - 1
-    codec = data[found[b"stsd"][0] + 12 : found[b"stsd"][0] + 16].decode("latin-1")
-    return {"codec": codec, "timescale": timescale, "duration": duration, "offsets": offsets, "lengths": lengths, "sync": sync}
+    if b"stss" in boxes:
+        sync = _counted(data, boxes[b"stss"])[:, 0] - 1
+        if len(sync) and (sync.min() < 0 or sync.max() >= n or (np.diff(sync) <= 0).any()):
+            raise ValueError("a sync sample that the track doesn't have")
+    entry = boxes[b"stsd"]
+    if not int(_numbers(data, entry, 4, 1)[0]):
+        raise ValueError("no sample description")
+    _numbers(data, entry, 8, 2)
+    codec = data[entry[0] + 12 : entry[0] + 16].decode("latin-1")
+    return {"codec": codec, "timescale": timescale, "duration": duration, "offsets": offsets, "lengths": lengths, "times": np.cumsum(steps) - steps, "sync": sync}
+
+
+def sample_ranges(data: bytes) -> dict:
+    """The first video track, or else the first track; each track is read from its own boxes only."""
+    found = tracks(data)
+    video = [t for t in found if b"hdlr" in t and data[t[b"hdlr"][0] + 8 : t[b"hdlr"][0] + 12] == b"vide"]
+    return decode_track(data, (video or found)[0]) | {"n_tracks": len(found)}
 
 
 def extract_payload(data: bytes) -> bytes:
@@ -149,7 +196,7 @@ def extract_payload(data: bytes) -> bytes:
 
 
 def _probe(data: bytes | None) -> dict:
-    empty = {"status": "null", "codec": None, "timescale": None, "duration": None, "seconds": None, "n_samples": None, "sample_bytes": None, "keyframes": None}
+    empty = {"status": "null", "codec": None, "timescale": None, "duration": None, "seconds": None, "n_samples": None, "sample_bytes": None, "keyframes": None, "n_tracks": None}
     if data is None:
         return empty
     try:
@@ -160,7 +207,8 @@ def _probe(data: bytes | None) -> dict:
         "status": "ok", "codec": at["codec"], "timescale": at["timescale"], "duration": at["duration"],
         "seconds": at["duration"] / at["timescale"] if at["timescale"] else None,
         "n_samples": len(at["lengths"]), "sample_bytes": int(at["lengths"].sum()),
-        "keyframes": [{"offset": int(at["offsets"][i]), "length": int(at["lengths"][i])} for i in at["sync"]],
+        "keyframes": [{"offset": o, "length": k, "time": t} for o, k, t in zip(*(at[x][at["sync"]].tolist() for x in ("offsets", "lengths", "times")), strict=True)],
+        "n_tracks": at["n_tracks"],
     }
 
 
@@ -177,7 +225,8 @@ def mux(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFra
 def probe(df: DataFrame, keep: tuple[str, ...] = ("id",), media: str = "media", payload: bool = False) -> DataFrame:
     """Container facts for each row of the binary column ``media``, beside the long columns named in ``keep``.
 
-    A null container has status 'null', a broken one 'invalid: …'; neither fails the job.  With ``payload`` the
+    A null container has status 'null', one that is broken, has no track or keeps its samples in fragments
+    'invalid: …' and nulls beside it; none fails the job.  Repeated rows stay and an empty table gives no row.  With ``payload`` the
     digests of the stored form and of the bytes read back through the sample tables are added.
     """
     more = ", payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string" if payload else ""

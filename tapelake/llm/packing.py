@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tapelake.llm.bpe import Found, byte_letters
 from tapelake.llm.common import cut, map_batches
 
 WINDOW, GRAIN, SHARD = 4096, 32, 2048
@@ -40,8 +41,6 @@ END = 2
 K1, B = 1.2, 0.75
 #: Dimensions of the projected vectors that order documents, leaves of the tree at most, and documents that shape a leaf.
 DIMENSIONS, LEAVES, PER_LEAF = 48, 1024, 32
-#: Entries at which a worker's caches stop growing; common words come early.
-CACHE = 500_000
 
 #: Fixed letters and pieces of the vocabulary's pattern within the range where no normalisation is needed.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -49,20 +48,6 @@ PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9
 PLAIN = re.compile(rf"[!-~{LETTERS}]+")
 
 
-class _Found(dict):
-    """Values looked up once by ``find``, as long as there is room."""
-
-    def __init__(self, find, known: dict):
-        super().__init__(known)
-        self.find = find
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.find(key)
-        if len(self) < CACHE:
-            self[key] = value
-        return value
-
-
 class WordCodec:
     """Ids of a word vocabulary, looked up word by word.
 
@@ -74,15 +59,14 @@ class WordCodec:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        from tapelake.llm.bpe import byte_letters
-
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.merge = self.tokenizer.model.tokenize
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.words = _Found(self._word, {"": b""})
-        self.pieces = _Found(self._piece, {})
+        self.words = Found(self._word)
+        self.words[""] = b""
+        self.pieces = Found(self._piece)
 
     def _piece(self, piece: str) -> bytes:
         known = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))

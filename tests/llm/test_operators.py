@@ -2,14 +2,13 @@
 
 import hashlib
 import re
-import struct
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapelake.llm import bpe, chat, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
+from tapelake.llm import bpe, chat, near_duplicates, packing, quality_classifier, sharding
 from tapelake.llm.queries import vocabulary_file
 
 HARD = [(1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "word " * 30_000), (6, "x" * 50_000), (7, "same text of six words here"), (7, "same text of six words here"), (8, "same text of six words here"), (9, "日本語 <|endoftext|> é́ don't  stop"), (None, "no id at all but some words")]
@@ -26,19 +25,6 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_media(hard, empty):
-    got = media.probe(media.mux(hard), keep=("id", "n_bytes"), payload=True).collect()
-    assert len(got) == len(HARD)
-    texts = {i: t or "" for i, t in HARD}
-    for r in got:
-        raw = media.pad(texts[r["id"]].encode())
-        assert (r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-64:]))
-        assert r["sample_bytes"] == len(raw) and r["codec"] == "raw "
-    assert media.mux(empty).count() == 0
-    bad = hard.sparkSession.createDataFrame([(1, None), (2, b"junk"), (3, struct.pack(">I", 99) + b"moov")], "id long, media binary")
-    assert [r["status"].split(":")[0] for r in media.probe(bad).orderBy("id").collect()] == ["null", "invalid", "invalid"]
-
-
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 17, 1000])
 def test_permutation(n):
     p = sharding.permute(np.arange(n), n, 5)
@@ -165,22 +151,6 @@ def test_components_of_a_path(spark):
     assert {(r["node"], r["component"]) for r in near_duplicates.components(edges).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
 
 
-def test_quality_rules(hard, empty):
-    got = {(r["doc_id"], r["n_words"]): r for r in quality_rules.assess(hard).collect()}
-    assert got[(1, 0)]["base_failed"] and not got[(3, 0)]["kept"]
-    assert got[(5, 30_000)]["n_repeat_words"] == 30_000
-    assert quality_rules.assess(empty).count() == 0
-    text = hard.sparkSession.createDataFrame([(1, "a b c x a b c\nq\nq\n \n##")], "doc_id long, text string")
-    r = quality_rules.assess(text).first()
-    assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (10, 11, 2, 1, 6)
-    assert quality_rules.keep(hard).columns == hard.columns
-
-
-def test_order_of_rules():
-    a, b, c = (quality_rules.Rule(n, lambda m: None) for n in "abc")
-    assert quality_rules.ordered([(a, 1.0, 0.1), (b, 1.0, 0.5), (c, 0.1, 0.1)]) == [c, b, a]
-
-
 def test_classifier(spark, hard, empty):
     random = np.random.default_rng(0)
     good = [" ".join(random.choice(["the", "river", "runs", "over", "stones", "and", "moss", "by", "night"], 60)) for _ in range(80)]

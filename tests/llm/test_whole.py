@@ -28,7 +28,7 @@ def test_pipeline_keeps_clean_text_of_any_length(spark):
     text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(1_000_001)), lambda i: i.cast("string")), " ")
     docs = spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text"))
     assert corpus_pipeline.apply_rules(spark, docs, "").count() == 1
-    assert "many_words" in {r.name for r in quality_rules.RULES}  # the SQL of op9 names it
+    assert quality_rules.assess(docs).first()["kept"]
 
 
 def profiles(rows):
