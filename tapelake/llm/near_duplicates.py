@@ -33,6 +33,8 @@ WIDTH, PERCENT = 5, 85
 SLOTS, MISS = 240, 1e-7
 #: Shingle hashes of a block, and bits at most of the filter that finds the texts of candidates.
 BLOCK, FILTER = 1 << 15, 1 << 24
+#: Edges that one task joins.
+FINISH = 1 << 13
 #: Words whose hash a worker keeps.
 CACHE = 300_000
 #: Attempts of the densification before it takes the first full slot.
@@ -142,21 +144,38 @@ def candidate_edges(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     wide = 4 * band
     hashes = F.array(*(F.xxhash64(F.substring("sketch", 1 + i * wide, wide), F.lit(i)) for i in range(SLOTS // band)))
     bands = classes.select("node", F.explode(hashes).alias("bucket"))
-    stars = cut(bands.groupBy("bucket").agg(F.min("node").alias("center"), F.count("node").alias("n")).where("n > 1"))
+    stars = bands.groupBy("bucket").agg(F.min("node").alias("center"), F.count("node").alias("n")).where("n > 1")
     return cut(bands.join(stars, "bucket").groupBy(F.col("node").alias("a"), F.col("center").alias("b")).agg(F.sum("n").alias("weight")))
 
 
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, w) of a small graph's edges (a, b): each node and the smallest node of its component."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    yield pa.RecordBatch.from_arrays([pa.array(list(parent), pa.int64()), pa.array([root(x) for x in parent], pa.int64())], names=["v", "w"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of (a, b); the component is named by its smallest node.
 
     Contraction: each round every node moves to the least of itself and its neighbours, then the graph of the moved
     nodes is taken.  Odd rounds order nodes by id, which ends a star about its smallest node at once; even rounds
     order them by a random rank, which shrinks a graph of any shape by a constant factor, so that rounds grow with
-    the logarithm of its size.
+    the logarithm of its size.  When FINISH edges or fewer are left, which is counted, one task joins them.
     """
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     rounds: list[DataFrame] = []
-    while not both.isEmpty():
+    while both.count() > FINISH:
         turn = F.lit(len(rounds))
 
         def rank(column: str, turn: F.Column = turn) -> F.Column:
@@ -166,8 +185,7 @@ def components(edges: DataFrame) -> DataFrame:
         left = both.join(moves.select(F.col("v").alias("a"), F.col("w").alias("x")), "a").select("x", "b")
         both = cut(left.join(moves.select(F.col("v").alias("b"), F.col("w").alias("y")), "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
         rounds.append(moves)
-    if not rounds:
-        return both.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    rounds.append(both.coalesce(1).mapInArrow(_finish, "v long, w long"))
     mapping = rounds[0].select(F.col("v").alias("node"), F.col("w").alias("to"))
     for moves in rounds[1:]:
         mapping = mapping.join(moves, mapping["to"] == moves["v"], "left").select("node", F.coalesce("w", "to").alias("to"))

@@ -146,7 +146,9 @@ def test_blocks_lose_no_link(spark, monkeypatch, block):
     assert [r["component_id"] for r in got] == parent
 
 
-def test_components_of_a_path(spark):
+@pytest.mark.parametrize("finish", [0, 5, 1 << 13])
+def test_components_of_a_path(spark, monkeypatch, finish):
+    monkeypatch.setattr(near_duplicates, "FINISH", finish)
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     assert {(r["node"], r["component"]) for r in near_duplicates.components(edges).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
 
