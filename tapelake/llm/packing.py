@@ -34,13 +34,16 @@ from pyspark.sql.types import StructType
 from tapelake.llm.bpe import Found, byte_letters
 from tapelake.llm.common import cut, map_batches
 
-WINDOW, GRAIN, SHARD = 4096, 32, 2048
+WINDOW, GRAIN, SHARD = 4096, 32, 1024
 #: Id that ends a document.
 END = 2
 #: The usual BM25 constants.
 K1, B = 1.2, 0.75
 #: Dimensions of the projected vectors that order documents, leaves of the tree at most, and documents that shape a leaf.
-DIMENSIONS, LEAVES, PER_LEAF = 48, 1024, 32
+DIMENSIONS, LEAVES, PER_LEAF = 32, 1024, 32
+
+#: A term that more than one document in DENSE holds has its weights in a row; documents ranked first for a seed.
+DENSE, FIRST = 8, 32
 
 #: Fixed letters and pieces of the vocabulary's pattern within the range where no normalisation is needed.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -74,9 +77,15 @@ class WordCodec:
 
     def _word(self, word: str) -> bytes:
         low = word.lower()
+        if word.isascii() and word.isprintable() and "<|" not in word:
+            if low.isalpha():
+                return self.pieces[low]
+            if low[:-1].isalpha() and low[-1] in ".,;:!?":
+                return self.pieces[low[:-1]] + self.pieces[low[-1]]
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(low)))
         # Some letters have their small form outside the plain range.
-        if PLAIN.fullmatch(word) and "<|" not in word and (word.isascii() or PLAIN.fullmatch(low)):
-            return self.pieces[low] if low.isascii() and low.isalpha() else b"".join(map(self.pieces.__getitem__, PIECES.findall(low)))
+        if PLAIN.fullmatch(word) and PLAIN.fullmatch(low) and "<|" not in word:
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(low)))
         return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
@@ -163,9 +172,11 @@ class Statistics:
     mean: float
     held: np.ndarray
 
+    def __post_init__(self):
+        object.__setattr__(self, "rarity", np.log1p((self.n - self.held + 0.5) / (self.held + 0.5)))
+
     def idf(self, terms: np.ndarray) -> np.ndarray:
-        held = self.held[terms]
-        return np.log1p((self.n - held + 0.5) / (held + 0.5))
+        return self.rarity[terms]
 
     def saturated(self, counts: np.ndarray, length: np.ndarray | float) -> np.ndarray:
         return counts * (K1 + 1) / (counts + K1 * (1 - B + B * length / self.mean))
@@ -229,15 +240,16 @@ class Tree:
             self.sides[node] = self._grow(sample[low], first, leaves // 2), self._grow(sample[~low], first + leaves // 2, leaves - leaves // 2)
         return node
 
-    def place(self, x: np.ndarray) -> tuple[int, float]:
-        """Leaf of a vector, and its place along the leaf's direction."""
-        node = self.root
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaf of each vector, and its place along the leaf's direction."""
+        sides = np.array(self.sides, dtype=np.int64)
+        node = np.full(len(x), self.root)
         while True:
-            along = float(x @ self.normals[node])
-            low, high = self.sides[node]
-            if low < 0:
-                return -1 - low, along
-            node = low if along < self.cuts[node] else high
+            along = np.einsum("ij,ij->i", x, self.normals[node])
+            inner = sides[node, 0] >= 0
+            if not inner.any():
+                return -1 - sides[node, 0], along
+            node[inner] = np.where(along < self.cuts[node], sides[node, 0], sides[node, 1])[inner]
 
 
 ORDERED = "id long, tokens long, terms binary, counts binary, grains binary, leaf int, along double, salt long"
@@ -263,8 +275,10 @@ def order(profiles: DataFrame, corpus: Statistics, shard: int = SHARD) -> DataFr
     tree = context.broadcast(Tree(np.frombuffer(b"".join(picked), np.float32).reshape(-1, DIMENSIONS), leaves))
 
     def place(rows: dict) -> dict:
-        found = [tree.value.place(vector(known.value, t, c)) for t, c in zip(rows["terms"], rows["counts"], strict=True)]
-        return rows | {"leaf": [x for x, _ in found], "along": [y for _, y in found]}
+        if not rows["id"]:
+            return rows | {"leaf": [], "along": []}
+        leaf, along = tree.value.place(np.array([vector(known.value, t, c) for t, c in zip(rows["terms"], rows["counts"], strict=True)]))
+        return rows | {"leaf": leaf.tolist(), "along": along.astype(float).tolist()}
 
     return map_batches(salted, ORDERED, place, "terms")
 
@@ -282,23 +296,44 @@ class _Index:
         order = np.argsort(term, kind="stable")
         self.n, self.owner = n, owner[order]
         self.vocabulary, self.start = np.unique(term[order], return_index=True)
-        self.size = np.diff(np.append(self.start, len(term)))
+        self.end = np.append(self.start[1:], len(term))
+        self.size = self.end - self.start
         if corpus is None:
             corpus = Statistics(n, max(length.mean(), 1.0) if n else 1.0, np.bincount(term))
-        at = np.searchsorted(self.vocabulary, term)
-        self.weight = (corpus.saturated(tf, length[owner]) * corpus.idf(term))[order]
+        self.at = np.searchsorted(self.vocabulary, term)
         self.bounds = np.append(0, np.cumsum(sizes))
-        self.at = at
+        self.weight = (corpus.saturated(tf, length[owner]) * corpus.idf(term))[order]
+        # Weights of terms that many documents hold lie in rows of their own, which are added up at once.
+        common = np.flatnonzero(DENSE * self.size > n)
+        self.row = np.full(len(self.size), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), n))
+        held = np.repeat(self.row, self.size)
+        self.rows[held[held >= 0], self.owner[held >= 0]] = self.weight[held >= 0]
 
     def search(self, seed: int) -> np.ndarray:
         """BM25 score of every document for all terms of the seed; those without another holder can't rank any."""
         at = self.at[self.bounds[seed] : self.bounds[seed + 1]]
-        size = self.size[at]
-        at, size = at[size > 1], size[size > 1]
-        total = int(size.sum())
-        begins = np.cumsum(size) - size
-        rows = np.repeat(self.start[at] - begins, size) + np.arange(total)
-        return np.bincount(self.owner[rows], self.weight[rows], minlength=self.n)
+        at = at[self.size[at] > 1]
+        row = self.row[at]
+        score = self.rows[row[row >= 0]].sum(axis=0)
+        begins, ends = self.start[at[row < 0]].tolist(), self.end[at[row < 0]].tolist()
+        if begins:
+            parts = [slice(a, b) for a, b in zip(begins, ends, strict=True)]
+            score += np.bincount(np.concatenate([self.owner[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), minlength=self.n)
+        return score
+
+
+def ranked(score: np.ndarray) -> Iterator[int]:
+    """Documents by falling score, equal ones in their order; most seeds need the first few only."""
+    if len(score) > 4 * FIRST:
+        least = np.partition(score, -FIRST)[-FIRST]
+        few = np.flatnonzero(score >= least)
+        yield from few[np.argsort(-score[few], kind="stable")].tolist()
+        rest = np.flatnonzero(score < least)
+        yield from rest[np.argsort(-score[rest], kind="stable")].tolist()
+    else:
+        yield from np.argsort(-score, kind="stable").tolist()
 
 
 def pack_shard(first: int, docs: pd.DataFrame, corpus: Statistics | None = None) -> pd.DataFrame:
@@ -329,7 +364,7 @@ def pack_shard(first: int, docs: pd.DataFrame, corpus: Statistics | None = None)
         left[seed] = 0
         if used < WINDOW and left.any():
             score = np.where(left > 0, index.search(seed), -1.0)
-            for d in np.argsort(-score, kind="stable").tolist():
+            for d in ranked(score):
                 room = WINDOW - used
                 if score[d] < 0 or room == 0:
                     break
