@@ -16,11 +16,17 @@ STEP_BYTES = 8 << 20
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return it with its lineage cut.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one is set.
+    The folder is the session's ``spark.checkpoint.dir``.  Where that is unset, a run on one machine (a local master,
+    as in tests) gets a temporary one; a cluster gets an error, as its machines share no local folder.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is not set; it names the folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="spark-")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

@@ -342,7 +342,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     it is kept.  Other columns are ignored.
     """
     rows = _named(docs, id_column, text, percent)
-    names = rows.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
+    # Stored, so that a component with very many rows is a skewed join and not a part of the counting.
+    names = cut(rows.where("component is not null").groupBy("component").agg(F.min("id").alias("least")))
     component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
     out = rows.join(names, "component", "left").select("id", "n_shingles", component.alias("component_id"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -355,7 +356,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     the least hash of its text; of rows that agree in id and text any one.  Names of columns may be anything.
     """
     rows = cut(_named(docs, id_column, text, percent).where("component is not null").groupBy("component", "id", "hash").agg(F.count("*").alias("n")))
-    first = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "hash")).alias("first"))
+    first = cut(rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "hash")).alias("first")))
     judged = rows.join(first, "component").select("id", "hash", "n", F.expr("id <=> first.id and hash = first.hash").alias("stays"))
     own_id, own_hash = (f"_{name}_{len(''.join(docs.columns))}" for name in ("id", "hash"))  # longer than any column together
     known = docs.withColumns({own_id: F.col(id_column).cast("long"), own_hash: F.xxhash64(text)})
