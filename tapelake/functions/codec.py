@@ -223,7 +223,7 @@ def encode_string(value: Column, f: Field, encoding: str) -> Pair:
     if f.charset:
         raw = F.encode(text, name)
         pad = _bytes("20" if name.upper() == "UTF-8" else "40")
-        fits = F.octet_length(raw) <= f.size
+        fits = (F.octet_length(raw) <= f.size) & (F.decode(raw, name) == text)
         return F.when(fits, F.rpad(raw, f.size, pad)), value.isNotNull() & ~fits
     fits = (F.length(text) <= f.size) & (F.decode(F.encode(text, name), name) == text)
     return F.when(fits, F.encode(F.rpad(text, f.size, " "), name)), value.isNotNull() & ~fits
@@ -234,11 +234,13 @@ def encode_integer(value: Column, size: int) -> Pair:
     return F.unhex(F.right(F.lpad(F.hex(value.cast("long")), 16, "0"), F.lit(2 * size))), ok()
 
 
-def encode_packed(value: Column, f: Field) -> Pair:
-    """Scaled and cut toward zero; sign C or D, zero always C; too many digits before the point are an error."""
+def encode_packed(value: Column, f: Field, kind: T.DataType | None = None) -> Pair:
+    """Cut toward zero at the field's scale; sign C or D, zero always C; too many digits before the point are an error."""
     width = 2 * f.size - 1
-    scaled = F.abs(value.cast(T.DecimalType(38, 10))) * F.lit(10**f.scale).cast("decimal(19,0)")
-    digits = F.floor(scaled).cast("decimal(38,0)")
+    exact = value if isinstance(kind, T.DecimalType) else value.cast(T.DecimalType(38, 0) if isinstance(kind, T.IntegralType) else T.DecimalType(38, 10))
+    # Cut in the value's own scale: a product would first be rounded to 38 digits.
+    cut = F.floor(F.abs(exact), F.lit(f.scale)).try_cast(T.DecimalType(38, f.scale))
+    digits = F.translate(cut.cast("string"), ".", "").try_cast("decimal(38,0)")
     fits = digits < F.lit(10 ** (f.precision + f.scale)).cast("decimal(38,0)")
     sign = F.when((value < 0) & (digits > 0), "D").otherwise("C")
     return F.when(fits, F.unhex(F.concat(F.lpad(digits.cast("string"), width, "0"), sign))), value.isNotNull() & ~F.coalesce(fits, F.lit(False))
@@ -280,7 +282,7 @@ def encode_field(value: Column, kind: T.DataType, f: Field, encoding: str) -> Pa
     elif f.typ in ("INTEGER", "UNSIGNED_INTEGER"):
         raw, wrong = encode_date(value) if isinstance(kind, T.DateType) and f.size == 4 else encode_integer(value, f.size)
     elif f.typ == "DECIMAL":
-        raw, wrong = encode_packed(value, f)
+        raw, wrong = encode_packed(value, f, kind)
     elif f.typ == "DATE":
         raw, wrong = encode_date(value)
     elif f.typ == "BYTES":

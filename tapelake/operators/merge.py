@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ACTION = "_action"
@@ -27,11 +27,16 @@ class MergeCounts:
 def merge_flags(target: DataFrame, source: DataFrame, keys: list[str], set_columns: list[str]) -> DataFrame:
     """The target's columns after the merge, and whether each row was inserted, updated or unmodified.
 
-    Keys that are null match nothing.  A source that repeats a key makes the job fail, as it would be ambiguous.
+    A key that is null, in part or whole, matches nothing: each such source row is inserted as it is.  A source that
+    repeats a key makes the job fail, as it would be ambiguous.
     """
     new = source.select(*target.columns)
-    count = new.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.any_value(c).alias(f"_s_{c}") for c in target.columns if c not in keys))
-    once = F.when((F.col("_n") > 1) & F.greatest(*(F.lit(0), *(F.col(f"s.{k}").isNotNull().cast("int") for k in keys))).eqNullSafe(1), F.raise_error(F.lit("a source key is repeated"))).otherwise(F.col("_n"))
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    loose = new.where(~whole).withColumn(ACTION, F.lit("inserted"))
+    count = new.where(whole).groupBy(*keys).agg(F.count("*").alias("_n"), *(F.any_value(c).alias(f"_s_{c}") for c in target.columns if c not in keys))
+    once = F.when(F.col("_n") > 1, F.raise_error(F.lit("a source key is repeated"))).otherwise(F.col("_n"))
     t, s = target.withColumn("_t", F.lit(True)).alias("t"), count.alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, on, "full_outer").withColumn("_n", F.when(F.col("_n").isNotNull(), once).cast("long"))
@@ -44,7 +49,7 @@ def merge_flags(target: DataFrame, source: DataFrame, keys: list[str], set_colum
             out.append(F.when(matched | only_source, F.col(f"_s_{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.when(only_source, F.col(f"_s_{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    return joined.select(*out, F.when(only_source, "inserted").when(matched, "updated").otherwise("unmodified").alias(ACTION))
+    return joined.select(*out, F.when(only_source, "inserted").when(matched, "updated").otherwise("unmodified").alias(ACTION)).unionByName(loose)
 
 
 def merge(target: DataFrame, source: DataFrame, keys: list[str], set_columns: list[str]) -> DataFrame:
@@ -52,29 +57,41 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], set_columns: li
     return merge_flags(target, source, keys, set_columns).drop(ACTION)
 
 
-def merge_counts(target: DataFrame, source: DataFrame, keys: list[str], set_columns: list[str]) -> MergeCounts:
-    row = merge_flags(target, source, keys, set_columns).agg(*(F.count_if(F.col(ACTION) == a).alias(a) for a in ("inserted", "updated", "unmodified"))).first()
-    i, u, k = (row[a] or 0 for a in ("inserted", "updated", "unmodified"))
+def _tallies() -> list[Column]:
+    return [F.count_if(F.col(ACTION) == a).alias(a) for a in ("inserted", "updated", "unmodified")]
+
+
+def _counts(found: dict) -> MergeCounts:
+    i, u, k = (found[a] or 0 for a in ("inserted", "updated", "unmodified"))
     return MergeCounts(before=u + k, written=i + u + k, inserted=i, updated=u, unmodified=k)
 
 
-def merge_table(spark, table: str, source: DataFrame, keys: list[str], set_columns: list[str]) -> MergeCounts:
-    """Merge into a table by writing its successor and swapping names; readers may see neither for a moment."""
-    target = spark.table(table)
-    flagged = merge_flags(target, source, keys, set_columns)
-    fresh, old = f"{table}_merge_new", f"{table}_merge_old"
+def merge_counts(target: DataFrame, source: DataFrame, keys: list[str], set_columns: list[str]) -> MergeCounts:
+    return _counts(merge_flags(target, source, keys, set_columns).agg(*_tallies()).first().asDict())
+
+
+def replace_table(spark, table: str, flagged: DataFrame) -> MergeCounts:
+    """Write flagged rows as a table's successor, counted as they are written, and swap names; readers may see neither for a moment."""
+    seen = Observation()
+    fresh, old = f"{table}_new", f"{table}_old"
     spark.sql(f"drop table if exists {fresh}")
-    flagged.write.saveAsTable(fresh)
-    row = spark.table(fresh).agg(*(F.count_if(F.col(ACTION) == a).alias(a) for a in ("inserted", "updated", "unmodified"))).first()
-    swapped = f"{table}_merge_out"
-    spark.sql(f"drop table if exists {swapped}")
-    spark.table(fresh).drop(ACTION).write.saveAsTable(swapped)
+    flagged.observe(seen, *_tallies()).drop(ACTION).write.saveAsTable(fresh)
     spark.sql(f"alter table {table} rename to {old}")
-    spark.sql(f"alter table {swapped} rename to {table}")
-    for gone in (old, fresh):
-        spark.sql(f"drop table {gone}")
-    i, u, k = (row[a] or 0 for a in ("inserted", "updated", "unmodified"))
-    return MergeCounts(before=u + k, written=i + u + k, inserted=i, updated=u, unmodified=k)
+    spark.sql(f"alter table {fresh} rename to {table}")
+    spark.sql(f"drop table {old}")
+    return _counts(seen.get)
+
+
+def merge_table(spark, table: str, source: DataFrame, keys: list[str], set_columns: list[str]) -> MergeCounts:
+    """Merge into a table."""
+    return replace_table(spark, table, merge_flags(spark.table(table), source, keys, set_columns))
+
+
+def update_table(spark, table: str, condition: Column, changes: dict[str, Column]) -> MergeCounts:
+    """Update a table's rows where the condition is true."""
+    rows = spark.table(table)
+    flag = F.when(F.coalesce(condition, F.lit(False)), "updated").otherwise("unmodified")
+    return replace_table(spark, table, update(rows.withColumn(ACTION, flag), condition, changes))
 
 
 def formula_counts(before: int, written: int, affected: int) -> MergeCounts:

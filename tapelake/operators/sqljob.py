@@ -57,3 +57,25 @@ def query_to_table(spark: SparkSession, sql: str, table: str, disposition: str =
     """Write a query's rows to a table; the activity count is the rows written."""
     rows = load(run_query(spark, sql, given), table, disposition, **options)
     return Result(activity_count=rows, message=f"{rows} rows written to {table}")
+
+
+def run_statement(spark: SparkSession, sql: str, given: list[str] | None = None) -> Result:
+    """Run a CREATE TABLE … AS, an INSERT or another command; the activity count is the rows that it wrote."""
+    args = parameters(given or [])
+    done = spark.sql(sql, args=args) if args else spark.sql(sql)
+    rows = _rows_written(spark, done._jdf.queryExecution().executedPlan())
+    return Result(activity_count=rows, message=f"{rows} rows written")
+
+
+def _rows_written(spark: SparkSession, plan) -> int:
+    """The writer's own count of its rows, from the plan that has run; 0 if it wrote none.
+
+    The command that makes a table from a query keeps no count; all rows of the new table are its rows.
+    """
+    kind = plan.getClass().getSimpleName()
+    if kind == "CommandResultExec":
+        return _rows_written(spark, plan.commandPhysicalPlan())
+    if kind == "ExecutedCommandExec":
+        made = plan.cmd().getClass().getSimpleName() == "CreateDataSourceTableAsSelectCommand"
+        return spark.table(plan.cmd().table().identifier().quotedString()).count() if made else 0
+    return int(plan.metrics().apply("numOutputRows").value()) if kind == "DataWritingCommandExec" else 0

@@ -37,6 +37,13 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name in the folder that driver and executors share; a local one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tapelake-")
+    """A new folder name below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where it is unset, a run on one machine (a local master) gets a temporary folder; a cluster gets an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; it names the folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="tapelake-")
     return f"{root}/{uuid.uuid4().hex}"

@@ -6,18 +6,22 @@ import gzip
 import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.functions import codec
 from tapelake.functions.layout import Layout
 from tapelake.operators import quality
 
-#: Bytes that one range of a file covers, and schemes that Arrow has clients for.
-RANGE = 16 << 20
+#: Bytes that one range of a file and one task cover, and schemes that Arrow has clients for.
+RANGE, TASK = 16 << 20, 128 << 20
+GZIP = b"\x1f\x8b"
 CLIENTS = ("file", "s3", "gs", "abfs", "abfss")
 #: Bytes of an export part that a sink buffers before it writes.
 BUFFER = 8 << 20
@@ -72,24 +76,40 @@ def files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where(~F.endswith("path", F.lit(SIDECAR)))
 
 
-def _is_gzip(spark: SparkSession, path: str | list[str]) -> bool:
-    row = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 2).alias("m")).limit(1).first() if isinstance(path, str) and path.endswith((".gz", ".GZ")) else None
-    return bool(row and bytes(row["m"]) == b"\x1f\x8b")
-
-
 def read_records(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
-    """(rec): the file's bytes cut every ``lrecl`` bytes; a shorter record at a file's end is kept and later fails.
+    """(rec): the files' bytes cut every ``lrecl`` bytes; a shorter record at a file's end is kept and later fails.
 
-    Files of any size are split over tasks by ranges of whole records.  Where Arrow has no client for the file
-    system, Hadoop's record reader splits them instead; it takes whole records only.  Gzipped files can't be split:
-    each is one task's work.
+    ``path`` is a file, a folder or a list of them, in which plain and gzipped files may be mixed: each file's first
+    bytes tell.  Plain files of any size are split over tasks by ranges of whole records; a gzipped file can't be
+    split and is one task's work, unpacked as a stream.  Where Arrow has no client for the file system, Hadoop's
+    record reader splits plain files instead, which must hold whole records, and files named .gz are unpacked whole.
     """
-    if _is_gzip(spark, path):
-        return read_gzip(spark, path, lrecl)
     paths = [path] if isinstance(path, str) else path
     if all(p.partition(":")[0] in CLIENTS for p in paths if "://" in p):
-        return ranged_records(spark, path, lrecl)
-    return spark.createDataFrame(spark.sparkContext.binaryRecords(",".join(paths), lrecl).map(lambda b: (bytearray(b),)), "rec binary")
+        return ranged_records(spark, paths, lrecl)
+    found = [r["path"] for r in files(spark, paths).select("path").toLocalIterator()]
+    packed, plain = [p for p in found if p.lower().endswith(".gz")], [p for p in found if not p.lower().endswith(".gz")]
+    parts = [spark.read.format("binaryFile").load(packed).select("content").mapInArrow(_unpacker(lrecl), "rec binary")] if packed else []
+    if plain or not packed:
+        parts.append(spark.createDataFrame(spark.sparkContext.binaryRecords(",".join(plain or paths), lrecl).map(lambda b: (bytearray(b),)), "rec binary"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _unpacked(stream, lrecl: int) -> Iterator[pa.RecordBatch]:
+    with gzip.GzipFile(fileobj=stream) as unpacked:
+        while block := unpacked.read(max(1, BUFFER // lrecl) * lrecl):
+            yield cut_records(block, lrecl)
+
+
+def _unpacker(lrecl: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import io
+
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                yield from _unpacked(io.BytesIO(data), lrecl)
+
+    return run
 
 
 def cut_records(data: bytes, lrecl: int) -> pa.RecordBatch:
@@ -102,40 +122,52 @@ def cut_records(data: bytes, lrecl: int) -> pa.RecordBatch:
 
 
 def ranged_records(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
-    """(rec) by byte ranges of whole records."""
+    """(rec) by byte ranges of whole records; a task takes about TASK bytes, however many there are."""
     step = max(1, RANGE // lrecl) * lrecl
-    ranges = files(spark, path).where("length > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(step).cast("long"))).alias("start"))
+    found = files(spark, path).where("length > 0").select("path", "length")
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                fs, at = _fs(file)
+                with fs.open_input_file(at) as opened:
+                    packed = opened.read(2) == GZIP
+                starts = [-1] if packed else list(range(0, length, step))
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(starts)), pa.array(starts, pa.int64())], names=["path", "start"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for file, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 fs, at = _fs(file)
+                if start < 0:
+                    with fs.open_input_stream(at, compression=None) as stream:
+                        yield from _unpacked(stream, lrecl)
+                    continue
                 with fs.open_input_file(at) as opened:
                     opened.seek(start)
                     yield cut_records(opened.read(step), lrecl)
 
-    return ranges.repartition(spark.sparkContext.defaultParallelism).mapInArrow(run, "rec binary")
+    total = found.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK))
+    return found.mapInArrow(ranges, "path string, start long").repartition(tasks).mapInArrow(run, "rec binary")
 
 
 def read_gzip(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
-    """(rec) of gzipped files, unpacked as a stream."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
+    """(rec) of gzipped files, which ``read_records`` tells by their first bytes."""
+    return read_records(spark, path, lrecl)
 
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                with gzip.open(io.BytesIO(data)) as stream:
-                    while block := stream.read(max(1, BUFFER // lrecl) * lrecl):
-                        yield cut_records(block, lrecl)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "rec binary")
+def agreed_lrecl(path: str | list[str], lrecl: int | None = None, layout: Layout | None = None) -> int:
+    """The record length that all inputs agree on; generations of different lengths can't be read as one."""
+    lengths = {p: resolve_lrecl(p, lrecl, layout) for p in ([path] if isinstance(path, str) else path)}
+    if len(set(lengths.values())) > 1:
+        raise ValueError(f"record lengths differ: {lengths}")
+    return next(iter(lengths.values()))
 
 
 def read_layout(spark: SparkSession, path: str | list[str], layout: Layout, lrecl: int | None = None) -> DataFrame:
     """Decoded rows with the record and its failed fields; an empty input has the layout's schema and no row."""
-    first = path if isinstance(path, str) else path[0]
-    return quality.decode(read_records(spark, path, resolve_lrecl(first, lrecl, layout)), layout)
+    return quality.decode(read_records(spark, path, agreed_lrecl(path, lrecl, layout)), layout)
 
 
 def read_lines(spark: SparkSession, path: str, lrecl: int, encoding: str = "IBM1047") -> DataFrame:
@@ -146,24 +178,65 @@ def read_lines(spark: SparkSession, path: str, lrecl: int, encoding: str = "IBM1
 
 
 def ingest(spark: SparkSession, path: str | list[str], layout: Layout, target: str, *, lrecl: int | None = None, replace: bool = False, most_errors: float = 0.0, rejects: str | None = None, rows_a_file: int = 0) -> quality.Result:
-    """Decode records into ORC parts.
+    """Decode records into ORC parts in one pass.
 
-    The error share is checked before anything is committed; rejected records go to ``rejects`` and never to the
-    target, which must be empty unless it is replaced.
+    Parts are written beside the target and counted as they are; only if the error share allows it they are moved to
+    the target, which must be empty unless it is replaced.  Rejected records go to ``rejects``, by a pass of their own
+    over the errors, and never to the target.
     """
     decoded = read_layout(spark, path, layout, lrecl)
-    n, errors = quality.counts(decoded)
-    quality.check_errors(errors, n, most_errors)
-    good, bad = quality.split(decoded)
-    good.write.option("maxRecordsPerFile", rows_a_file).mode("overwrite" if replace else "error").orc(target)
+    if not replace and _holds_files(spark, target):
+        raise FileExistsError(f"{target} exists and is not empty")
+    seen = Observation()
+    counted = decoded.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(F.size(quality.ERRORS) > 0).alias("errors"), F.sum(F.octet_length("rec")).alias("bytes_in"))
+    staged = f"{target.rstrip('/')}__staged-{uuid.uuid4().hex}"
+    try:
+        quality.split(counted)[0].write.option("maxRecordsPerFile", rows_a_file).orc(staged)
+        n, errors, size = (seen.get[k] or 0 for k in ("records", "errors", "bytes_in"))
+        quality.check_errors(errors, n, most_errors)
+        _move(spark, staged, target)
+    finally:
+        _remove(spark, staged)
     if rejects and errors:
-        bad.write.mode("overwrite" if replace else "error").parquet(rejects)
-    return quality.Result(activity_count=n - errors, exported={"records": n, "errors": errors})
+        quality.split(decoded)[1].write.mode("overwrite" if replace else "error").parquet(rejects)
+    return quality.Result(activity_count=n - errors, exported={"records": n, "errors": errors, "bytes_in": size})
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    fs, at = _hadoop(spark, path)
+    return fs.exists(at) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(at))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, at = _hadoop(spark, path)
+    fs.delete(at, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another, or of none."""
+    fs, at = _hadoop(spark, target)
+    fs.delete(at, True)
+    fs.mkdirs(at.getParent())
+    if not fs.rename(_hadoop(spark, source)[1], at):
+        raise OSError(f"{source} can't be moved to {target}")
 
 
 # Sinks
 
 
+def _body(column: pa.Array) -> pa.Buffer:
+    """The bytes of a binary column's values one after another, as they lie."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, kind, len(column) + 1, column.offset * kind().itemsize)
+    return pa.py_buffer(b"") if data is None else data.slice(int(ends[0]), int(ends[-1] - ends[0]))
+
+
 def write_bytes(records: DataFrame, path: str, lrecl: int | None = None, compress: bool = False) -> int:
     """Write the column ``rec`` as part files, and a sidecar with the record length; returns the rows written.
 
@@ -183,8 +256,8 @@ def write_bytes(records: DataFrame, path: str, lrecl: int | None = None, compres
             if batch.num_rows and out is None:
                 fs.create_dir(f"{at}/_tmp-{run_id}", recursive=True)
                 out = fs.open_output_stream(f"{at}/{name}", compression="gzip" if compress else None, buffer_size=BUFFER)
-            for rec in batch.column(0):
-                out.write(rec.as_buffer())
+            if batch.num_rows:
+                out.write(_body(batch.column(0)))
             rows += batch.num_rows
         if out is not None:
             out.close()
@@ -192,11 +265,13 @@ def write_bytes(records: DataFrame, path: str, lrecl: int | None = None, compres
 
     fs, at = _fs(path)
     fs.create_dir(at, recursive=True)
-    done = records.select("rec").mapInArrow(run, "name string, rows long").collect()
-    for i, row in enumerate(sorted(done)):
-        fs.move(f"{at}/{row['name']}", f"{at}/part-{i:05d}-{run_id}" + (".gz" if compress else ""))
-    if done:
-        fs.delete_dir(f"{at}/_tmp-{run_id}")
+    try:
+        done = sorted(records.select("rec").mapInArrow(run, "name string, rows long").collect())
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda x: fs.move(f"{at}/{x[1]['name']}", f"{at}/part-{x[0]:05d}-{run_id}" + (".gz" if compress else "")), enumerate(done)))
+    finally:
+        if fs.get_file_info(f"{at}/_tmp-{run_id}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{at}/_tmp-{run_id}")
     if lrecl:
         with fs.open_output_stream(f"{at}{SIDECAR}") as side:
             side.write(str(lrecl).encode())
@@ -233,16 +308,33 @@ def copy_records(spark: SparkSession, path: str, target: str, lrecl: int, most:
 def compose(spark: SparkSession, path: str, target: str) -> int:
     """Join a folder's part files, in the order of their names, into one file; an empty folder gives an empty file.
 
-    Bytes are streamed one block at a time; nothing is held whole.
+    A job copies the parts.  In a shared file system each task writes its part at its place; a store that can't write
+    within a file gets the whole as one task's stream.  The driver sees names and lengths only.
     """
     fs, at = _fs(path)
-    parts = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(at)) if i.is_file and i.base_name.startswith("part-"))
-    total = 0
+    parts = sorted((i.path, i.size) for i in fs.get_file_info(pafs.FileSelector(at)) if i.is_file and i.base_name.startswith("part-"))
+    starts = np.cumsum([0, *(n for _, n in parts)]).tolist()
     to, out = _fs(target)
-    with to.open_output_stream(out) as joined:
-        for part in parts:
-            with fs.open_input_stream(part) as opened:
-                while block := opened.read(BUFFER):
-                    joined.write(block)
-                    total += len(block)
-    return total
+    with to.open_output_stream(out):
+        pass
+    local = isinstance(to, pafs.LocalFileSystem)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (here, _), (there, place) = _fs(path), _fs(target)
+        joined = None if local else there.open_output_stream(place)
+        for batch in batches:
+            for part, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with here.open_input_stream(part, compression=None) as opened, nullcontext(joined) if joined else open(place, "r+b") as file:
+                    if local:
+                        file.seek(start)
+                    while block := opened.read(BUFFER):
+                        file.write(block)
+        if joined:
+            joined.close()
+        yield from ()
+
+    if parts:
+        rows = spark.createDataFrame([(p, s) for (p, _), s in zip(parts, starts, strict=False)], "part string, start long")
+        spread = rows.repartition(min(len(parts), 4 * spark.sparkContext.defaultParallelism)) if local else rows.coalesce(1).sortWithinPartitions("start")
+        spread.mapInArrow(run, "part string").write.format("noop").mode("overwrite").save()
+    return starts[-1]

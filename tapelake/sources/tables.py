@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CORRUPT = "_corrupt_record"
 
@@ -21,31 +26,57 @@ def schema_of(spec: str) -> T.StructType:
 def read_csv(spark: SparkSession, path: str, *, schema: T.StructType | None = None, sep: str = ",", quote: str = '"', encoding: str = "UTF-8", skip: int = 0, null: str = "", multiline: bool = False, most_bad: int = 0, ignore_unknown: bool = False, jagged: bool = False) -> DataFrame:
     """Read CSV.  More than ``most_bad`` malformed rows fail the load; without a schema types are inferred.
 
-    More than one row to skip is cut off each file by its line order before parsing.
+    More rows than one to skip are cut off the beginning of each file: lines before they are parsed, or, where quoted
+    line breaks are allowed, rows once they are.  The latter needs a schema.
     """
     options = {"sep": sep, "quote": quote, "encoding": encoding, "nullValue": null, "multiLine": multiline, "enforceSchema": True}
-    if skip > 1:
-        lines = spark.read.text(path, wholetext=True).select(F.explode(F.slice(F.split("value", "\r?\n"), skip + 1, 2_000_000_000)).alias("value")).where("value <> ''").rdd.map(lambda r: r[0])
-        source, header = lines, False
+    wide = None if schema is None else T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    if skip > 1 and multiline and schema is None:
+        raise ValueError("a schema is needed to skip several rows of files with quoted line breaks")
+    reader = spark.read.options(**options).option("header", skip == 1)
+    reader = reader.option("inferSchema", True) if schema is None else reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(wide)
+    if skip > 1 and not multiline:
+        lines = _after(spark.read.option("encoding", encoding).text(path), skip, T.StructType([T.StructField("value", T.StringType())])).where("value <> ''")
+        rows = DataFrame(reader._jreader.csv(getattr(lines._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())), spark)
     else:
-        source, header = path, skip == 1
+        rows = reader.csv(path)
+        if skip > 1:
+            rows = _after(rows, skip, wide)
     if schema is None:
-        return spark.read.options(**options).option("header", header).option("inferSchema", True).csv(source)
-    wide = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.options(**options).option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(wide).csv(source)
-    pieces = F.size(F.split(F.col(CORRUPT), f"\\Q{sep}\\E"))
+        return rows
+    q = re.escape(quote)
+    unquoted = F.regexp_replace(CORRUPT, f"{q}[^{q}]*{q}", "") if quote else F.col(CORRUPT)
+    pieces = F.size(F.split(unquoted, f"\\Q{sep}\\E"))
     tolerated = F.lit(False)
     if ignore_unknown:
         tolerated = tolerated | (pieces > len(schema))
     if jagged:
         tolerated = tolerated | (pieces < len(schema))
     bad = F.col(CORRUPT).isNotNull() & ~tolerated
-    held = rows.cache()  # Spark refuses to read the corrupt column alone
-    found = held.where(bad).count()
+    # Always true, but it has every column read: a row is malformed by any of them, and Spark doesn't read the corrupt one alone.
+    whole = F.hash(*(F.col(f"`{n}`") for n in schema.names)) >= -(1 << 31)
+    found = rows.where(bad & whole).count()
     if found > most_bad:
-        held.unpersist()
         raise ValueError(f"{found} malformed rows, more than {most_bad}")
-    return held.where(~F.coalesce(bad, F.lit(False))).drop(CORRUPT)
+    return rows.where(~F.coalesce(bad, F.lit(False)) & whole).drop(CORRUPT)
+
+
+def _after(rows: DataFrame, skip: int, schema: T.StructType) -> DataFrame:
+    """The rows of each file after the first ``skip``: those of the split that begins the file are counted as they stream by."""
+    names, arrow = schema.names, to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            kept = np.ones(len(batch), dtype=bool)
+            for i, (file, start) in enumerate(zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)):
+                if start == 0 and seen.get(file, 0) < skip:
+                    seen[file] = seen.get(file, 0) + 1
+                    kept[i] = False
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, arrow, strict=False)], schema=arrow).filter(pa.array(kept))
+
+    placed = rows.select(*(F.col(f"`{n}`") for n in names), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    return placed.mapInArrow(run, schema)
 
 
 def read_any(spark: SparkSession, path: str, kind: str = "ORC", schema: T.StructType | None = None, **options) -> DataFrame:
@@ -91,6 +122,9 @@ def load(df: DataFrame, table: str, disposition: str = "EMPTY", *, partition: st
     if disposition == "APPEND" and there:
         old = spark.table(table)
         df = evolve(df, old.schema, addition=addition, relaxation=relaxation)
+        have = {f.name: f.nullable for f in df.schema}
+        if loose := [f.name for f in old.schema if not f.nullable and have[f.name]]:
+            relax(spark, table, loose)
         if len(df.columns) > len(old.columns):
             names = set(old.columns)
             spark.sql(f"alter table {table} add columns ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema if f.name not in names)})")
@@ -98,15 +132,26 @@ def load(df: DataFrame, table: str, disposition: str = "EMPTY", *, partition: st
         raise ValueError(f"{partition}: tables are partitioned by a date")
     if cluster:
         df = df.repartitionByRange(*cluster).sortWithinPartitions(*([partition] if partition else []), *cluster)
-    writer = df.write.format(format).mode("append" if disposition == "APPEND" else "overwrite")
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(format).mode("append" if disposition == "APPEND" else "overwrite")
     if partition:
         writer = writer.partitionBy(partition)
-    before = spark.table(table).count() if there and disposition == "APPEND" else 0
     writer.saveAsTable(table)
     props = {"expire_seconds": expire_seconds, "require_partition_filter": require_filter or None, "cluster": ",".join(cluster) if cluster else None}
     if kept := ", ".join(f"'lake.{k}'='{v}'" for k, v in props.items() if v is not None):
         spark.sql(f"alter table {table} set tblproperties ({kept})")
-    return spark.table(table).count() - before
+    return seen.get["rows"]
+
+
+def relax(spark: SparkSession, table: str, columns: list[str]) -> None:
+    """Let columns of a table hold nulls from now on."""
+    database, _, name = table.rpartition(".")
+    schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable or f.name in columns, f.metadata) for f in spark.table(table).schema])
+    parts = {r[0] for r in spark.sql(f"show partitions {table}").collect()} if spark.catalog.listColumns(table) and any(c.isPartition for c in spark.catalog.listColumns(table)) else set()
+    data = T.StructType([f for f in schema if f.name not in {c.name for c in spark.catalog.listColumns(table) if c.isPartition}]) if parts else schema
+    catalog = spark._jsparkSession.sharedState().externalCatalog()
+    catalog.alterTableDataSchema(database or spark.catalog.currentDatabase(), name, spark._jvm.org.apache.spark.sql.types.DataType.fromJson(data.json()))
+    spark.catalog.refreshTable(table)
 
 
 def create(spark: SparkSession, table: str, spec: str, partition: str | None = None) -> None:

@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from tapelake.plans import catalog
+from tapelake.plans import catalog, fields, loads
+
+assert fields and loads  # they register their queries
 
 DATA = "/root/testdata/sf0.001"
 

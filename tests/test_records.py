@@ -45,7 +45,7 @@ def test_thresholds_and_rejects(spark, tmp_path):
     with pytest.raises(quality.TooManyErrors):
         records.ingest(spark, path, LAYOUT, f"{tmp_path}/t1")
     done = records.ingest(spark, path, LAYOUT, f"{tmp_path}/t2", most_errors=0.1, rejects=f"{tmp_path}/r")
-    assert done.exported == {"records": 10, "errors": 1}
+    assert done.exported == {"records": 10, "errors": 1, "bytes_in": 180}
     assert spark.read.parquet(f"{tmp_path}/r").first()["_err"] == ["C"]
     with pytest.raises(Exception, match="exists"):
         records.ingest(spark, path, LAYOUT, f"{tmp_path}/t2", most_errors=0.1)
@@ -127,3 +127,100 @@ def test_job_log(spark, tmp_path):
 def test_text_lines(spark, tmp_path):
     (tmp_path / "t").write_bytes("SELECT 1  ".encode("cp1140") + "FROM T    ".encode("cp1140"))
     assert sorted(r[0] for r in records.read_lines(spark, str(tmp_path / "t"), 10).collect()) == ["FROM T", "SELECT 1"]
+
+
+# What broke before
+
+
+def test_gzip_parts_among_plain_ones(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a").write_bytes(b"0001" * 3)
+    (tmp_path / "b.gz").write_bytes(gzip.compress(b"0002" * 4))
+    (tmp_path / "unnamed").write_bytes(gzip.compress(b"0003") + gzip.compress(b"0004"))
+    got = sorted(bytes(r["rec"]) for r in records.read_records(spark, str(tmp_path), 4).collect())
+    assert got == [b"0001"] * 3 + [b"0002"] * 4 + [b"0003", b"0004"]
+    assert records.read_records(spark, [str(tmp_path / "b.gz"), str(tmp_path / "a")], 4).count() == 7
+
+
+def test_generations_must_agree_on_the_record_length(spark, tmp_path):
+    paths = []
+    for i, size in enumerate((5, 6)):
+        path = str(tmp_path / f"N.X.G000{i}V00")
+        records.write_bytes(spark.createDataFrame([(bytearray(b"x" * size),)], "rec binary"), path, size)
+        paths.append(path)
+    layout = Layout((Field("V", "STRING", 5),))
+    with pytest.raises(ValueError, match="record lengths differ"):
+        records.read_layout(spark, paths, layout)
+    assert records.read_layout(spark, paths[:1], layout).count() == 1
+
+
+def test_ingest_leaves_nothing_behind_when_errors_are_too_many(spark, tmp_path):
+    path, target = str(tmp_path / "in"), tmp_path / "out"
+    recs = spark.createDataFrame([(bytearray(b"\x12\x3c"),), (bytearray(b"\xff\xff"),)], "rec binary")
+    records.write_bytes(recs, path, 2)
+    layout = Layout((Field("V", "DECIMAL", 2, 3, 0),))
+    with pytest.raises(quality.TooManyErrors):
+        records.ingest(spark, path, layout, str(target))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "in.lrecl"]
+    done = records.ingest(spark, path, layout, str(target), most_errors=0.5, rejects=str(tmp_path / "bad"))
+    assert done.activity_count == 1 and done.exported == {"records": 2, "errors": 1, "bytes_in": 4}
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    with pytest.raises(FileExistsError):
+        records.ingest(spark, path, layout, str(target), most_errors=0.5)
+    records.ingest(spark, path, layout, str(target), most_errors=0.5, replace=True)
+    assert [int(r[0]) for r in spark.read.orc(str(target)).collect()] == [123]
+
+
+def test_compose_keeps_the_order_of_parts(spark, tmp_path):
+    rows = spark.range(1000).repartitionByRange(7, "id").select(F.encode(F.lpad(F.col("id").cast("string"), 4, "0"), "UTF-8").alias("rec"))
+    records.write_bytes(rows, str(tmp_path / "parts"), 4)
+    assert records.compose(spark, str(tmp_path / "parts"), str(tmp_path / "one")) == 4000
+    assert (tmp_path / "one").read_bytes() == b"".join(b"%04d" % i for i in range(1000))
+    records.write_bytes(rows.limit(0), str(tmp_path / "none"), 4)
+    assert records.compose(spark, str(tmp_path / "none"), str(tmp_path / "empty")) == 0 and (tmp_path / "empty").read_bytes() == b""
+
+
+def test_merge_with_null_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "kept")], "k long, v string")
+    source = spark.createDataFrame([(None, "x"), (None, "y"), (1, "b")], "k long, v string")
+    got = merge.merge(target, source, ["k"], ["v"])
+    assert sorted((r["k"] or 0, r["v"]) for r in got.collect()) == [(0, "kept"), (0, "x"), (0, "y"), (1, "b")]
+    counts = merge.merge_counts(target, source, ["k"], ["v"])
+    assert (counts.before, counts.written, counts.inserted, counts.updated, counts.unmodified) == (2, 4, 2, 1, 1)
+    two = spark.createDataFrame([(1, None, "p"), (1, None, "q")], "k long, l long, v string")
+    assert merge.merge(two.limit(0), two, ["k", "l"], ["v"]).count() == 2
+    with pytest.raises(Exception, match="repeated"):
+        merge.merge(target, source.where("k is not null").union(source.where("k is not null")), ["k"], ["v"]).collect()
+
+
+def test_packed_values_are_cut_in_their_own_scale(spark):
+    from decimal import Decimal
+
+    rows = spark.createDataFrame([(Decimal("0.0099999999"),), (Decimal("-1.2399999999"),), (Decimal("9.9999999999"),), (None,)], "v decimal(38,10)")
+    layout = Layout((Field("V", "DECIMAL", 4, 5, 2),))
+    made = quality.encode(rows, layout)
+    assert [r[0] for r in made.select(F.size("_err")).collect()] == [0, 0, 0, 0]
+    got = [r["V"] for r in quality.decode(made.select("rec"), layout).collect()]
+    assert got == [Decimal("0.00"), Decimal("-1.23"), Decimal("9.99"), Decimal("0.00")] or got == [Decimal("0.00"), Decimal("-1.23"), Decimal("9.99"), None]
+
+
+def test_unmappable_localized_text_is_an_error(spark):
+    rows = spark.createDataFrame([("abc",), ("日本",), (None,)], "v string")
+    made = quality.encode(rows, Layout((Field("V", "LOCALIZED_STRING", 8, charset="IBM037"),))).collect()
+    assert [r["_err"] for r in made] == [[], ["V"], []]
+
+
+def test_csv_skip_with_quoted_line_breaks(spark, tmp_path):
+    schema = tables.schema_of("k:INT64,v:STRING")
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(f'head one\nhead, two\n{i},"a\nb,c"\n{i + 10},plain\n')
+    got = sorted(map(tuple, tables.read_csv(spark, str(tmp_path), schema=schema, skip=2, multiline=True).collect()))
+    assert got == [(0, "a\nb,c"), (1, "a\nb,c"), (2, "a\nb,c"), (10, "plain"), (11, "plain"), (12, "plain")]
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain/x.csv").write_text("h\nh\n1,a\n2,b\nx,c\n3,d,e\n")
+    read = lambda **o: tables.read_csv(spark, str(tmp_path / "plain"), schema=schema, skip=2, **o)
+    assert read(most_bad=2).count() == 2
+    with pytest.raises(ValueError, match="2 malformed"):
+        read(most_bad=1)
+    assert read(most_bad=1, ignore_unknown=True).count() == 3
