@@ -164,7 +164,10 @@ def codec(path: str) -> BytePairCodec:
 
 
 def encode(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_tokens, ids): ids as binary, four bytes each.  Null texts count as empty; repeated rows stay."""
+    """(id, n_tokens, ids) of every row: ids as binary, four bytes each.
+
+    Null texts count as empty; repeated rows stay; an empty table gives no row; other columns are ignored.
+    """
 
     def run(rows: dict) -> dict:
         ids = [codec(path).encode(t or "") for t in rows["text"]]

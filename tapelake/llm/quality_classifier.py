@@ -240,15 +240,23 @@ def train_network(x: np.ndarray, y: np.ndarray, seed: int = 3) -> dict:
     return out | {"temperature": min(np.geomspace(0.5, 8, 60), key=loss)}
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` rows of ``docs`` that have a label and aren't held out.
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, text, _y) of at most ``sample`` labelled documents that aren't held out, chosen by a hash of their id.
 
-    Rows are chosen by a hash of their id, so the choice doesn't depend on the layout.  Null labels and null ids are
-    left out; without any label every text gets a high score.
+    An id with several texts counts once, with the text of the least hash.  Null labels and null ids are left out.
     """
     known = labels.where("doc_id is not null and quality is not null").where(~held_out()).select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("_y"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample)
-    rows = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_y"))
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    return met.groupBy("doc_id", "_y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "_y")
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fit on at most ``sample`` rows of ``docs`` that have a label and aren't held out.
+
+    The choice of rows doesn't depend on the layout.  Without any label every text gets a high score.
+    """
+    rows = cut(training_rows(docs, labels, sample))
     context = _context(rows)
     held = docs.sparkSession.sparkContext.broadcast(context)
     made: list[Pooler] = []
@@ -275,7 +283,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``.
+
+    Null and empty texts have the score of a text without words; repeated rows are judged alike; an empty table stays
+    empty; columns beside ``text`` may have any name.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
     made: list[Pooler] = []
     schema = docs.schema

@@ -53,6 +53,17 @@ def permute(numbers: np.ndarray, n: int, seed: int = 0, inverse: bool = False) -
     return out.astype(np.int64)
 
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def row_numbers(df: DataFrame, order: list[str], name: str = "row_number") -> tuple[DataFrame, int]:
     """Number the rows 0..n-1 in the order of ``order`` and return them with n.
 
@@ -60,33 +71,35 @@ def row_numbers(df: DataFrame, order: list[str], name: str = "row_number") -> tu
     however long, over partitions.  The driver sees one count per partition and nothing else.
     """
     width = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    salted = df.withColumn("_salt", F.rand(17))
-    ranged = salted.repartitionByRange(int(width), *order, "_salt").sortWithinPartitions(*order, "_salt").drop("_salt")
-    placed = cut(ranged).withColumn("_at", F.monotonically_increasing_id())
-    placed = placed.withColumns({"_part": F.shiftright("_at", 33), "_in": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_at")
-    counts = dict(placed.groupBy("_part").count().collect())
+    salt, part, within = _free(df, "salt", "part", "within")
+    salted = df.withColumn(salt, F.rand(17))
+    ranged = salted.repartitionByRange(int(width), *order, salt).sortWithinPartitions(*order, salt).drop(salt)
+    at = F.monotonically_increasing_id()
+    placed = cut(ranged).withColumns({part: F.shiftright(at, 33), within: at.bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = dict(placed.groupBy(part).count().collect())
     starts, total = [], 0
-    for part in range(max(counts, default=-1) + 1):
+    for i in range(max(counts, default=-1) + 1):
         starts.append(total)
-        total += counts.get(part, 0)
-    offset = F.element_at(F.lit(np.array(starts or [0], dtype=np.int64)), (F.col("_part") + 1).cast("int"))
-    return placed.withColumn(name, offset + F.col("_in")).drop("_part", "_in"), total
+        total += counts.get(i, 0)
+    offset = F.element_at(F.lit(np.array(starts or [0], dtype=np.int64)), (F.col(part) + 1).cast("int"))
+    return placed.withColumn(name, offset + F.col(within)).drop(part, within), total
 
 
 def shard(df: DataFrame, order: list[str], shards: int, seed: int = 0) -> DataFrame:
     """Add row_number, shard and slot.
 
     The order columns should tell rows apart; rows equal in all of them are interchangeable, so either may get either
-    place.  Nulls sort first.  An empty table stays empty.  Columns of ``df`` keep their names; it must not hold
-    columns named row_number, shard, slot, _salt, _part or _in.
+    place.  Nulls sort first.  An empty table stays empty.  Columns of ``df`` keep their names; where one is named
+    row_number, shard or slot, the new column of that name gets underscores before it.
     """
-    numbered, total = row_numbers(df, order)
+    number, to, slot, permuted = _free(df, "row_number", "shard", "slot", "permuted")
+    numbered, total = row_numbers(df, order, number)
 
     @F.pandas_udf("long")
     def place(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(), total, seed))
 
-    return numbered.withColumn("_p", place("row_number")).withColumns({"shard": (F.col("_p") % shards).cast("int"), "slot": F.floor(F.col("_p") / shards).cast("long")}).drop("_p")
+    return numbered.withColumn(permuted, place(number)).withColumns({to: (F.col(permuted) % shards).cast("int"), slot: F.floor(F.col(permuted) / shards).cast("long")}).drop(permuted)
 
 
 def locate(row_number: int, n: int, shards: int, seed: int = 0) -> tuple[int, int]:

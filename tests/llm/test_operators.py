@@ -41,6 +41,10 @@ def test_sharding(spark, empty):
         assert sharding.locate(r["row_number"], 1001, 16) == (r["shard"], r["slot"])
         assert sharding.row_at(r["shard"], r["slot"], 1001, 16) == r["row_number"]
     assert sharding.shard(empty.select("doc_id"), ["doc_id"], 16).count() == 0
+    odd = spark.createDataFrame([(None, "a", 1, 2), (None, "a", 1, 2), (3, None, None, None)], "doc_id long, Shard string, salt int, slot int")
+    placed = sharding.shard(odd, ["doc_id", "Shard"], 2)
+    assert placed.columns == ["doc_id", "Shard", "salt", "slot", "row_number", "_shard", "_slot"]
+    assert sorted((r["_shard"], r["_slot"]) for r in placed.collect()) == [(0, 0), (0, 1), (1, 0)]
 
 
 def test_chat(spark):
@@ -101,7 +105,7 @@ def test_packing(hard, empty):
     assert sum(len(r["ids"]) for r in made) == 4 * packing.pack(unique, path).agg(F.sum("length")).first()[0]
 
 
-def brute_components(texts):
+def brute_components(texts, percent=85):
     sets = []
     for t in texts:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
@@ -110,7 +114,7 @@ def brute_components(texts):
     for _ in texts:
         for i, a in enumerate(sets):
             for j, b in enumerate(sets[:i]):
-                if a and b and 100 * len(a & b) >= 85 * len(a | b):
+                if a and b and 100 * len(a & b) >= percent * len(a | b):
                     parent[i] = parent[j] = min(parent[i], parent[j])
     return [len(s) for s in sets], parent
 
