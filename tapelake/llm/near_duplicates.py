@@ -286,9 +286,10 @@ def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text:
     edges = candidate_edges(classes, percent)
     families = components(edges.select("a", "b")).select("node", F.col("component").alias("family"))
     degrees = edges.groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("degree"))
-    members = families.join(degrees, "node").join(classes.select("node", F.col("at.id").alias("id"), F.col("at.hash").alias("hash"), "n_shingles", "k1", "k2"), "node")
-    sizes = members.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"), F.max_by("node", F.struct("degree", "node")).alias("hub"))
-    placed = cut(members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    members = cut(families.join(degrees, "node").join(classes.select("node", F.col("at.id").alias("id"), F.col("at.hash").alias("hash"), "n_shingles", "k1", "k2"), "node"))
+    # What is counted by family is stored before it is joined, so that a very large family is a skewed join alone.
+    sizes = cut(members.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"), F.max_by("node", F.struct("degree", "node")).alias("hub")))
+    placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     sets = _sets(docs, placed, id_column, text)
 
     def within(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -310,7 +311,7 @@ def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text:
     away = cut(inner.where("away").select("family", "node", "size").distinct())
     if away.isEmpty():
         return found
-    chunks = away.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("chunks"))
+    chunks = cut(away.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("chunks")))
 
     def across(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates(["node", "side"]).sort_values(["node", "side"])
