@@ -40,7 +40,7 @@ END = 2
 #: The usual BM25 constants.
 K1, B = 1.2, 0.75
 #: Dimensions of the projected vectors that order documents, leaves of the tree at most, and documents that shape a leaf.
-DIMENSIONS, LEAVES, PER_LEAF = 32, 1024, 32
+DIMENSIONS, LEAVES, PER_LEAF = 64, 1024, 32
 
 #: A term that more than one document in DENSE holds has its weights in a row; documents ranked first for a seed.
 DENSE, FIRST = 8, 32
@@ -79,9 +79,9 @@ class WordCodec:
         low = word.lower()
         if word.isascii() and word.isprintable() and "<|" not in word:
             if low.isalpha():
-                return self.pieces[low]
+                return _packed([t.id for t in self.merge(low)])
             if low[:-1].isalpha() and low[-1] in ".,;:!?":
-                return self.pieces[low[:-1]] + self.pieces[low[-1]]
+                return self.words[low[:-1]] + self.pieces[low[-1]]
             return b"".join(map(self.pieces.__getitem__, PIECES.findall(low)))
         # Some letters have their small form outside the plain range.
         if PLAIN.fullmatch(word) and PLAIN.fullmatch(low) and "<|" not in word:
@@ -92,8 +92,11 @@ class WordCodec:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+_FORMS = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _FORMS[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -204,16 +207,18 @@ def statistics(profiles: DataFrame) -> Statistics:
 
 
 @lru_cache(maxsize=1)
-def _directions(terms: int) -> np.ndarray:
-    """A random direction for each term; a document's vector is their sum weighted by BM25, at unit length."""
-    return np.random.default_rng(13).standard_normal((terms, DIMENSIONS)).astype(np.float32)
+def _places(terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """A random dimension and sign for each term."""
+    random = np.random.default_rng(13)
+    return random.integers(0, DIMENSIONS, terms), random.choice([-1.0, 1.0], terms)
 
 
 def vector(corpus: Statistics, terms: bytes, counts: bytes) -> np.ndarray:
+    """A document's BM25 weights added up, with their signs, in the dimensions of its terms, at unit length."""
     own, times = np.frombuffer(terms, "<u4"), np.frombuffer(counts, "<u4").astype(np.float64)
-    weights = (corpus.saturated(times, times.sum()) * corpus.idf(own)).astype(np.float32)
-    out = weights @ _directions(len(corpus.held))[own]
-    return out / max(float(np.sqrt(out @ out)), 1e-9)
+    place, sign = _places(len(corpus.held))
+    out = np.bincount(place[own], corpus.saturated(times, times.sum()) * corpus.idf(own) * sign[own], minlength=DIMENSIONS)
+    return (out / max(float(np.sqrt(out @ out)), 1e-9)).astype(np.float32)
 
 
 class Tree:
@@ -366,14 +371,18 @@ def pack_shard(first: int, docs: pd.DataFrame, corpus: Statistics | None = None)
             score = np.where(left > 0, index.search(seed), -1.0)
             for d in ranked(score):
                 room = WINDOW - used
-                if score[d] < 0 or room == 0:
+                if score[d] < 0 or room < GRAIN:
                     break
                 length = int(left[d]) if left[d] <= room else room // GRAIN * GRAIN
-                if not length:
-                    continue
                 take(d, length, used)
                 left[d] -= length
                 used += length
+            # What is left holds no grain: only whole rests that are as short fit, the best ranked first.
+            while used < WINDOW and len(fit := np.flatnonzero((left > 0) & (left <= WINDOW - used))):
+                d = int(fit[np.argmax(score[fit])])
+                take(d, int(left[d]), used)
+                used += int(left[d])
+                left[d] = 0
         sequence += 1
     out = pd.DataFrame(pieces, columns=["row", "start", "length", "sequence_id", "offset"])
     rows = out["row"].to_numpy()

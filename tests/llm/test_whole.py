@@ -60,7 +60,7 @@ def test_packing_orders_by_content_with_statistics_of_the_corpus(spark):
     assert len(placed) == n and placed["salt"].nunique() == n
     shard = placed.index // packing.SHARD
     together = sum((shard[placed["id"] % topics == t].value_counts() ** 2).sum() for t in range(topics)) / topics / (n / topics) ** 2
-    assert together > 0.5  # a hash gives 0.25
+    assert together > 0.4  # a hash gives 0.25
     assert packing.statistics(df.limit(0)).n == 0
 
 
