@@ -293,9 +293,10 @@ def encode_field(value: Column, kind: T.DataType, f: Field, encoding: str) -> Pa
 
 
 def decode_columns(layout: Layout, rec: Column) -> list[tuple[Field, Column, Column]]:
-    """(field, value, error) of every field that is no filler."""
+    """(field, value, error) of every field that is no filler; a field that a delimited record doesn't have is an error."""
     if layout.vartext:
         text = F.decode(rec, charset(layout.encoding))
         parts = F.split(text, re.escape(layout.delimiter))
-        return [(f, *vartext_field(F.substring(F.get(parts, F.lit(i)), 1, f.size), f)) for i, f in enumerate(layout.fields) if not f.filler]
+        pairs = [(f, i, *vartext_field(F.substring(F.get(parts, F.lit(i)), 1, f.size), f)) for i, f in enumerate(layout.fields) if not f.filler]
+        return [(f, v, F.coalesce(e, F.lit(False)) | (F.size(parts) <= i)) for f, i, v, e in pairs]
     return [(f, *decode_field(rec, f, at, layout.encoding)) for f, at in zip(layout.fields, layout.offsets, strict=True) if not f.filler]

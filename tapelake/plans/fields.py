@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapelake.functions.layout import Field, Layout
@@ -187,3 +188,38 @@ def export_checks(spark, sf_dir):
             refused += 1
     quality.check_export(rows, ORDERS)
     return rows.agg(F.count("*").alias("n"), F.lit(refused).alias("refused"))
+
+
+@register("select event_id as k, (epoch_us(ts) // 1000000)::varchar || '.' || lpad((epoch_us(ts) % 1000000)::varchar, 6, '0') as v from events")
+def timestamp_texts(spark, sf_dir):
+    """A timestamp written into a text field: seconds since 1970 with six decimals."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp"))
+    return one(rows, Field("V", "STRING", 20))
+
+
+@register("select p_partkey as k, rtrim(p_name) as a, p_brand || '日本' as b, rtrim(p_name) as c from part")
+def localized_charsets(spark, sf_dir):
+    """One-byte and two-byte mainframe charsets."""
+    layout = Layout((KEY, Field("A", "LOCALIZED_STRING", 64, charset="IBM037"), Field("B", "LOCALIZED_STRING", 24, charset="JPNEBCDIC1399_4IJ"), Field("C", "LOCALIZED_STRING", 64, charset="SCHEBCDIC935_6IJ")))
+    good = through(table(spark, sf_dir, "part").select("p_partkey", "p_name", F.concat("p_brand", F.lit("日本")), F.col("p_name").alias("again")), layout)
+    return good.select(F.col("K").alias("k"), F.col("A").alias("a"), F.col("B").alias("b"), F.col("C").alias("c"))
+
+
+@register("select count(*) as n, count(*) as in_order from orders")
+def record_order(spark, sf_dir):
+    """Places of records within their files, as they were written."""
+    rows, path = orders_rows(spark, sf_dir), scratch(spark)
+    records.write_records(rows.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey"), ORDERS, path)
+    numbered = records.numbered_records(spark, path, ORDERS.lrecl)
+    key = F.conv(F.hex(F.substring("rec", 1, 8)), 16, -10).cast("long")
+    placed = numbered.select("path", "number", key.alias("k")).withColumn("place", F.row_number().over(Window.partitionBy("path").orderBy("k")) - 1)
+    return placed.agg(F.count("*").alias("n"), F.count_if(F.col("place") == F.col("number")).alias("in_order"))
+
+
+@register("select count(*) as n, count(*) filter (o_orderkey % 6 = 0) as errors from orders")
+def vartext_short_lines(spark, sf_dir):
+    """Records that lack a field are rejected."""
+    line = F.when(F.col("o_orderkey") % 6 == 0, F.col("o_orderkey").cast("string")).otherwise(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", F.lit("")))
+    recs = table(spark, sf_dir, "orders").select(F.encode(F.rpad(line, 40, " "), "IBM1047").alias("rec"))
+    decoded = quality.decode(stored(recs, 40), Layout((Field("K", "STRING", 18), Field("STATUS", "STRING", 1)), vartext=True))
+    return decoded.agg(F.count("*").alias("n"), F.count_if(F.size(quality.ERRORS) > 0).alias("errors"))

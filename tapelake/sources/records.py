@@ -121,7 +121,26 @@ def cut_records(data: bytes, lrecl: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.concat_arrays(parts)], names=["rec"])
 
 
-def ranged_records(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
+def numbered_records(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
+    """(path, number, rec): records with their place, so that ``orderBy("path", "number")`` restores the order of the input.
+
+    Generations sort by name as they were made.  It takes a file system that Arrow has a client for.
+    """
+    return ranged_records(spark, path, lrecl, numbered=True)
+
+
+def _placed(records: Iterator[pa.RecordBatch], file: str, first: int, numbered: bool) -> Iterator[pa.RecordBatch]:
+    for batch in records:
+        if numbered:
+            n = len(batch)
+            columns = [pa.array([file]).take(pa.array(np.zeros(n, dtype=np.int64))), pa.array(np.arange(first, first + n)), batch.column(0)]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "number", "rec"])
+            first += n
+        else:
+            yield batch
+
+
+def ranged_records(spark: SparkSession, path: str | list[str], lrecl: int, numbered: bool = False) -> DataFrame:
     """(rec) by byte ranges of whole records; a task takes about TASK bytes, however many there are."""
     step = max(1, RANGE // lrecl) * lrecl
     found = files(spark, path).where("length > 0").select("path", "length")
@@ -141,15 +160,15 @@ def ranged_records(spark: SparkSession, path: str | list[str], lrecl: int) -> Da
                 fs, at = _fs(file)
                 if start < 0:
                     with fs.open_input_stream(at, compression=None) as stream:
-                        yield from _unpacked(stream, lrecl)
+                        yield from _placed(_unpacked(stream, lrecl), file, 0, numbered)
                     continue
                 with fs.open_input_file(at) as opened:
                     opened.seek(start)
-                    yield cut_records(opened.read(step), lrecl)
+                    yield from _placed(iter([cut_records(opened.read(step), lrecl)]), file, start // lrecl, numbered)
 
     total = found.agg(F.sum("length")).first()[0] or 0
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK))
-    return found.mapInArrow(ranges, "path string, start long").repartition(tasks).mapInArrow(run, "rec binary")
+    return found.mapInArrow(ranges, "path string, start long").repartition(tasks).mapInArrow(run, "path string, number long, rec binary" if numbered else "rec binary")
 
 
 def read_gzip(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
