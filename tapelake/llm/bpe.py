@@ -25,7 +25,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Bytes up to which a piece is merged by scanning.
 SHORT = 256
 #: Entries at which a worker's caches stop growing; common words come early.
-CACHE = 500_000
+CACHE = 250_000
 NEVER = 1 << 60
 
 
@@ -39,13 +39,13 @@ def byte_letters() -> dict[str, int]:
 class Found(dict):
     """Values looked up once by ``find``, as long as there is room."""
 
-    def __init__(self, find):
+    def __init__(self, find, room: int = CACHE):
         super().__init__()
-        self.find = find
+        self.find, self.room = find, room
 
     def __missing__(self, key: str) -> bytes:
         value = self.find(key)
-        if len(self) < CACHE:
+        if len(self) < self.room:
             self[key] = value
         return value
 

@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.common import ascii_words, cut, map_batches, steps
@@ -332,10 +332,6 @@ def decoded(classes: bytes) -> np.ndarray:
     return np.frombuffer(classes, dtype=np.uint8).astype(np.int64)
 
 
-def _hash(*columns: Column) -> Column:
-    return F.xxhash64(*columns)
-
-
 def blocks(coded: DataFrame, shards: int) -> DataFrame:
     """(shard, hash, first, classes): blocks of about BLOCK words, with the two neighbours on either side of each.
 
@@ -343,8 +339,8 @@ def blocks(coded: DataFrame, shards: int) -> DataFrame:
     """
     size = F.octet_length("classes") - 4
     cuts = coded.where(size > 0).select("doc_id", "classes", F.explode(F.sequence(F.lit(0), F.floor((size - 1) / BLOCK).cast("int"))).alias("block"))
-    key = cuts.select(_hash(F.col("doc_id"), F.xxhash64("classes"), F.col("block")).alias("hash"), F.substring("classes", F.col("block") * BLOCK + 1, F.lit(BLOCK + 4)).alias("classes"))
-    return key.select(F.pmod("hash", F.lit(shards)).alias("shard"), "hash", (F.pmod(_hash(F.col("hash"), F.lit(1)), F.lit(FIRST)) == 0).alias("first"), "classes")
+    key = cuts.select(F.xxhash64("doc_id", F.xxhash64("classes"), "block").alias("hash"), F.substring("classes", F.col("block") * BLOCK + 1, F.lit(BLOCK + 4)).alias("classes"))
+    return key.select(F.pmod("hash", F.lit(shards)).alias("shard"), "hash", (F.pmod(F.xxhash64("hash", F.lit(1)), F.lit(FIRST)) == 0).alias("first"), "classes")
 
 
 def fit(coded: DataFrame, words: Vocabulary) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tapelake.llm.bpe import Found, byte_letters
+from tapelake.llm.bpe import CACHE, Found, byte_letters
 from tapelake.llm.common import cut, map_batches
 
 WINDOW, GRAIN, SHARD = 4096, 32, 1024
@@ -67,7 +67,7 @@ class WordCodec:
         self.tokenizer.no_padding()
         self.merge = self.tokenizer.model.tokenize
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.words = Found(self._word)
+        self.words = Found(self._word, 2 * CACHE)
         self.words[""] = b""
         self.pieces = Found(self._piece)
 
