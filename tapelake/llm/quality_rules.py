@@ -76,7 +76,7 @@ def n_repeat_words(words: Column, width: int = 3) -> Column:
 
 #: Measures of every row, and those that only a rule asks for, each with its cost: nanoseconds a character and a word.
 MEASURES = {"n_words": (0, 1), "word_chars": (0, 30), "n_symbols": (8, 0), "n_dup_lines": (6, 0), "n_repeat_words": (0, 700)}
-LAZY = {"n_capitals": (9, 0), "n_digits": (9, 0), "n_marks": (9, 0)}
+LAZY = {"n_capitals": (9, 0), "n_marks": (9, 0)}
 
 
 def measures(text: Column, words: Column) -> dict[str, Column]:
@@ -90,7 +90,7 @@ def measures(text: Column, words: Column) -> dict[str, Column]:
 
 
 def lazy_measures(text: Column) -> dict[str, Column]:
-    return {"n_capitals": n_of(text, CAPITALS), "n_digits": n_of(text, "0123456789"), "n_marks": n_of(text, "!?")}
+    return {"n_capitals": n_of(text, CAPITALS), "n_marks": n_of(text, "!?")}
 
 
 @dataclass(frozen=True)
@@ -114,7 +114,6 @@ RULES = (
     Rule("symbols", lambda m: m["n_symbols"] * 10 > m["n_words"] * 3, ("n_symbols",)),
     Rule("duplicate_lines", lambda m: m["n_dup_lines"] * 10 > m["n_words"], ("n_dup_lines",)),
     Rule("capitals", lambda m: m["n_capitals"] * 2 > m["word_chars"], ("n_capitals", "word_chars")),
-    Rule("digits", lambda m: m["n_digits"] * 2 > m["word_chars"], ("n_digits", "word_chars")),
     Rule("marks", lambda m: m["n_marks"] * 10 > m["n_words"] * 3, ("n_marks",)),
 )
 

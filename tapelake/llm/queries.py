@@ -131,7 +131,7 @@ windows as (
 covered as (select doc_id, count(distinct place) as n from (select doc_id, unnest([i, i + 1, i + 2]) as place from windows where c > 1) group by 1),
 measures as (
   select w.doc_id, len(w.w)::bigint as n_words, length(array_to_string(w.w, ''))::bigint as word_chars,
-    length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) as n_capitals, length(text) - length(translate(text, '0123456789', '')) as n_digits,
+    length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) as n_capitals,
     length(text) - length(translate(text, '!?', '')) as n_marks,
     (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint as n_symbols, coalesce(l.n_dup_lines, 0)::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words
   from words w left join lines l using (doc_id) left join covered c using (doc_id)),
@@ -143,7 +143,7 @@ OP9_SQL = (
     + """
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not (base_failed or word_chars < 2 * n_words or word_chars > 15 * n_words or 10 * n_symbols > 3 * n_words or 10 * n_dup_lines > n_words
-    or 2 * n_capitals > word_chars or 2 * n_digits > word_chars or 10 * n_marks > 3 * n_words) as kept
+    or 2 * n_capitals > word_chars or 10 * n_marks > 3 * n_words) as kept
 from judged
 """
 )

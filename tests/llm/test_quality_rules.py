@@ -36,7 +36,7 @@ def brute(text):
     n, chars = len(words), sum(map(len, words))
     count = lambda letters: sum(text.count(c) for c in letters)
     base = n < 50 or 100 * len(covered) > 50 * n
-    fails = [chars < 2 * n, chars > 15 * n, 10 * count("#*$%&|<>") > 3 * n, 10 * (len(lines) - len(set(lines))) > n, 2 * count(quality_rules.CAPITALS) > chars, 2 * count("0123456789") > chars, 10 * count("!?") > 3 * n]
+    fails = [chars < 2 * n, chars > 15 * n, 10 * count("#*$%&|<>") > 3 * n, 10 * (len(lines) - len(set(lines))) > n, 2 * count(quality_rules.CAPITALS) > chars, 10 * count("!?") > 3 * n]
     return n, chars, count("#*$%&|<>"), len(lines) - len(set(lines)), len(covered), base, not base and not any(fails)
 
 
