@@ -16,8 +16,16 @@ ERRORS = "_err"
 
 
 def names_of(errors: list[tuple[str, Column]]) -> Column:
-    """Names of the fields whose error column is true."""
-    return F.array_compact(F.array(*(F.when(F.coalesce(e, F.lit(False)), F.lit(n)) for n, e in errors))) if errors else F.array().cast("array<string>")
+    """Names of the fields whose error column is true; the list is made only for rows that have an error.
+
+    Errors are added up and not joined by OR, so that each is evaluated together with the value it belongs to.
+    """
+    none = F.array().cast("array<string>")
+    if not errors:
+        return none
+    flags = [(n, F.coalesce(e, F.lit(False))) for n, e in errors]
+    total = sum((e.cast("int") for _, e in flags), F.lit(0))
+    return F.when(total > 0, F.array_compact(F.array(*(F.when(e, F.lit(n)) for n, e in flags)))).otherwise(none)
 
 
 def decode(records: DataFrame, layout: Layout, rec: str = "rec") -> DataFrame:
