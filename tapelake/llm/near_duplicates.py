@@ -321,7 +321,9 @@ def links(docs: DataFrame, classes: DataFrame, id_column: str = "doc_id", text:
     own = sets.join(chunks, "family").select("family", "block", every("chunks").alias("chunk"), "node", "members", F.lit(0).alias("side"))
     apart = sets.join(away.select("node"), "node").join(chunks, "family").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int"))
     sent = apart.select("family", every("blocks").alias("block"), "chunk", "node", "members", F.lit(1).alias("side"))
-    return found.unionByName(own.unionByName(sent).groupBy("family", "block", "chunk").applyInPandas(across, "a long, b long"))
+    # The joins deal by family; without a deal of their own all tiles of a family would stay in one task.
+    tiles = own.unionByName(sent).repartition("family", "block", "chunk")
+    return found.unionByName(tiles.groupBy("family", "block", "chunk").applyInPandas(across, "a long, b long"))
 
 
 def _named(docs: DataFrame, id_column: str, text: str, percent: int) -> DataFrame:
