@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import bpe, chat, html_extract, lm_score, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
+from tapelake.llm import alignment, bpe, chat, html_extract, lm_score, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
 from tapelake.llm.common import held_out, table
 
 SHARDS = 16
@@ -74,6 +74,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, pairs = alignment.align(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    return alignment.with_rest(rows.select("key", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest, "rest"), pairs)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_media_columns, op2_sharding, op3_quality_classifier, op4_html_extraction, op5_chat_formatting, op6_bpe, op7_lm_scoring, op8_near_duplicates, op9_quality_rules, op10_packing, pipeline)
+    for f in (op1_media_columns, op2_sharding, op3_quality_classifier, op4_html_extraction, op5_chat_formatting, op6_bpe, op7_lm_scoring, op8_near_duplicates, op9_quality_rules, op10_packing, op11_alignment, pipeline)
 }
 
 OP5_SQL = r"""
