@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import alignment, bpe, chat, html_extract, lm_score, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
+from tapelake.llm import alignment, bpe, chat, hard_negatives, html_extract, license_scan, lm_score, media, near_duplicates, packing, quality_classifier, quality_rules, sharding
 from tapelake.llm.common import held_out, table
 
 SHARDS = 16
@@ -80,6 +80,21 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.with_rest(rows.select("key", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest, "rest"), pairs)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    vectors = rows.where(finite).select(F.col("vec_id").alias("id"), label.alias("label"), whole.alias("vector"))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return found.withColumns(joined).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,7 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_media_columns, op2_sharding, op3_quality_classifier, op4_html_extraction, op5_chat_formatting, op6_bpe, op7_lm_scoring, op8_near_duplicates, op9_quality_rules, op10_packing, op11_alignment, pipeline)
+    for f in (op1_media_columns, op2_sharding, op3_quality_classifier, op4_html_extraction, op5_chat_formatting, op6_bpe, op7_lm_scoring, op8_near_duplicates, op9_quality_rules, op10_packing, op11_alignment, op12_hard_negatives, op13_license_scan, pipeline)
 }
 
 OP5_SQL = r"""
@@ -154,4 +169,47 @@ from judged
 """
 )
 
-ORACLE_SQL = {"op5_chat_formatting": OP5_SQL, "op8_near_duplicates": OP8_SQL, "op9_quality_rules": OP9_SQL}
+OP12_SQL = """
+with given as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [cast(floor(256 * x::double) as bigint) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, a.label = r.label as same, r.vec_id, cast(list_inner_product(a.v::double[], r.v::double[]) as bigint) as score
+  from given a join given r on a.vec_id <> r.vec_id and len(a.v) = len(r.v) where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id, score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+met as (
+  select p.anchor_id, p.vec_id as positive_id, row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id) as place,
+    n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+  from positives p join scored n on n.anchor_id = p.anchor_id and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score)
+select anchor_id, positive_id, cast(place as int) as rank, negative_id, positive_score, negative_score from met where place <= 5
+"""
+
+def _licenses_sql() -> str:
+    """Phrases by the words at their places, templates as regular expressions over the words."""
+    phrases = ", ".join(f"('{label}', string_split('{phrase}', ' '))" for phrase, label in license_scan.PHRASES.items())
+    templates = ", ".join(f"('{label}', '{license_scan.pattern(template)}')" for label, template in license_scan.TEMPLATES)
+    return rf"""
+with words as (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+joined as (select r, ' ' || array_to_string(w, ' ') || ' ' as t from words where len(w) > 0),
+phrases(label, p) as (values {phrases}),
+at as (
+  select r, label, i - 1 as place from (select r, w, unnest(range(1, len(w) + 1)) as i from words) s, phrases p
+  where w[i] = p[1] and w[i : i + len(p) - 1] = p),
+base as (select r, count(*) as n_base, min(place) as first_word, max(place) as last_word, list(distinct label) as found from at group by 1),
+templates(label, e) as (values {templates}),
+more as (select r, list(distinct label) as found from joined, templates where regexp_matches(t, e) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+  array_to_string(list_sort(coalesce(b.found, [])), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.found, []), coalesce(m.found, [])))), ',') as labels,
+  1 - power(0.5::double, coalesce(n_base, 0) + 3 * len(coalesce(m.found, []))) as score
+from words left join base b using (r) left join more m using (r)
+"""
+
+
+ORACLE_SQL = {"op13_license_scan": _licenses_sql(), "op12_hard_negatives": OP12_SQL, "op5_chat_formatting": OP5_SQL, "op8_near_duplicates": OP8_SQL, "op9_quality_rules": OP9_SQL}
