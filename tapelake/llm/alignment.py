@@ -27,7 +27,7 @@ RANGE, SPAN = 1 << 15, 1 << 12
 #: Ranges that one step of the tree composes.
 FAN = 16
 #: Units that a worker remembers, and the longest of them in characters.
-CACHE, LONGEST = 100_000, 48
+CACHE, LONGEST = 250_000, 48
 #: Characters of texts that a worker cuts up at once.
 STEP = 1 << 20
 #: Counts of pairs that travel with the tasks at most, and how finely frequencies are told apart to choose them.
@@ -36,6 +36,7 @@ KNOWN, FINENESS = 1 << 18, 4
 HELD = 1 << 20
 #: Places where both vocabularies always cut: before a blank or a line feed that follows a non-blank.
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
+WIDE = re.compile(r"\s\s|\x01")
 HALF = 32
 NONE = np.zeros(0, dtype=np.int64)
 
@@ -51,6 +52,13 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in PLAIN} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def units_of(text: str) -> list[str]:
+    """The text between neighbouring places of CUT; where no two blanks meet, each blank is such a place, which is found faster."""
+    if not text[:1].isspace() or WIDE.search(text):
+        return CUT.split(text)
+    return text.replace(" ", "\x01 ").replace("\n", "\x01\n").lstrip("\x01").split("\x01")
+
+
 # Fragments
 
 
@@ -172,61 +180,87 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.bytes_a, self.bytes_b))
         self._forget()
 
+        self.words_a, self.words_b = ([np.array([f"{i}{mark}" for i in range(len(side))], dtype=object) for mark in marks] for side, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")))
+        self._forget()
+
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.groups: list[str] = []
-        self.codes: list[np.ndarray] = []
-        self.numbers: list[tuple[int, int, int, int, bool]] = []
-        self.table = np.zeros((0, 5), dtype=np.int64)
-
-    def encode(self, units: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both sides.  The second side puts a blank before what it encodes: the unit's own, or one to leave out."""
-        ours = self.a.encode_batch_fast(units, add_special_tokens=False)
-        theirs = self.b.encode([u[1:] if u.startswith(" ") else u for u in units], num_threads=1)
-        for unit, x, y in zip(units, ours, theirs, strict=True):
-            if unit == " ":
-                y = [self.blank]
-            elif not unit.startswith(" "):
-                y = y[1:]
-            yield x.ids, y
-
-    def covers(self, unit: str, a: list[int], b: list[int]) -> bool:
-        """Whether both sides' bytes are the unit's."""
-        raw = unit.encode()
-        return b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-
-    def tokens(self, unit: str) -> tuple[np.ndarray, np.ndarray, bool]:
-        a, b = next(self.encode([unit]))
-        return _tokens(a, self.size_a[a]), _tokens(b, self.size_b[b]), not self.covers(unit, a, b)
+        self.codes, self.sizes, self.table = NONE, NONE, np.zeros((0, 5), dtype=np.int64)
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+        """The tokens (ids, sizes) of both sides for one unit or several in a row, and whether a side can't give back its bytes.
+
+        The second side puts a blank before what it encodes: the text's own, or one to leave out.
+        """
+        spaced = text.startswith(" ")
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = [self.blank] if text == " " else self.b.encode(text[1:] if spaced else text)[0 if spaced else 1 :]
+        raw = text.encode()
+        bad = b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw
+        return _tokens(a, self.size_a[a]), _tokens(b, self.size_b[b]), bad
 
     def learn(self, units: set[str]) -> None:
-        """Align units that weren't met yet; beyond CACHE of them all are forgotten first."""
+        """Align units that weren't met yet, all in one go; beyond CACHE of them all are forgotten first.
+
+        Units with U+2581, which stands for a blank in the second vocabulary, can't be given back.
+        """
         if len(self.index) > CACHE:
             self._forget()
         new = [u for u in units if u not in self.index]
-        for unit, (a, b) in zip(new, self.encode(new), strict=True):
-            bad = not self.covers(unit, a, b)
-            if bad:
-                made = Fragment(bad=True)
-            elif len(a) == 1 == len(b):
-                made = Fragment(True, said(a, b), 1, 1, 1, 1, np.array([a[0] << HALF | b[0]], dtype=np.int64))
+        broken = [u for u in new if "▁" in u]
+        whole = [u for u in new if "▁" not in u]
+        for some, made in ((whole, self._aligned(whole)), (broken, None)) if new else ():
+            if made is None and len(some) > 1 and some is whole:  # one of them can't be given back
+                parts = [self._aligned([u]) for u in some]
+                groups = [g for p in parts for g in (p[0] if p else [""])]
+                table = np.concatenate([p[1] if p else self._unknown(1) for p in parts])
+                codes = np.concatenate([p[2] if p else NONE for p in parts])
+            elif made is None:
+                groups, table, codes = [""] * len(some), self._unknown(len(some)), NONE
             else:
-                made = fragment(_tokens(a, self.size_a[a]), _tokens(b, self.size_b[b]), 0, int(self.size_a[a].sum())).closed()
-            self.index[unit] = len(self.groups)
-            self.groups.append(made.groups)
-            self.codes.append(made.codes)
-            self.numbers.append((made.n_a, made.n_b, made.n_groups, made.n_links, made.bad))
-        if new:
-            self.table = np.array(self.numbers, dtype=np.int64)
+                groups, table, codes = made
+            self.index.update(zip(some, range(len(self.groups), len(self.groups) + len(some)), strict=True))
+            self.groups += groups
+            self.table, self.codes = np.concatenate([self.table, table]), np.concatenate([self.codes, codes])
+        self.starts = np.cumsum(self.table[:, 3]) - self.table[:, 3]
+
+    @staticmethod
+    def _unknown(n: int) -> np.ndarray:
+        return np.tile(np.array([0, 0, 0, 0, 1], dtype=np.int64), (n, 1))
+
+    def _aligned(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray] | None:
+        """(groups as text, numbers, codes) of units, encoded in a row; None if they can't be given back."""
+        if not units:
+            return [], np.zeros((0, 5), dtype=np.int64), NONE
+        a, b, bad = self.encode("".join(units))
+        stops = np.cumsum([len(u.encode()) for u in units])
+        ends_a, ends_b = np.cumsum(a[1]), np.cumsum(b[1])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        if bad or not np.isin(stops, common, assume_unique=True).all():
+            return None
+        every = np.union1d(ends_a, ends_b)
+        codes = (a[0][np.searchsorted(ends_a, every)] << HALF) | b[0][np.searchsorted(ends_b, every)]
+        in_a, in_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)  # group of each token
+        last_a, last_b = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
+        words = np.empty(len(ends_a) + len(ends_b), dtype=object)
+        closes_a, closes_b = np.isin(np.arange(len(ends_a)), last_a - 1), np.isin(np.arange(len(ends_b)), last_b - 1)
+        before_b = np.concatenate([[0], last_b[:-1]])
+        words[np.arange(len(ends_a)) + before_b[in_a]] = np.where(closes_a, self.words_a[1][a[0]], self.words_a[0][a[0]])
+        words[np.arange(len(ends_b)) + last_a[in_b]] = np.where(closes_b, self.words_b[1][b[0]], self.words_b[0][b[0]])
+        counts = [np.diff(np.searchsorted(x, stops, "right"), prepend=0) for x in (ends_a, ends_b, common, every)]
+        edges = np.cumsum(counts[0] + counts[1]).tolist()
+        words = words.tolist()
+        groups = ["".join(words[x:y]) for x, y in zip([0, *edges], edges)]
+        return groups, np.stack([*counts, np.zeros(len(units), dtype=np.int64)], axis=1), codes
 
     def known(self, units: list[str]) -> Fragment:
         """The closed fragment of units that were learnt."""
         at = list(map(self.index.__getitem__, units))
         places, times = np.unique(np.array(at, dtype=np.int64), return_counts=True)
-        sums = times @ self.table[places]
-        codes = [self.codes[i] for i in places.tolist()]
-        sizes = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes))
-        return Fragment(True, "".join(map(self.groups.__getitem__, at)), *map(int, sums[:4]), np.concatenate(codes) if codes else NONE, np.repeat(times, sizes), bad=bool(sums[4]))
+        sums, sizes = times @ self.table[places], self.table[places, 3]
+        codes = self.codes[np.repeat(self.starts[places] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+        return Fragment(True, "".join(map(self.groups.__getitem__, at)), *map(int, sums[:4]), codes, np.repeat(times, sizes), bad=bool(sums[4]))
 
 
 @lru_cache(maxsize=2)
@@ -243,7 +277,7 @@ def align_texts(tool: Aligner, texts: list[str]) -> Iterator[Fragment]:
         while stop < len(texts) and (stop == start or size + len(texts[stop]) <= STEP):
             size += len(texts[stop])
             stop += 1
-        cut_up = [CUT.split(t) for t in texts[start:stop]]
+        cut_up = [units_of(t) for t in texts[start:stop]]
         tool.learn({u for units in cut_up for u in units if len(u) <= LONGEST})
         for units in cut_up:
             if max(map(len, units)) <= LONGEST:
@@ -254,7 +288,7 @@ def align_texts(tool: Aligner, texts: list[str]) -> Iterator[Fragment]:
                 if len(unit) <= LONGEST:
                     run.append(unit)
                     continue
-                a, b, bad = tool.tokens(unit)
+                a, b, bad = tool.encode(unit)
                 long = Fragment(bad=True) if bad else Fragment(bound=True) + fragment(a, b, 0, int(a[1].sum()))
                 whole, run = _append(_append(whole, tool.known(run)), long), []
             yield _append(whole, tool.known(run))
@@ -276,7 +310,7 @@ def align_range(tool: Aligner, text: str, first: int, last: int) -> Fragment:
     """
     if first == last:
         return Fragment()
-    units = CUT.split(text)
+    units = units_of(text)
     starts = np.concatenate([[0], np.cumsum([len(u) for u in units])]).tolist()
     whole, run = Fragment(), []
 
@@ -292,7 +326,7 @@ def align_range(tool: Aligner, text: str, first: int, last: int) -> Fragment:
             run.append(unit)
             continue
         flush()
-        a, b, bad = tool.tokens(unit)
+        a, b, bad = tool.encode(unit)
         if bad:
             return Fragment(bad=True)
         low, high = (len(unit[: max(0, x - start)].encode()) for x in (first, last))
@@ -328,9 +362,7 @@ def ranges(text: str, size: int = RANGE, span: int = SPAN) -> list[tuple[int, in
 
 
 def _row(key: int, doc: int | None, part: int, f: Fragment) -> tuple:
-    codes, place = np.unique(f.codes, return_inverse=True)
-    times = np.bincount(place, weights=f.times, minlength=len(codes)).astype(np.int64)
-    return key, doc, part, f.bad, f.bound, f.groups, f.n_a, f.n_b, f.n_groups, f.n_links, codes.tobytes(), times.tobytes(), *(x.tobytes() for x in (*f.prefix, *f.suffix))
+    return key, doc, part, f.bad, f.bound, f.groups, f.n_a, f.n_b, f.n_groups, f.n_links, f.codes.tobytes(), f.times.tobytes(), *(x.tobytes() for x in (*f.prefix, *f.suffix))
 
 
 def _fragment_of(r) -> Fragment:
@@ -385,104 +417,113 @@ def long_fragments(docs: DataFrame, path_a: str, path_b: str, size: int = RANGE)
     return made
 
 
-def _closed(rows: pa.RecordBatch) -> Iterator[tuple[int, int | None, Fragment]]:
-    for r in rows.to_pylist():
-        yield r["key"], r["doc_id"], _fragment_of(r).closed()
+RESULT = "key long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id", text: str = "text", size: int = RANGE, known: int = KNOWN) -> tuple[DataFrame, DataFrame]:
-    """Alignments, one row for each of ``docs``, and the counts of linked pairs.
+def align(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id", text: str = "text", size: int = RANGE) -> DataFrame:
+    """(key, doc_id, n_a, n_b, n_groups, n_links, groups, links): the alignment of every row of ``docs``.
 
-    ``path_a`` is a byte-level tokenizer file, ``path_b`` a piece model; both encode a blank and the text.  Rows are
-    (key, doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups, rest): ``groups`` says which ids of both cover the
-    same bytes, ``a1,a2|b1;a3|b2``.  A link is a pair of token occurrences whose bytes overlap; a pair of ids counts the
-    rows that hold it linked.  ``n_best`` counts links whose pair has the highest count of all pairs of its first id,
-    ``count_sum`` adds up the counts of links: here those of frequent pairs, and ``with_rest`` adds those in ``rest``.
-    Pairs are (code, n, best), and a code is ``a << 32 | b``.
+    ``path_a`` is a byte-level tokenizer file, ``path_b`` a piece model; both encode a blank and the text.  ``groups`` says which
+    ids of both cover the same bytes, ``a1,a2|b1;a3|b2``.  A link is a pair of token occurrences whose bytes overlap; ``links``
+    has a row's distinct pairs of ids for ``with_counts``.  ``key`` tells rows apart.
 
     Null and empty texts, and those that either vocabulary can't give back byte by byte, get zeros and ''.  Repeated
-    rows count each and have equal results; a null id stays null; an empty table gives no row; other columns are ignored.
+    rows have equal results; a null id stays null; an empty table gives no row; other columns are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    short = rows.where(F.length("text") < size)
-    # Few rows, but each is the work of many tasks.
-    composed = cut(long_fragments(rows.where(F.length("text") >= size), path_a, path_b, size))
+    arrow = _schema(RESULT)
+
+    def out(key: int, doc: int | None, f: Fragment) -> tuple:
+        return (key, doc, 0, 0, 0, 0, "", b"") if f.bad else (key, doc, f.n_a, f.n_b, f.n_groups, f.n_links, f.groups[:-1], packed_links(f.codes, f.times))
 
-    def aligned(batch: pa.RecordBatch) -> Iterator[tuple[int, int | None, Fragment]]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(path_a, path_b)
-        for part in steps(batch, "text"):
-            keys, ids, texts = (c.to_pylist() for c in part.columns)
-            for key, doc, t, f in zip(keys, ids, texts, align_texts(tool, [" " + t for t in texts]), strict=True):
-                yield key, doc, f if t else Fragment(bad=True)
-
-    def counter(fragments):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, waiting, total = (NONE, NONE), [], 0
-            for batch in batches:
-                for _, _, f in fragments(batch):
-                    if not f.bad:
-                        waiting.append(np.unique(f.codes))
-                        total += len(waiting[-1])
-                    if total > 4 * HELD:
-                        held, waiting, total = _summed(held, waiting), [], 0
-                        if len(held[0]) > HELD:
-                            yield pa.RecordBatch.from_arrays(list(map(pa.array, held)), names=["code", "n"])
-                            held = NONE, NONE
-            held = _summed(held, waiting)
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, held)), names=["code", "n"])
-
-        return run
-
-    counted = short.mapInArrow(counter(aligned), "code long, n long").unionByName(composed.mapInArrow(counter(_closed), "code long, n long"))
-    counts = cut(counted.groupBy("code").agg(F.sum("n").alias("n")))
-    a = F.shiftright("code", HALF).alias("a")
-    best = counts.groupBy(a).agg(F.max("n").alias("most"))
-    pairs = cut(counts.join(best, F.shiftright("code", HALF) == F.col("a")).select("code", "n", (F.col("n") == F.col("most")).cast("long").alias("best")))
-    lookup = docs.sparkSession.sparkContext.broadcast(_frequent(pairs, known))
-    result = "key long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string, rest array<struct<code: long, times: long>>"
-    arrow = _schema(result)
-
-    def scorer(fragments):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            codes, n, best = lookup.value
-            for batch in batches:
-                out, size = [], 0
-                for key, doc, f in fragments(batch):
-                    if f.bad:
-                        out.append((key, doc, 0, 0, 0, 0, 0, 0, "", []))
-                        continue
-                    at = np.minimum(np.searchsorted(codes, f.codes), max(0, len(codes) - 1))
-                    there = codes[at] == f.codes if len(codes) else np.zeros(len(f.codes), dtype=bool)
-                    at, times = at[there], f.times[there]
-                    rest = [{"code": c, "times": t} for c, t in zip(f.codes[~there].tolist(), f.times[~there].tolist(), strict=True)]
-                    out.append((key, doc, f.n_a, f.n_b, f.n_groups, f.n_links, int((times * best[at]).sum()), int((times * n[at]).sum()), f.groups[:-1], rest))
-                    size += len(f.groups)
-                    if size > 8 << 20:
-                        yield _batch(out, arrow)
-                        out, size = [], 0
-                yield _batch(out, arrow)
-
-        return run
-
-    return short.mapInArrow(scorer(aligned), result).unionByName(composed.mapInArrow(scorer(_closed), result)), pairs
-
-
-def with_rest(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The rows of ``align``, or some columns of them, with what ``rest`` adds to ``n_best`` and ``count_sum``; key and rest go.
-
-    Rare pairs meet their counts in a join.  Rows are stored before it, so leave out or digest what is long.
+        for batch in batches:
+            for part in steps(batch, "text"):
+                keys, ids, texts = (c.to_pylist() for c in part.columns)
+                found = align_texts(tool, [" " + t for t in texts])
+                yield _batch([out(k, d, f if t else Fragment(bad=True)) for k, d, t, f in zip(keys, ids, texts, found, strict=True)], arrow)
+
+    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                yield _batch([out(r["key"], r["doc_id"], _fragment_of(r).closed())], arrow)
+
+    short, long = rows.where(F.length("text") < size), rows.where(F.length("text") >= size)
+    return short.mapInArrow(whole, RESULT).unionByName(long_fragments(long, path_a, path_b, size).mapInArrow(composed, RESULT))
+
+
+def packed_links(codes: np.ndarray, times: np.ndarray) -> bytes:
+    """Distinct codes, sorted, and how often each occurs: differences, low halves and counts, compressed."""
+    distinct, place = np.unique(codes, return_inverse=True)
+    counts = np.bincount(place, weights=times, minlength=len(distinct)).astype("<u4")
+    planes = np.diff(distinct >> HALF, prepend=0).astype("<u4"), (distinct & 0xFFFFFFFF).astype("<u4"), counts
+    raw = b"".join(x.tobytes() for x in planes)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked_links(links: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not links:
+        return NONE, NONE
+    raw = pa.decompress(links[8:], decompressed_size=int.from_bytes(links[:8], "little"), codec="zstd", asbytes=True)
+    a, b, times = np.frombuffer(raw, dtype="<u4").reshape(3, -1).astype(np.int64)
+    return (np.cumsum(a) << HALF) | b, times
+
+
+def with_counts(rows: DataFrame, known: int = KNOWN) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``align`` with ``n_best`` and ``count_sum`` instead of key and links, and all pairs as (code, n, best).
+
+    A pair of ids counts the rows that hold it linked; its code is ``a << 32 | b``, and it is best if no other pair of its
+    first id counts more.  ``n_best`` counts a row's links whose pair is best, ``count_sum`` adds up the counts of its links.
+    Up to ``known`` frequent pairs travel with the tasks, the others meet their counts in a join.  Rows are stored on the
+    way, so leave out or digest ``groups`` where they are long.  An empty table gives no row and no pair.
     """
     stored = cut(rows)
-    left = stored.select("key", F.explode("rest").alias("r")).select("key", "r.code", "r.times")
-    if left.isEmpty():
-        return stored.drop("key", "rest")
-    met = left.join(pairs, "code").groupBy("key").agg(F.sum(F.col("times") * F.col("best")).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more_sum"))
-    whole = stored.drop("rest").join(met, "key", "left")
-    add = {"n_best": "more_best", "count_sum": "more_sum"}
-    return whole.select(*((F.col(c) + F.coalesce(add[c], F.lit(0))).alias(c) if c in add else F.col(c) for c in stored.columns if c not in ("key", "rest")))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting, total = (NONE, NONE), [], 0
+        for batch in batches:
+            for links in batch.column(0).to_pylist():
+                waiting.append(unpacked_links(links)[0])
+                total += len(waiting[-1])
+                if total > HELD:
+                    held, waiting, total = _summed(held, waiting), [], 0
+                    if len(held[0]) > HELD:
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, held)), names=["code", "n"])
+                        held = NONE, NONE
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, _summed(held, waiting))), names=["code", "n"])
+
+    counts = cut(stored.select("links").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
+    first = F.shiftright("code", HALF)
+    best = counts.groupBy(first.alias("a")).agg(F.max("n").alias("most"))
+    pairs = cut(counts.join(best, first == F.col("a")).select("code", "n", (F.col("n") == F.col("most")).cast("long").alias("best")))
+    lookup = rows.sparkSession.sparkContext.broadcast(_frequent(pairs, known))
+    sums = "key long, n_best long, count_sum long, rest array<struct<code: long, times: long>>"
+    arrow = _schema(sums)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, n, best = lookup.value
+        for batch in batches:
+            out = []
+            for key, links in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                mine, times = unpacked_links(links)
+                at = np.searchsorted(codes, mine)
+                there = np.append(codes, -1)[at] == mine
+                rest = [{"code": c, "times": t} for c, t in zip(mine[~there].tolist(), times[~there].tolist(), strict=True)]
+                at, times = at[there], times[there]
+                out.append((key, int((times * best[at]).sum()), int((times * n[at]).sum()), rest))
+            yield _batch(out, arrow)
+
+    added = cut(stored.select("key", "links").mapInArrow(add, sums))
+    left = added.select("key", F.explode("rest").alias("r")).select("key", "r.code", "r.times")
+    more = left.join(pairs, "code").groupBy("key").agg(F.sum(F.col("times") * F.col("best")).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
+    whole = added.drop("rest") if left.isEmpty() else added.drop("rest").unionByName(more).groupBy("key").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    kept = [c for c in rows.columns if c not in ("key", "links")]
+    return stored.join(whole, "key").select(*kept, "n_best", "count_sum"), pairs
 
 
 def _summed(held: tuple[np.ndarray, np.ndarray], more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) with one more for each code in ``more``."""
     if not more:
         return held
     codes, place = np.unique(np.concatenate([held[0], *more]), return_inverse=True)

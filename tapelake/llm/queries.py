@@ -75,9 +75,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, pairs = alignment.align(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))
+    rows = alignment.align(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
-    return alignment.with_rest(rows.select("key", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest, "rest"), pairs)
+    return alignment.with_counts(rows.select("key", "doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "links"))[0]
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,10 +198,10 @@ with words as (
   from documents),
 joined as (select r, ' ' || array_to_string(w, ' ') || ' ' as t from words where len(w) > 0),
 phrases(label, p) as (values {phrases}),
-at as (
+places as (
   select r, label, i - 1 as place from (select r, w, unnest(range(1, len(w) + 1)) as i from words) s, phrases p
   where w[i] = p[1] and w[i : i + len(p) - 1] = p),
-base as (select r, count(*) as n_base, min(place) as first_word, max(place) as last_word, list(distinct label) as found from at group by 1),
+base as (select r, count(*) as n_base, min(place) as first_word, max(place) as last_word, list(distinct label) as found from places group by 1),
 templates(label, e) as (values {templates}),
 more as (select r, list(distinct label) as found from joined, templates where regexp_matches(t, e) group by 1)
 select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
