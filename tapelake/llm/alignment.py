@@ -27,11 +27,13 @@ RANGE, SPAN = 1 << 15, 1 << 12
 #: Ranges that one step of the tree composes.
 FAN = 16
 #: Units that a worker remembers, and the longest of them in characters.
-CACHE, LONGEST = 250_000, 48
+CACHE, LONGEST = 150_000, 48
 #: Characters of texts that a worker cuts up at once.
-STEP = 1 << 20
+STEP = 1 << 19
 #: Counts of pairs that travel with the tasks at most, and how finely frequencies are told apart to choose them.
 KNOWN, FINENESS = 1 << 18, 4
+#: Bytes of results that a task gives away together.
+OUT = 4 << 20
 #: Distinct pairs that a task holds before it gives their counts away.
 HELD = 1 << 20
 #: Places where both vocabularies always cut: before a blank or a line feed that follows a non-blank.
@@ -43,7 +45,7 @@ NONE = np.zeros(0, dtype=np.int64)
 #: The bytes that stand for themselves in byte-level vocabularies; the others follow from 256 on.
 PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-FRAGMENT = "key long, doc_id long, part long, bad boolean, bound boolean, groups string, n_a long, n_b long, n_groups long, n_links long, codes binary, times binary, prefix_a binary, prefix_b binary, suffix_a binary, suffix_b binary"
+FRAGMENT = "key long, doc_id long, part long, bad boolean, bound boolean, groups string, n_a long, n_b long, n_groups long, n_links long, links binary, prefix_a binary, prefix_b binary, suffix_a binary, suffix_b binary"
 
 
 def byte_letters() -> dict[str, int]:
@@ -362,12 +364,12 @@ def ranges(text: str, size: int = RANGE, span: int = SPAN) -> list[tuple[int, in
 
 
 def _row(key: int, doc: int | None, part: int, f: Fragment) -> tuple:
-    return key, doc, part, f.bad, f.bound, f.groups, f.n_a, f.n_b, f.n_groups, f.n_links, f.codes.tobytes(), f.times.tobytes(), *(x.tobytes() for x in (*f.prefix, *f.suffix))
+    return key, doc, part, f.bad, f.bound, f.groups, f.n_a, f.n_b, f.n_groups, f.n_links, packed_links(f.codes, f.times), *(x.tobytes() for x in (*f.prefix, *f.suffix))
 
 
 def _fragment_of(r) -> Fragment:
     sides = [np.frombuffer(r[n], dtype=np.int64).reshape(2, -1) for n in ("prefix_a", "prefix_b", "suffix_a", "suffix_b")]
-    return Fragment(r["bound"], r["groups"], r["n_a"], r["n_b"], r["n_groups"], r["n_links"], np.frombuffer(r["codes"], dtype=np.int64), np.frombuffer(r["times"], dtype=np.int64), (sides[0], sides[1]), (sides[2], sides[3]), r["bad"])
+    return Fragment(r["bound"], r["groups"], r["n_a"], r["n_b"], r["n_groups"], r["n_links"], *unpacked_links(r["links"]), (sides[0], sides[1]), (sides[2], sides[3]), r["bad"])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -375,6 +377,18 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of about OUT bytes of texts and bytes; a row may be larger."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, (str, bytes)))
+        if size > OUT:
+            yield _batch(held, schema)
+            held, size = [], 0
+    yield _batch(held, schema)
+
+
 def _schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -390,15 +404,13 @@ def long_fragments(docs: DataFrame, path_a: str, path_b: str, size: int = RANGE)
         for batch in batches:
             for key, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 spaced = " " + text
-                rows = [(key, doc, i, spaced[a:b], x, y) for i, (a, b, x, y) in enumerate(ranges(spaced, size))]
-                for i in range(0, len(rows), 64):
-                    yield _batch(rows[i : i + 64], parts)
+                yield from _batches(((key, doc, i, spaced[a:b], x, y) for i, (a, b, x, y) in enumerate(ranges(spaced, size))), parts)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(path_a, path_b)
         for batch in batches:
             for part in steps(batch, "text"):
-                yield _batch([_row(key, doc, i, align_range(tool, text, first, last)) for key, doc, i, text, first, last in zip(*(c.to_pylist() for c in part.columns), strict=True)], arrow)
+                yield from _batches((_row(key, doc, i, align_range(tool, text, first, last)) for key, doc, i, text, first, last in zip(*(c.to_pylist() for c in part.columns), strict=True)), arrow)
 
     def compose(rows: pd.DataFrame) -> pd.DataFrame:
         whole = Fragment()
@@ -442,7 +454,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id",
             for part in steps(batch, "text"):
                 keys, ids, texts = (c.to_pylist() for c in part.columns)
                 found = align_texts(tool, [" " + t for t in texts])
-                yield _batch([out(k, d, f if t else Fragment(bad=True)) for k, d, t, f in zip(keys, ids, texts, found, strict=True)], arrow)
+                yield from _batches((out(k, d, f if t else Fragment(bad=True)) for k, d, t, f in zip(keys, ids, texts, found, strict=True)), arrow)
 
     def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
