@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import nullcontext
@@ -25,6 +26,8 @@ GZIP = b"\x1f\x8b"
 CLIENTS = ("file", "s3", "gs", "abfs", "abfss")
 #: Bytes of an export part that a sink buffers before it writes.
 BUFFER = 8 << 20
+#: Bytes of a file's beginning that tell whether it is gzipped.
+HEAD = 4 << 10
 SIDECAR = ".lrecl"
 
 
@@ -76,23 +79,120 @@ def files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where(~F.endswith("path", F.lit(SIDECAR)))
 
 
-def read_records(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, at = _hadoop(spark, path)
+    return fs.makeQualified(at).toString().rstrip("/")
+
+
+def listed(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int]]:
+    """(path, length) of the data files that hold anything, in the order in which they are read: by the paths given, then by name.
+
+    The driver holds names and lengths only.
+    """
+    given = [_qualified(spark, p) for p in ([path] if isinstance(path, str) else path)]
+    place = {p: i for i, p in reversed(list(enumerate(given)))}
+
+    def order(file: str) -> tuple[int, str]:
+        above = file
+        while above and above not in place:
+            above = above.rpartition("/")[0]
+        return place.get(above, len(given)), file
+
+    found = files(spark, path).where("length > 0").select("path", "length").collect()
+    return sorted(((r["path"], r["length"]) for r in found), key=lambda f: order(f[0]))
+
+
+def read_records(spark: SparkSession, path: str | list[str], lrecl: int, *, most: int | None = None, compression: str = "auto", range_bytes: int = RANGE) -> DataFrame:
     """(rec): the files' bytes cut every ``lrecl`` bytes; a shorter record at a file's end is kept and later fails.
 
-    ``path`` is a file, a folder or a list of them, in which plain and gzipped files may be mixed: each file's first
-    bytes tell.  Plain files of any size are split over tasks by ranges of whole records; a gzipped file can't be
-    split and is one task's work, unpacked as a stream.  Where Arrow has no client for the file system, Hadoop's
-    record reader splits plain files instead, which must hold whole records, and files named .gz are unpacked whole.
+    ``path`` is a file, a folder or a list of them.  Records come in order: partitions hold runs of ranges of about
+    ``range_bytes``, in the order of ``listed``, so that what is written partition by partition keeps it.  With ``most`` only
+    the first records are read, and only the ranges that hold them are opened.  Plain files of any size are split over
+    tasks by ranges of whole records; a gzipped file can't be split and is one task's work, unpacked as a stream.
+
+    ``compression`` says which files are gzipped: ``gzip`` all, ``none`` none; ``auto`` those whose names end in .gz and whose
+    first bytes agree, and others whose beginning can be unpacked.
+
+    Where Arrow has no client for the file system, Hadoop's record reader splits plain files instead, which must hold
+    whole records, files named .gz are unpacked whole, and records come in no particular order.
     """
     paths = [path] if isinstance(path, str) else path
     if all(p.partition(":")[0] in CLIENTS for p in paths if "://" in p):
-        return ranged_records(spark, paths, lrecl)
-    found = [r["path"] for r in files(spark, paths).select("path").toLocalIterator()]
+        return ranged_records(spark, paths, lrecl, most=most, compression=compression, range_bytes=range_bytes)
+    found = [p for p, _ in listed(spark, paths)]
     packed, plain = [p for p in found if p.lower().endswith(".gz")], [p for p in found if not p.lower().endswith(".gz")]
     parts = [spark.read.format("binaryFile").load(packed).select("content").mapInArrow(_unpacker(lrecl), "rec binary")] if packed else []
     if plain or not packed:
         parts.append(spark.createDataFrame(spark.sparkContext.binaryRecords(",".join(plain or paths), lrecl).map(lambda b: (bytearray(b),)), "rec binary"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out if most is None else out.limit(most)
+
+
+def gzipped(head: bytes) -> bool:
+    """Whether a file that begins so is gzipped: its header says so and what follows can be unpacked."""
+    if not head.startswith(GZIP + b"\x08") or len(head) < 4 or head[3] & 0xE0:
+        return False
+    try:
+        zlib.decompressobj(wbits=31).decompress(head)
+    except zlib.error:
+        return False
+    return True
+
+
+def _packed_files(spark: SparkSession, found: list[tuple[str, int]], compression: str) -> set[str]:
+    """Which of the files are gzipped; tasks look at the beginnings of those whose names don't tell."""
+    if compression != "auto":
+        return {p for p, _ in found} if compression == "gzip" else set()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for file in batch.column(0).to_pylist():
+                fs, at = _fs(file)
+                with fs.open_input_file(at) as opened:
+                    if gzipped(opened.read(HEAD)):
+                        kept.append(file)
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], names=["path"])
+
+    unnamed = [(p,) for p, _ in found if not p.lower().endswith(".gz")]
+    tasks = min(len(unnamed), 4 * spark.sparkContext.defaultParallelism)
+    told = spark.createDataFrame(unnamed, "path string").repartition(tasks).mapInArrow(look, "path string").collect() if unnamed else []
+    return {p for p, _ in found if p.lower().endswith(".gz")} | {r["path"] for r in told}
+
+
+def _held(spark: SparkSession, files_: list[str], lrecl: int, most: int) -> list[int]:
+    """How many records each gzipped file holds; counting stops at ``most``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                n = 0
+                for part in _unpacked_file(file, lrecl):
+                    n += len(part)
+                    if n >= most:
+                        break
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([min(n, most)], pa.int64())], names=["path", "n"])
+
+    told = dict(spark.createDataFrame([(f,) for f in files_], "path string").repartition(len(files_)).mapInArrow(count, "path string, n long").collect())
+    return [told[f] for f in files_]
+
+
+def _first_files(spark: SparkSession, found: list[tuple[str, int]], packed: set[str], lrecl: int, most: int) -> list[tuple[str, int, int]]:
+    """(path, length, records to take) of the files that hold the first ``most`` records.
+
+    A plain file's length tells how many it holds; gzipped ones are counted in growing groups until there are enough.
+    """
+    out, left, at, group = [], most, 0, 1
+    while at < len(found) and left > 0:
+        run = [f for f, _ in found[at : at + group] if f in packed]
+        counts = dict(zip(run, _held(spark, run, lrecl, left), strict=True)) if run else {}
+        for file, length in found[at : at + group]:
+            take = min(left, counts[file] if file in packed else -(-length // lrecl))
+            if take:
+                out.append((file, length, take))
+            left -= take
+        at, group = at + group, 2 * group
+    return out
 
 
 def _unpacked(stream, lrecl: int) -> Iterator[pa.RecordBatch]:
@@ -101,6 +201,19 @@ def _unpacked(stream, lrecl: int) -> Iterator[pa.RecordBatch]:
             yield cut_records(block, lrecl)
 
 
+def _unpacked_file(file: str, lrecl: int) -> Iterator[pa.RecordBatch]:
+    """A file that is gzipped by its name; if its first bytes disagree it is read as it is."""
+    fs, at = _fs(file)
+    with fs.open_input_file(at) as opened:
+        told = opened.read(2) == GZIP
+    with fs.open_input_stream(at, compression=None) as stream:
+        if told:
+            yield from _unpacked(stream, lrecl)
+            return
+        while block := stream.read(max(1, BUFFER // lrecl) * lrecl):
+            yield cut_records(block, lrecl)
+
+
 def _unpacker(lrecl: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
@@ -121,54 +234,79 @@ def cut_records(data: bytes, lrecl: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.concat_arrays(parts)], names=["rec"])
 
 
-def numbered_records(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
+def numbered_records(spark: SparkSession, path: str | list[str], lrecl: int, **options) -> DataFrame:
     """(path, number, rec): records with their place, so that ``orderBy("path", "number")`` restores the order of the input.
 
     Generations sort by name as they were made.  It takes a file system that Arrow has a client for.
     """
-    return ranged_records(spark, path, lrecl, numbered=True)
+    return ranged_records(spark, path, lrecl, numbered=True, **options)
 
 
-def _placed(records: Iterator[pa.RecordBatch], file: str, first: int, numbered: bool) -> Iterator[pa.RecordBatch]:
+def _placed(records: Iterator[pa.RecordBatch], file: str, first: int, take: int, numbered: bool) -> Iterator[pa.RecordBatch]:
+    """The first ``take`` records, or all for -1."""
     for batch in records:
+        batch = batch if take < 0 else batch.slice(0, take)
+        n = len(batch)
         if numbered:
-            n = len(batch)
             columns = [pa.array([file]).take(pa.array(np.zeros(n, dtype=np.int64))), pa.array(np.arange(first, first + n)), batch.column(0)]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "number", "rec"])
-            first += n
-        else:
-            yield batch
+            batch = pa.RecordBatch.from_arrays(columns, names=["path", "number", "rec"])
+        yield batch
+        first += n
+        if take >= 0:
+            take -= n
+            if not take:
+                return
 
 
-def ranged_records(spark: SparkSession, path: str | list[str], lrecl: int, numbered: bool = False) -> DataFrame:
-    """(rec) by byte ranges of whole records; a task takes about TASK bytes, however many there are."""
-    step = max(1, RANGE // lrecl) * lrecl
-    found = files(spark, path).where("length > 0").select("path", "length")
+RANGES = "path string, start long, size long, take long, number long"
 
-    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                fs, at = _fs(file)
-                with fs.open_input_file(at) as opened:
-                    packed = opened.read(2) == GZIP
-                starts = [-1] if packed else list(range(0, length, step))
-                yield pa.RecordBatch.from_arrays([pa.array([file] * len(starts)), pa.array(starts, pa.int64())], names=["path", "start"])
+
+def ranges(spark: SparkSession, path: str | list[str], lrecl: int, *, most: int | None = None, compression: str = "auto", range_bytes: int = RANGE) -> DataFrame:
+    """(path, start, size, take, number): byte ranges of whole records, dealt to tasks in runs of their running number.
+
+    A task gets about TASK bytes, however many ranges that are.  ``start`` is -1 for a gzipped file, ``take`` -1 for all records.
+    """
+    step = max(1, range_bytes // lrecl) * lrecl
+    found = listed(spark, path)
+    packed = _packed_files(spark, found, compression)
+    chosen = [(f, n, -1) for f, n in found] if most is None else _first_files(spark, found, packed, lrecl, most)
+    rows, number, offset = [], 0, 0
+    for file, length, take in chosen:
+        used = length if take < 0 or file in packed else min(length, take * lrecl)
+        many = 1 if file in packed else -(-used // step)
+        rows.append((file, file in packed, used, take, many, number, offset))
+        number, offset = number + many, offset + used
+    tasks = max(1, min(number, max(spark.sparkContext.defaultParallelism, -(-offset // TASK))))
+    held = spark.createDataFrame(rows, "path string, packed boolean, used long, take long, many long, first long, offset long")
+    each = held.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)))
+    start = F.col("i") * step
+    left = F.when(F.col("packed") | (F.col("take") < 0), F.col("take")).otherwise(F.least(F.lit(step // lrecl).cast("long"), F.col("take") - F.col("i") * (step // lrecl)))
+    slot = F.floor((F.col("offset") + start).cast("double") * tasks / max(1, offset)).cast("int")
+    placed = each.select("path", F.when(F.col("packed"), -1).otherwise(start).alias("start"), F.lit(step).cast("long").alias("size"), left.alias("take"), (F.col("first") + F.col("i")).alias("number"), F.least(slot, F.lit(tasks - 1)).alias("slot"))
+    return placed.repartitionById(tasks, "slot").drop("slot").sortWithinPartitions("number")
+
+
+def blocks(batches: Iterator[pa.RecordBatch], lrecl: int) -> Iterator[tuple[str, int, int, Iterator[pa.RecordBatch]]]:
+    """(path, first record, records to take, records) of each range."""
+    for batch in batches:
+        for file, start, size, take, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if start < 0:
+                yield file, 0, take, _unpacked_file(file, lrecl)
+                continue
+            fs, at = _fs(file)
+            with fs.open_input_file(at) as opened:
+                opened.seek(start)
+                yield file, start // lrecl, take, iter([cut_records(opened.read(size if take < 0 else min(size, take * lrecl)), lrecl)])
+
+
+def ranged_records(spark: SparkSession, path: str | list[str], lrecl: int, numbered: bool = False, **options) -> DataFrame:
+    """(rec), or (path, number, rec), by the byte ranges of ``ranges``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                fs, at = _fs(file)
-                if start < 0:
-                    with fs.open_input_stream(at, compression=None) as stream:
-                        yield from _placed(_unpacked(stream, lrecl), file, 0, numbered)
-                    continue
-                with fs.open_input_file(at) as opened:
-                    opened.seek(start)
-                    yield from _placed(iter([cut_records(opened.read(step), lrecl)]), file, start // lrecl, numbered)
+        for file, first, take, records in blocks(batches, lrecl):
+            yield from _placed(records, file, first, take, numbered)
 
-    total = found.agg(F.sum("length")).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK))
-    return found.mapInArrow(ranges, "path string, start long").repartition(tasks).mapInArrow(run, "path string, number long, rec binary" if numbered else "rec binary")
+    return ranges(spark, path, lrecl, **options).mapInArrow(run, "path string, number long, rec binary" if numbered else "rec binary")
 
 
 def read_gzip(spark: SparkSession, path: str | list[str], lrecl: int) -> DataFrame:
@@ -237,12 +375,18 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another, or of none."""
+    """Put a folder in the place of another, or of none; the old one steps aside first and goes last, so nothing is lost in between."""
     fs, at = _hadoop(spark, target)
-    fs.delete(at, True)
     fs.mkdirs(at.getParent())
+    aside = _hadoop(spark, f"{target.rstrip('/')}__old-{uuid.uuid4().hex}")[1] if fs.exists(at) else None
+    if aside is not None and not fs.rename(at, aside):
+        raise OSError(f"{target} can't be replaced")
     if not fs.rename(_hadoop(spark, source)[1], at):
+        if aside is not None:
+            fs.rename(aside, at)
         raise OSError(f"{source} can't be moved to {target}")
+    if aside is not None:
+        fs.delete(aside, True)
 
 
 # Sinks
@@ -256,52 +400,85 @@ def _body(column: pa.Array) -> pa.Buffer:
     return pa.py_buffer(b"") if data is None else data.slice(int(ends[0]), int(ends[-1] - ends[0]))
 
 
-def write_bytes(records: DataFrame, path: str, lrecl: int | None = None, compress: bool = False) -> int:
+def _publish(fs: pafs.FileSystem, staged: str, target: str) -> None:
+    """Put a staged folder in the place of another, or of none: the old one steps aside first and goes last, so nothing is lost in between."""
+    old = f"{target}__old-{uuid.uuid4().hex}"
+    there = fs.get_file_info(target).type != pafs.FileType.NotFound
+    if there:
+        fs.move(target, old)
+    fs.move(staged, target)
+    if there:
+        fs.delete_dir(old)
+
+
+def _part(number: int, run_id: str, compress: bool) -> str:
+    return f"part-{number:07d}-{run_id}" + (".gz" if compress else "")
+
+
+def write_bytes(records: DataFrame, path: str, lrecl: int | None = None, compress: bool = False, mode: str = "append", encode=None) -> int:
     """Write the column ``rec`` as part files, and a sidecar with the record length; returns the rows written.
 
-    A task writes under a name of its own and only names that successful tasks report become parts, so a task that
-    runs twice leaves no duplicate.  ``path`` must be a folder that all executors share.
+    Parts are numbered as the partitions are, so that their names keep the order of the rows.  Where the target holds parts
+    already, ``mode`` says whether to ``append`` to them, to ``replace`` them once all is written, or that this is an ``error``.
+    A task writes under a name of its own and only names that successful tasks report become parts, so a task that runs
+    twice leaves no duplicate.  ``path`` must be a folder that all executors share.  ``encode`` makes the bytes of a batch of
+    other columns.
     """
     run_id = uuid.uuid4().hex
+    fs, at = _fs(path)
+    at = at.rstrip("/")
+    staged = f"{at}__staged-{run_id}"
+    there = fs.get_file_info(at).type == pafs.FileType.Directory
+    old = [i.base_name for i in fs.get_file_info(pafs.FileSelector(at)) if i.base_name.startswith("part-")] if there else []
+    if old and mode == "error":
+        raise FileExistsError(f"{path} holds records already")
+    first = 1 + max((int(n.split("-")[1]) for n in old), default=-1) if mode == "append" else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        fs, at = _fs(path)
-        task = TaskContext.get()
-        name = f"_tmp-{run_id}/part-{task.partitionId():05d}-{uuid.uuid4().hex}"
+        fs, _ = _fs(path)
+        number, name = TaskContext.get().partitionId(), uuid.uuid4().hex
         rows, out = 0, None
         for batch in batches:
             if batch.num_rows and out is None:
-                fs.create_dir(f"{at}/_tmp-{run_id}", recursive=True)
-                out = fs.open_output_stream(f"{at}/{name}", compression="gzip" if compress else None, buffer_size=BUFFER)
+                out = fs.open_output_stream(f"{staged}/{name}", compression="gzip" if compress else None, buffer_size=BUFFER)
             if batch.num_rows:
-                out.write(_body(batch.column(0)))
+                out.write(encode(batch) if encode else _body(batch.column(0)))
             rows += batch.num_rows
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows], pa.int64())], names=["name", "rows"])
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([name]), pa.array([rows], pa.int64())], names=["number", "name", "rows"])
 
-    fs, at = _fs(path)
-    fs.create_dir(at, recursive=True)
+    fs.create_dir(staged, recursive=True)
     try:
-        done = sorted(records.select("rec").mapInArrow(run, "name string, rows long").collect())
+        done = sorted(tuple(r) for r in (records if encode else records.select("rec")).mapInArrow(run, "number long, name string, rows long").collect())
+        kept = {name for _, name, _ in done}
         with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda x: fs.move(f"{at}/{x[1]['name']}", f"{at}/part-{x[0]:05d}-{run_id}" + (".gz" if compress else "")), enumerate(done)))
+            list(pool.map(lambda x: fs.move(f"{staged}/{x[1][1]}", f"{staged}/{_part(first + x[0], run_id, compress)}"), enumerate(done)))
+            left = [i.path for i in fs.get_file_info(pafs.FileSelector(staged)) if not i.base_name.startswith("part-") and i.base_name not in kept]
+            list(pool.map(fs.delete_file, left))
+            if there and mode == "append":
+                list(pool.map(lambda i: fs.move(i.path, f"{at}/{i.base_name}"), fs.get_file_info(pafs.FileSelector(staged))))
+            else:
+                _publish(fs, staged, at)
     finally:
-        if fs.get_file_info(f"{at}/_tmp-{run_id}").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{at}/_tmp-{run_id}")
+        if fs.get_file_info(staged).type == pafs.FileType.Directory:
+            fs.delete_dir(staged)
     if lrecl:
         with fs.open_output_stream(f"{at}{SIDECAR}") as side:
             side.write(str(lrecl).encode())
-    return sum(r["rows"] for r in done)
+    return sum(rows for _, _, rows in done)
+
 
+def write_records(df: DataFrame, layout: Layout, path: str, lrecl: int | None = None, mode: str = "error") -> int:
+    """Check, encode and write a result as fixed-length records; the count is reconciled with the bytes on disk.
 
-def write_records(df: DataFrame, layout: Layout, path: str, lrecl: int | None = None) -> int:
-    """Check, encode and write a result as fixed-length records; the count is reconciled with the bytes on disk."""
+    A target that holds records is refused before anything is written, or replaced where ``mode`` is ``replace``.
+    """
     quality.check_export(df, layout, lrecl)
     size = lrecl or layout.lrecl
-    rows = write_bytes(quality.encode_or_fail(df, layout, size), path, size)
+    rows = write_bytes(quality.encode_or_fail(df, layout, size), path, size, mode=mode)
     stored = files(df.sparkSession, path).agg(F.sum("length")).first()[0] or 0
     quality.reconcile(stored // size, rows)
     return rows
@@ -318,10 +495,9 @@ def write_vartext(df: DataFrame, path: str, lrecl: int, delimiter: str = "|", en
     return write_bytes(vartext_records(df, lrecl, delimiter, encoding), path, lrecl)
 
 
-def copy_records(spark: SparkSession, path: str, target: str, lrecl: int, most: int | None = None, compress: bool = True) -> int:
-    """Copy at most ``most`` records unchanged."""
-    records = read_records(spark, path, lrecl)
-    return write_bytes(records if most is None else records.limit(most), target, lrecl, compress)
+def copy_records(spark: SparkSession, path: str, target: str, lrecl: int, most: int | None = None, compress: bool = True, **options) -> int:
+    """Copy records unchanged and in their order, the first ``most`` of them or all: parts in the order of their names hold them as the input does."""
+    return write_bytes(read_records(spark, path, lrecl, most=most, **options), target, lrecl, compress)
 
 
 def compose(spark: SparkSession, path: str, target: str) -> int:

@@ -224,3 +224,71 @@ def test_csv_skip_with_quoted_line_breaks(spark, tmp_path):
     with pytest.raises(ValueError, match="2 malformed"):
         read(most_bad=1)
     assert read(most_bad=1, ignore_unknown=True).count() == 3
+
+
+# Order and prefixes of records
+
+
+def numbers(path, lrecl=8):
+    data = b"".join(p.read_bytes() for p in sorted(Path(path).glob("part-*")))
+    return [int(data[i : i + lrecl]) for i in range(0, len(data), lrecl)]
+
+
+def test_copies_keep_the_order_over_more_ranges_than_tasks(spark, tmp_path):
+    (tmp_path / "in").write_bytes(b"".join(b"%08d" % i for i in range(5000)))
+    path, options = str(tmp_path / "in"), {"range_bytes": 800}
+    assert records.ranges(spark, path, 8, range_bytes=800).count() == 50
+    assert records.copy_records(spark, path, str(tmp_path / "all"), 8, compress=False, **options) == 5000
+    assert records.compose(spark, str(tmp_path / "all"), str(tmp_path / "one")) == 40_000
+    assert (tmp_path / "one").read_bytes() == (tmp_path / "in").read_bytes()
+    assert [int(r[0]) for r in records.read_lines(spark, path, 8, "US-ASCII").collect()] == list(range(5000))
+    for most in (0, 1, 99, 100, 101, 2345, 5000, 9999):
+        target = str(tmp_path / f"few{most}")
+        assert records.copy_records(spark, path, target, 8, most, compress=False, **options) == min(most, 5000)
+        assert numbers(target) == list(range(min(most, 5000)))
+    assert records.ranges(spark, path, 8, most=150, range_bytes=800).count() == 2
+
+
+def test_prefix_over_generations_plain_and_gzipped(spark, tmp_path):
+    import gzip
+
+    expected, paths = [], []
+    for g in range(7):
+        data = b"".join(b"%08d" % (100 * g + i) for i in range(30))
+        paths.append(str(tmp_path / f"N.G000{g}V00"))
+        Path(paths[-1]).write_bytes(gzip.compress(data) if g % 2 else data)
+        expected += [100 * g + i for i in range(30)]
+    for most in (None, 5, 30, 31, 61, 200, 500):
+        got = [int(bytes(r[0])) for r in records.read_records(spark, paths, 8, most=most, range_bytes=80).collect()]
+        assert got == expected[:most]
+    turned = [int(bytes(r[0])) for r in records.read_records(spark, paths[::-1], 8, most=31).collect()]
+    assert turned == [600 + i for i in range(30)] + [500]
+
+
+def test_gzip_is_told_by_more_than_two_bytes(spark, tmp_path):
+    plain = (8075).to_bytes(2, "big") + b"\x08\x00rest"
+    (tmp_path / "plain").write_bytes(plain * 4)
+    (tmp_path / "named.gz").write_bytes(b"12345678")
+    assert [bytes(r[0]) for r in records.read_records(spark, str(tmp_path / "plain"), 8).collect()] == [plain] * 4
+    assert [bytes(r[0]) for r in records.read_records(spark, str(tmp_path / "named.gz"), 8).collect()] == [b"12345678"]
+    import gzip
+
+    packed = gzip.compress(b"x" * 16)
+    (tmp_path / "p").write_bytes(packed)
+    assert records.read_records(spark, str(tmp_path / "p"), 8).count() == 2
+    assert records.read_records(spark, str(tmp_path / "p"), len(packed), compression="none").count() == 1
+    assert records.read_records(spark, str(tmp_path / "p"), 8, compression="gzip").count() == 2
+
+
+def test_a_used_target_is_refused_or_replaced(spark, tmp_path):
+    path, rows = f"{tmp_path}/data", generate.values(spark, LAYOUT, 5)
+    assert records.write_records(rows, LAYOUT, path) == 5
+    with pytest.raises(FileExistsError):
+        records.write_records(rows, LAYOUT, path)
+    assert records.read_records(spark, path, LAYOUT.lrecl).count() == 5
+    assert records.write_records(rows.limit(2), LAYOUT, path, mode="replace") == 2
+    assert records.read_records(spark, path, LAYOUT.lrecl).count() == 2
+    recs = spark.createDataFrame([(bytearray(b"z" * LAYOUT.lrecl),)], "rec binary")
+    assert records.write_bytes(recs, path) == 1
+    assert bytes(records.read_records(spark, path, LAYOUT.lrecl).collect()[-1][0]) == b"z" * LAYOUT.lrecl
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["data", "data.lrecl"]
