@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapelake.functions import codec
+from tapelake.functions import codec, vector
 from tapelake.functions.layout import Layout
 
 ERRORS = "_err"
@@ -28,14 +30,29 @@ def names_of(errors: list[tuple[str, Column]]) -> Column:
     return F.when(total > 0, F.array_compact(F.array(*(F.when(e, F.lit(n)) for n, e in flags)))).otherwise(none)
 
 
-def decode(records: DataFrame, layout: Layout, rec: str = "rec") -> DataFrame:
-    """Every field of the layout, with the record and ``_err``, the names of the fields that failed.
+def finished(raw: DataFrame, made: vector.Reading) -> DataFrame:
+    """The fields of what a reader's batches gave, with the record and ``_err``."""
+    return raw.select(*(v.alias(f.name) for f, v, _ in made.found), F.col("rec"), names_of([("record", made.short)] + [(f.name, e) for f, _, e in made.found]).alias(ERRORS))
 
-    Bytes beyond the layout are ignored; a record shorter than the layout fails under the name ``record``.
+
+def decode(records: DataFrame, layout: Layout, rec: str = "rec", columns: list[str] | None = None) -> DataFrame:
+    """Every field of the layout, or those in ``columns``, with the record and ``_err``, the names of the fields that failed.
+
+    Bytes beyond the layout are ignored; a record shorter than the layout fails under the name ``record``.  Fixed-length
+    records are decoded by whole batches, delimited ones by column expressions.
     """
-    found = codec.decode_columns(layout, F.col(rec))
-    short = [] if layout.vartext else [("record", F.octet_length(rec) < layout.lrecl)]
-    return records.select(*(v.alias(f.name) for f, v, _ in found), F.col(rec), names_of(short + [(f.name, e) for f, _, e in found]).alias(ERRORS))
+    if layout.vartext:
+        found = [x for x in codec.decode_columns(layout, F.col(rec)) if columns is None or x[0].name in columns]
+        return records.select(*(v.alias(f.name) for f, v, _ in found), F.col(rec), names_of([(f.name, e) for f, _, e in found]).alias(ERRORS))
+    made = vector.reading(records.sparkSession, layout, columns)
+    read = made.read
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield read(batch.column(0))
+
+    out = finished(records.select(rec).mapInArrow(run, made.schema), made)
+    return out if rec == "rec" else out.withColumnRenamed("rec", rec)
 
 
 def split(decoded: DataFrame, rec: str = "rec") -> tuple[DataFrame, DataFrame]:
@@ -77,8 +94,7 @@ def check_export(df: DataFrame, layout: Layout, lrecl: int | None = None, recfm:
             raise ValueError(f"{column.name}: {column.dataType.simpleString()} for a field of type {f.typ}")
 
 
-class EncodeError(RuntimeError):
-    pass
+EncodeError = vector.EncodeError
 
 
 def encode(df: DataFrame, layout: Layout, lrecl: int | None = None) -> DataFrame:
@@ -89,11 +105,17 @@ def encode(df: DataFrame, layout: Layout, lrecl: int | None = None) -> DataFrame
 
 
 def encode_or_fail(df: DataFrame, layout: Layout, lrecl: int | None = None) -> DataFrame:
-    """(rec); the job fails at the first row that can't be encoded, naming fields, types and values."""
-    encoded = encode(df, layout, lrecl)
-    kinds = ", ".join(f"{f.name} {f.typ}({f.size})" for f in layout.fields)
-    said = F.concat(F.lit("can't encode "), F.array_join(ERRORS, ", "), F.lit(f" of layout [{kinds}] from row "), F.to_json(F.struct(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))))
-    return encoded.select(F.when(F.size(ERRORS) == 0, F.col("rec")).otherwise(F.raise_error(said)).alias("rec"))
+    """(rec), encoded by whole batches; the job fails at the first row that can't be encoded, naming fields, types and values."""
+    made = vector.writing(df, layout, lrecl)
+    encode = made.encode
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = encode(batch)
+            fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(m.shape[1]), len(m), [None, pa.py_buffer(m)])
+            yield pa.RecordBatch.from_arrays([fixed.cast(pa.binary())], names=["rec"])
+
+    return df.select(*made.columns).mapInArrow(run, "rec binary")
 
 
 def reconcile(written: int, expected: int) -> None:

@@ -16,7 +16,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.functions import codec
+from tapelake.functions import codec, vector
 from tapelake.functions.layout import Layout
 from tapelake.operators import quality
 
@@ -26,6 +26,8 @@ GZIP = b"\x1f\x8b"
 CLIENTS = ("file", "s3", "gs", "abfs", "abfss")
 #: Bytes of an export part that a sink buffers before it writes.
 BUFFER = 8 << 20
+#: Records that are decoded together.
+RECORDS = 1 << 14
 #: Bytes of a file's beginning that tell whether it is gzipped.
 HEAD = 4 << 10
 SIDECAR = ".lrecl"
@@ -322,9 +324,26 @@ def agreed_lrecl(path: str | list[str], lrecl: int | None = None, layout: Layout
     return next(iter(lengths.values()))
 
 
-def read_layout(spark: SparkSession, path: str | list[str], layout: Layout, lrecl: int | None = None) -> DataFrame:
-    """Decoded rows with the record and its failed fields; an empty input has the layout's schema and no row."""
-    return quality.decode(read_records(spark, path, agreed_lrecl(path, lrecl, layout)), layout)
+def read_layout(spark: SparkSession, path: str | list[str], layout: Layout, lrecl: int | None = None, columns: list[str] | None = None, **options) -> DataFrame:
+    """Decoded rows, all fields or those in ``columns``, with the record and its failed fields.
+
+    An empty input has the layout's schema and no row.  Fixed-length records are decoded in the batches that cut the ranges.
+    """
+    size = agreed_lrecl(path, lrecl, layout)
+    paths = [path] if isinstance(path, str) else path
+    if layout.vartext or not all(p.partition(":")[0] in CLIENTS for p in paths if "://" in p):
+        return quality.decode(read_records(spark, path, size, **options), layout, columns=columns)
+    made = vector.reading(spark, layout, columns)
+    read = made.read
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, first, take, found in blocks(batches, size):
+            for batch in _placed(found, file, first, take, False):
+                # Few enough records at a time that a batch's columns stay in the processor's caches.
+                for at in range(0, len(batch), RECORDS):
+                    yield read(batch.column(0).slice(at, RECORDS))
+
+    return quality.finished(ranges(spark, paths, size, **options).mapInArrow(run, made.schema), made)
 
 
 def read_lines(spark: SparkSession, path: str, lrecl: int, encoding: str = "IBM1047") -> DataFrame:
@@ -478,7 +497,8 @@ def write_records(df: DataFrame, layout: Layout, path: str, lrecl: int | None =
     """
     quality.check_export(df, layout, lrecl)
     size = lrecl or layout.lrecl
-    rows = write_bytes(quality.encode_or_fail(df, layout, size), path, size, mode=mode)
+    made = vector.writing(df, layout, size)
+    rows = write_bytes(df.select(*made.columns), path, size, mode=mode, encode=made.encode)
     stored = files(df.sparkSession, path).agg(F.sum("length")).first()[0] or 0
     quality.reconcile(stored // size, rows)
     return rows
