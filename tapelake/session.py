@@ -9,8 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-#: Settings the record functions rely on: mainframe charsets, unmappable text replaced and so found, and one time zone.
-SETTINGS = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true", "spark.sql.session.timeZone": "UTC"}
+#: Settings the record functions rely on: mainframe charsets, unmappable text replaced and so found, one time zone, and times of day.
+SETTINGS = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true", "spark.sql.session.timeZone": "UTC", "spark.sql.timeType.enabled": "true"}
 
 _shipped: set[str] = set()
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -23,42 +24,66 @@ def schema_of(spec: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{n}` {kinds.get(t.upper(), t)}" for n, t in fields))
 
 
-def read_csv(spark: SparkSession, path: str, *, schema: T.StructType | None = None, sep: str = ",", quote: str = '"', encoding: str = "UTF-8", skip: int = 0, null: str = "", multiline: bool = False, most_bad: int = 0, ignore_unknown: bool = False, jagged: bool = False) -> DataFrame:
-    """Read CSV.  More than ``most_bad`` malformed rows fail the load; without a schema types are inferred.
+def parsed_csv(spark: SparkSession, path: str, *, schema: T.StructType | None = None, sep: str = ",", quote: str = '"', encoding: str = "UTF-8", skip: int = 0, null: str = "", multiline: bool = False, ignore_unknown: bool = False, jagged: bool = False) -> DataFrame:
+    """The rows of CSV files, and in ``_corrupt_record`` the text of those that are malformed.
 
-    More rows than one to skip are cut off the beginning of each file: lines before they are parsed, or, where quoted
-    line breaks are allowed, rows once they are.  The latter needs a schema.
+    Without a schema types are inferred first, from all rows.  More rows than one to skip are cut off the beginning of each
+    file: lines before they are parsed, or, where quoted line breaks are allowed, rows once they are; the latter needs a schema.
     """
-    options = {"sep": sep, "quote": quote, "encoding": encoding, "nullValue": null, "multiLine": multiline, "enforceSchema": True}
-    wide = None if schema is None else T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    options = {"sep": sep, "quote": quote, "encoding": encoding, "nullValue": null, "multiLine": multiline, "enforceSchema": True, "header": skip == 1}
     if skip > 1 and multiline and schema is None:
         raise ValueError("a schema is needed to skip several rows of files with quoted line breaks")
-    reader = spark.read.options(**options).option("header", skip == 1)
-    reader = reader.option("inferSchema", True) if schema is None else reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(wide)
-    if skip > 1 and not multiline:
-        lines = _after(spark.read.option("encoding", encoding).text(path), skip, T.StructType([T.StructField("value", T.StringType())])).where("value <> ''")
-        rows = DataFrame(reader._jreader.csv(getattr(lines._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())), spark)
-    else:
-        rows = reader.csv(path)
-        if skip > 1:
-            rows = _after(rows, skip, wide)
+
+    def lines() -> object:
+        text = _after(spark.read.option("encoding", encoding).text(path), skip, T.StructType([T.StructField("value", T.StringType())])).where("value <> ''")
+        return getattr(text._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+
+    cut_lines = skip > 1 and not multiline
     if schema is None:
-        return rows
+        reader = spark.read.options(**options).option("inferSchema", True)
+        schema = DataFrame(reader._jreader.csv(lines()), spark).schema if cut_lines else reader.csv(path).schema
+    wide = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.options(**options).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(wide)
+    rows = DataFrame(reader._jreader.csv(lines()), spark) if cut_lines else reader.csv(path)
+    if skip > 1 and multiline:
+        rows = _after(rows, skip, wide)
     q = re.escape(quote)
     unquoted = F.regexp_replace(CORRUPT, f"{q}[^{q}]*{q}", "") if quote else F.col(CORRUPT)
-    pieces = F.size(F.split(unquoted, f"\\Q{sep}\\E"))
-    tolerated = F.lit(False)
+    pieces, tolerated = F.size(F.split(unquoted, f"\\Q{sep}\\E")), F.lit(False)
     if ignore_unknown:
         tolerated = tolerated | (pieces > len(schema))
     if jagged:
         tolerated = tolerated | (pieces < len(schema))
-    bad = F.col(CORRUPT).isNotNull() & ~tolerated
-    # Always true, but it has every column read: a row is malformed by any of them, and Spark doesn't read the corrupt one alone.
-    whole = F.hash(*(F.col(f"`{n}`") for n in schema.names)) >= -(1 << 31)
-    found = rows.where(bad & whole).count()
+    return rows.withColumn(CORRUPT, F.when(~tolerated, F.col(CORRUPT)))
+
+
+def parsed_json(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
+    """The rows of line-delimited JSON files, and in ``_corrupt_record`` the text of those that are malformed."""
+    reader = spark.read.options(**options).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    inferred = schema or T.StructType([f for f in reader.json(path).schema if f.name != CORRUPT])
+    return reader.schema(T.StructType([*inferred, T.StructField(CORRUPT, T.StringType())])).json(path)
+
+
+def _judged(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """(rows, which are malformed).  All columns are read: a row is malformed by any of them, and Spark doesn't read the corrupt one alone."""
+    names = [f"`{n}`" for n in rows.columns if n != CORRUPT]
+    whole = F.hash(*map(F.col, names)) >= -(1 << 31) if names else F.lit(True)  # always true
+    return rows.where(whole), F.col(CORRUPT).isNotNull()
+
+
+def _good(rows: DataFrame, most_bad: int) -> DataFrame:
+    rows, bad = _judged(rows)
+    found = rows.where(bad).count()
     if found > most_bad:
         raise ValueError(f"{found} malformed rows, more than {most_bad}")
-    return rows.where(~F.coalesce(bad, F.lit(False)) & whole).drop(CORRUPT)
+    return rows.where(~bad).drop(CORRUPT)
+
+
+def read_csv(spark: SparkSession, path: str, *, most_bad: int = 0, **options) -> DataFrame:
+    """Read CSV, see ``parsed_csv``.  More than ``most_bad`` malformed rows fail, with or without a schema; they are counted
+    before the rows are read, so that ``load_files`` is cheaper where rows go to a table.
+    """
+    return _good(parsed_csv(spark, path, **options), most_bad)
 
 
 def _after(rows: DataFrame, skip: int, schema: T.StructType) -> DataFrame:
@@ -79,18 +104,53 @@ def _after(rows: DataFrame, skip: int, schema: T.StructType) -> DataFrame:
     return placed.mapInArrow(run, schema)
 
 
+FORMATS = {"NEWLINE_DELIMITED_JSON": "json", "JSON": "json", "CSV": "csv", "ORC": "orc", "PARQUET": "parquet", "AVRO": "avro"}
+
+
+def _format(kind: str) -> str:
+    if kind.upper() not in FORMATS:
+        raise ValueError(f"source format {kind.upper()} is not supported")
+    return FORMATS[kind.upper()]
+
+
 def read_any(spark: SparkSession, path: str, kind: str = "ORC", schema: T.StructType | None = None, **options) -> DataFrame:
-    """Read a file set by its format's name; Avro needs its Spark module on the classpath and says so otherwise."""
-    kind = kind.upper()
-    if kind == "CSV":
+    """Read a file set by its format's name; Avro needs its Spark module on the classpath and says so otherwise.
+
+    More than ``most_bad`` malformed rows of CSV or JSON fail.
+    """
+    name = _format(kind)
+    if name == "csv":
         return read_csv(spark, path, schema=schema, **options)
-    name = {"NEWLINE_DELIMITED_JSON": "json", "JSON": "json", "ORC": "orc", "PARQUET": "parquet", "AVRO": "avro"}.get(kind)
-    if name is None:
-        raise ValueError(f"source format {kind} is not supported")
+    if name == "json":
+        most = options.pop("most_bad", 0)
+        return _good(parsed_json(spark, path, schema, **options), most)
     reader = spark.read.format(name).options(**options)
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def load_files(spark: SparkSession, path: str, table: str, kind: str = "ORC", schema: T.StructType | None = None, disposition: str = "EMPTY", most_bad: int = 0, loading: dict | None = None, **options) -> tuple[int, int]:
+    """Load files into a table and return (rows loaded, malformed rows left out); more than ``most_bad`` of these leave the table as it was.
+
+    Text files are parsed once: rows are counted as they are written to a table of their own, which takes the place of the
+    target, or is added to it, only if few enough are malformed.  ``loading`` goes to ``load``.
+    """
+    name = _format(kind)
+    if name not in ("csv", "json"):
+        return load(read_any(spark, path, kind, schema, **options), table, disposition, **(loading or {})), 0
+    rows, bad = _judged(parsed_csv(spark, path, schema=schema, **options) if name == "csv" else parsed_json(spark, path, schema, **options))
+    if disposition == "EMPTY" and _exists(spark, table) and not spark.table(table).isEmpty():
+        raise ValueError(f"{table} is not empty")
+    seen, staged = Observation(), f"{table.rpartition('.')[0]}.`_{uuid.uuid4().hex}`".lstrip(".")
+    counted = rows.observe(seen, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("bad"))
+    try:
+        counted.where(~bad).drop(CORRUPT).write.format("parquet").saveAsTable(staged)
+        if seen.get["bad"] > most_bad:
+            raise ValueError(f"{seen.get['bad']} malformed rows, more than {most_bad}")
+        return load(spark.table(staged), table, disposition, **(loading or {})), seen.get["bad"]
+    finally:
+        spark.sql(f"drop table if exists {staged}")
+
+
 def _exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
@@ -175,13 +235,42 @@ def expire_partitions(spark: SparkSession, table: str, column: str, seconds: int
     last = today - datetime.timedelta(seconds=seconds)
     days = [datetime.date.fromisoformat(r[0].split("=")[1]) for r in spark.sql(f"show partitions {table}").collect()]
     old = sorted(d for d in days if d < last)
-    for day in old:
-        spark.sql(f"alter table {table} drop partition ({column}='{day}')")
+    for i in range(0, len(old), 200):
+        spark.sql(f"alter table {table} drop " + ", ".join(f"partition ({column}='{day}')" for day in old[i : i + 200]))
     return old
 
 
+def _seq(x) -> list:
+    return [x.apply(i) for i in range(x.size())]
+
+
+def _conjuncts(expression) -> list:
+    if expression.getClass().getSimpleName() == "And":
+        return _conjuncts(expression.left()) + _conjuncts(expression.right())
+    return [expression]
+
+
 def check_partition_filter(df: DataFrame, column: str) -> None:
-    """Fail unless the optimised plan filters by the partition column."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if not any(column in line for line in plan.splitlines() if "Filter" in line or "PartitionFilters" in line):
-        raise ValueError(f"a filter on {column} is required")
+    """Fail unless every scan that has the partition column is filtered by it.
+
+    The optimised plan is walked: a condition counts if it refers to this column of the scan by more than IS NOT NULL.
+    """
+
+    def ids(expression, name: str | None = None) -> set[str]:
+        return {a.exprId().toString() for a in _seq(expression.references().toSeq()) if name is None or a.name().lower() == name}
+
+    def walk(node, filtered: set[str]) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind == "Filter":
+            for c in _conjuncts(node.condition()):
+                if c.getClass().getSimpleName() != "IsNotNull":
+                    filtered = filtered | ids(c)
+        if kind in ("LogicalRelation", "DataSourceV2ScanRelation", "HiveTableRelation", "LogicalRDD"):
+            own = {a.exprId().toString() for a in _seq(node.output()) if a.name().lower() == column.lower()}
+            if own and not own & filtered:
+                raise ValueError(f"a filter on {column} is required")
+        for child in _seq(node.children()):
+            walk(child, filtered)
+
+    plan = df._jdf.queryExecution().optimizedPlan()
+    walk(plan, set())

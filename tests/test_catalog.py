@@ -5,9 +5,9 @@ import os
 import duckdb
 import pytest
 
-from tapelake.plans import catalog, fields, loads
+from tapelake.plans import catalog, fields, jobs, loads
 
-assert fields and loads  # they register their queries
+assert fields and jobs and loads  # they register their queries
 
 DATA = "/root/testdata/sf0.001"
 

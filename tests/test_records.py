@@ -292,3 +292,46 @@ def test_a_used_target_is_refused_or_replaced(spark, tmp_path):
     assert records.write_bytes(recs, path) == 1
     assert bytes(records.read_records(spark, path, LAYOUT.lrecl).collect()[-1][0]) == b"z" * LAYOUT.lrecl
     assert sorted(p.name for p in tmp_path.iterdir()) == ["data", "data.lrecl"]
+
+
+# Malformed rows and partition filters
+
+
+def test_malformed_rows_without_a_schema_and_of_json(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/x.csv").write_text("a,b\n1,2\n3\n4,5,6\n7,8\n")
+    read = lambda **o: tables.read_csv(spark, str(tmp_path / "c"), skip=1, **o)
+    with pytest.raises(ValueError, match="2 malformed"):
+        read()
+    assert sorted(map(tuple, read(most_bad=2).collect())) == [(1, 2), (7, 8)]
+    assert read(most_bad=1, jagged=True).count() == 3
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j/x.json").write_text('{"k": 1, "v": "a"}\nnot json\n{"k": 2}\n{"k": \n')
+    with pytest.raises(ValueError, match="2 malformed"):
+        tables.read_any(spark, str(tmp_path / "j"), "NEWLINE_DELIMITED_JSON")
+    for schema in (None, tables.schema_of("k:INT64,v:STRING")):
+        got = tables.read_any(spark, str(tmp_path / "j"), "JSON", schema, most_bad=2)
+        assert sorted((r["k"], r["v"]) for r in got.collect()) == [(1, "a"), (2, None)]
+    assert tables.load_files(spark, str(tmp_path / "j"), "lake_j", "JSON", most_bad=2) == (2, 2)
+    with pytest.raises(ValueError, match="not empty"):
+        tables.load_files(spark, str(tmp_path / "j"), "lake_j", "JSON", most_bad=2)
+    with pytest.raises(ValueError, match="2 malformed"):
+        tables.load_files(spark, str(tmp_path / "j"), "lake_j", "JSON", disposition="TRUNCATE", most_bad=1)
+    assert tables.load_files(spark, str(tmp_path / "j"), "lake_j", "JSON", disposition="APPEND", most_bad=2) == (2, 2)
+    assert spark.table("lake_j").count() == 4 and not [t for t in spark.catalog.listTables() if t.name.startswith("_")]
+
+
+def test_a_partition_filter_is_one_on_the_column_itself(spark):
+    rows = spark.createDataFrame([(datetime.date(2024, 1, d), f"2024-01-0{d}", d) for d in (1, 2)], "day date, birthday string, v int")
+    tables.load(rows, "lake_days", "TRUNCATE", partition="day")
+    t = spark.table("lake_days")
+    for fine in (t.where("day > date'2024-01-01'"), t.where("v = 1 and day in (date'2024-01-01', date'2024-01-02')"), t.where("day = date'2024-01-01'").groupBy("v").count()):
+        tables.check_partition_filter(fine, "day")
+    for bad in (t, t.where("birthday = '2024-01-01'"), t.where("day is not null"), t.where("day > date'2024-01-01' or v = 1").union(t), t.where("day > date'2024-01-01'").join(t.select("v"), "v").join(t.select("day", F.col("v").alias("w")), "day")):
+        with pytest.raises(ValueError, match="filter on day"):
+            tables.check_partition_filter(bad, "day")
+
+
+def test_avro_says_what_it_lacks(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)avro"):
+        tables.read_any(spark, str(tmp_path), "AVRO")
