@@ -59,6 +59,8 @@ SECTIONS = frozenset("article aside body details dialog div fieldset footer form
 #: Characters from which a block isn't short and from which it is long; link and stop-word densities.
 LONG, LENGTHY = 70, 200
 LINKS, STOPS = 0.33, 0.15
+#: Up to this link density the neighbours of a long block rich in stop words decide.
+RICH = 0.6
 #: Blocks that a border between sections counts for in the distance of neighbours.
 BORDER = 3
 
@@ -66,6 +68,9 @@ BORDER = 3
 _TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|$))|<[!?][^>]*(?:>|$)|</[^a-zA-Z>][^>]*(?:>|$)|</>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$)|[^\s>]*+))*+)(?:>|$)", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
+#: What a copyright notice begins with; prose about copyright goes on in words.
+NOTICE = re.compile(r"©|\(c\)\s*\d{4}|copyright\s*(?:©|\(c\)|\d{4})", re.I)
 _ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in DROPPED}
 
 
@@ -89,11 +94,15 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     linked = anchor = 0
     heading = False
-    # Open holders: tag, 1 if it is outside the main text by its tag and 2 if by its name, section before it.
+    # Open holders: tag, 1 if it is outside the main text by its tag, 2 if by its name and 3 if it is a form, section before it.
     stack: list[tuple[str, int, int]] = []
     held: Counter = Counter()
-    out_depth = in_depth = section = sections = 0
+    out_depth = in_depth = section = sections = opened = 0
     unclosed: set[str] = set()
+    # Forms that are open, those that hold the article, and the forms around each block.
+    forms: list[int] = []
+    chosen: set[int] = set()
+    around: list[tuple[int, ...]] = []
 
     def close() -> None:
         nonlocal linked, parts
@@ -101,14 +110,17 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 out.append(Block(text, min(linked, len(text)), in_depth > 0, out_depth > 0, heading, section))
+                around.append(tuple(forms))
         parts, linked = [], 0
 
     def pop() -> str:
         nonlocal out_depth, in_depth, section
         tag, outside, section = stack.pop()
         held[tag] -= 1
-        out_depth -= outside > 0
+        out_depth -= outside in (1, 2)
         in_depth -= tag in INSIDE
+        if outside == 3:
+            forms.pop()
         return tag
 
     at, size = 0, len(page)
@@ -139,7 +151,7 @@ def blocks_of(page: str) -> list[Block]:
                     unclosed.add(tag)
             continue
         if tag == "a":
-            anchor = 0 if ends else 1
+            anchor = 0 if ends or not _HREF.search(hit[3]) else 1
             continue
         if tag in BLOCK:
             close()
@@ -147,6 +159,8 @@ def blocks_of(page: str) -> list[Block]:
                 heading = not ends
             elif not heading or tag != "br":
                 heading = False
+        if not ends and (tag == "h1" or tag in INSIDE):
+            chosen.update(forms)
         if (tag == "h1" and not ends) or tag == "main":
             # A page's title or main part shows that a holder was named after something else.
             for i, (name, outside, before) in enumerate(stack):
@@ -164,18 +178,33 @@ def blocks_of(page: str) -> list[Block]:
                     pop()
                 names = " ".join(x for m in _NAMED.findall(hit[3]) for x in m if x)
                 marked = tag not in ("html", "body", "article", "main") and bool((names and BOILERPLATE.search(names)) or (hit[3] and _HIDDEN.search(hit[3])))
-                outside = 1 if tag in OUTSIDE or (tag == "header" and not in_depth) else 2 if marked else 0
+                outside = 2 if marked else 3 if tag == "form" else 1 if tag in OUTSIDE or (tag == "header" and not in_depth) else 0
                 stack.append((tag, outside, section))
                 held[tag] += 1
-                out_depth += outside > 0
+                out_depth += outside in (1, 2)
+                if outside == 3:
+                    opened += 1
+                    forms.append(opened)
                 in_depth += tag in INSIDE
                 if tag in SECTIONS:
                     sections += 1
                     section = sections
     close()
+    _judge_forms(out, around, chosen)
     return out
 
 
+def _judge_forms(blocks: list[Block], around: list[tuple[int, ...]], chosen: set[int]) -> None:
+    """Blocks in a form are outside the main text, unless it holds a title, an article or most of what else may be the page's text."""
+    held: Counter = Counter()
+    for b, forms in zip(blocks, around, strict=True):
+        if not b.outside and len(b.text) >= LENGTHY and 2 * b.linked <= len(b.text):
+            held.update({f: len(b.text) for f in (0, *forms)})
+    whole = {f for f, n in held.items() if f and 2 * n > held[0]} | chosen
+    for b, forms in zip(blocks, around, strict=True):
+        b.outside = b.outside or any(f not in whole for f in forms)
+
+
 def densities(block: Block) -> tuple[float, float]:
     """Shares of stop words among the words, and of linked characters among all."""
     words = [w.strip(".,;:!?\"'()#*$%&").lower() for w in block.text.split()]
@@ -186,10 +215,13 @@ def first_pass(blocks: list[Block]) -> None:
     """Label 'good' or 'bad' where a block decides itself, else 'near' (likely good) or 'short'."""
     for b in blocks:
         stops, links = densities(b)
-        if links > LINKS:
+        prose = len(b.text) >= LENGTHY and stops >= STOPS
+        if links > (RICH if prose and not b.outside else LINKS):
             b.label, b.decided = "bad", "links"
-        elif b.outside or b.text.startswith(("©", "Copyright")):
+        elif b.outside or (NOTICE.match(b.text) and not prose):
             b.label, b.decided = "bad", "holder"
+        elif links > LINKS:
+            b.label = "near"
         elif b.heading or len(b.text) < LONG:
             b.label = "short"
         elif len(b.text) >= LENGTHY and stops >= STOPS:

@@ -79,3 +79,40 @@ def test_rows(spark):
     long = " ".join(["long words here"] * 50_000)
     assert got == sorted([(1, "u", "One text.", 9), (1, "u", "One text.", 9), (2, None, "", 0), (0, "v", "", 0), (3, "w", "", 0), (4, "z", long, len(long))], key=str)
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+# What broke before
+
+PROSE = "This is the text of an article that goes on for a while, and it has all the small words that a reader would expect to find in it when they read it. " * 3
+
+
+def test_a_form_around_the_page_holds_the_article():
+    page = f"<html><body>%s<nav><a href='/'>Home</a></nav>%s<p>{PROSE}</p><p>{PROSE}</p><form><label>Your name and address, please</label><input></form>%s</body></html>"
+    plain = html_extract.main_text(page % ("", "", ""))
+    assert plain == " ".join([PROSE.strip()] * 2)
+    assert html_extract.main_text(page % ("<form action='x.aspx'>", "", "</form>")) == plain
+    titled = html_extract.main_text(page % ("", "<h1>A title</h1>", ""))
+    assert html_extract.main_text(page % ("<form>", "<h1>A title</h1>", "</form>")) == titled and "A title" in titled
+    signup = f"<body><article><p>{PROSE}</p></article><form><p>Sign up to get the news of the week and all that is in it for you and for your friends.</p></form></body>"
+    assert "Sign up" not in html_extract.main_text(signup)
+
+
+def test_prose_about_copyright_stays():
+    page = f"<body><article><p>{PROSE}</p><p>Copyright {PROSE}</p><p>Copyright law is a matter that has been with us for as long as there have been books, and it will be.</p><p>Copyright 2024 A Company</p><p>© A Company</p></article></body>"
+    text = html_extract.main_text(page)
+    assert f"Copyright {PROSE}".strip() in text and "Copyright law" in text
+    assert "2024" not in text and "©" not in text
+
+
+def test_an_anchor_without_href_is_no_link():
+    page = f"<body><h1>T</h1><a name='top'><p>{PROSE}</p><p>{PROSE}</p></body>"
+    assert html_extract.main_text(page).count(PROSE.strip()) == 2
+    closed = f"<body><h1>T</h1><p><a id=x>{PROSE}</a></p></body>"
+    assert PROSE.strip() in html_extract.main_text(closed)
+
+
+def test_long_prose_rich_in_links_goes_with_its_neighbours():
+    rich = f"{PROSE}<a href='/x'>{PROSE}</a>"
+    page = f"<body><article><p>{PROSE}</p><p>{rich}</p><p>{PROSE}</p></article></body>"
+    assert html_extract.main_text(page).count(PROSE.strip()) == 4
+    assert html_extract.main_text(f"<body><p>{PROSE}</p><p><a href='/x'>{PROSE}</a></p></body>").count(PROSE.strip()) == 1
