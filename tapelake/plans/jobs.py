@@ -175,10 +175,11 @@ def csv_inferred_bad(spark, sf_dir):
     return spark.table(name).agg(F.sum(key).cast("long").alias("keys"), F.count("*").alias("n"), F.lit(bad).cast("long").alias("bad"))
 
 
-@register("select count(*) as n, true as refused, (select count(distinct cast(o_orderdate as date)) from orders where cast(o_orderdate as date) < (select max(cast(o_orderdate as date)) - 100 from orders)) as expired from orders where cast(o_orderdate as date) >= (select max(cast(o_orderdate as date)) - 100 from orders)")
+@register("with m as (select cast(date_trunc('month', o_orderdate) as date) as day from orders), l as (select max(day) - 100 as least from m) select count(*) filter (day >= least) as n, true as refused, count(distinct day) filter (day < least) as expired from m, l")
 def partition_filter_and_expiry(spark, sf_dir):
-    """A table by day that must be filtered by it, and whose old days go."""
-    name, rows = fresh(), orders_rows(spark, sf_dir).withColumn("birthday", F.col("o_orderdate").cast("string")).withColumnRenamed("o_orderdate", "day")
+    """A table by the first days of months that must be filtered by them, and whose old partitions go."""
+    name, rows = fresh(), orders_rows(spark, sf_dir)
+    rows = rows.withColumn("birthday", F.col("o_orderdate").cast("string")).withColumn("day", F.trunc("o_orderdate", "MM"))
     tables.load(rows.repartition("day"), name, partition="day", require_filter=True)
     last, refused = rows.agg(F.max("day")).first()[0], False
     try:
