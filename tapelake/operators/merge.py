@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapelake.operators import publish
+from tapelake.session import scratch
 
 ACTION = "_action"
 
@@ -114,7 +115,14 @@ class Merge:
         return made[0].unionByName(made[1]).where(F.col(f"`{action}`").isNotNull())
 
     def into(self, spark: SparkSession, table: str) -> MergeCounts:
-        """Merge into a table; only files that hold a matching row are rewritten where they are few."""
+        """Merge into a table; only files that hold a matching row are rewritten where they are few.
+
+        The source is read more than once, so one that is not deterministic is stored first.
+        """
+        if not self.source._jdf.queryExecution().analyzed().deterministic():
+            at = scratch(spark)
+            self.source.write.parquet(at)
+            return replace(self, source=spark.read.parquet(at)).into(spark, table)
         rows = spark.table(table)
         touched = None if self.by_source else rows.withColumn(free_name("file", rows, self.source), F.col("_metadata.file_path"))
         if touched is not None:

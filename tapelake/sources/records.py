@@ -448,10 +448,13 @@ def write_bytes(records: DataFrame, path: str, lrecl: int | None = None, compres
     at = at.rstrip("/")
     staged = f"{at}__staged-{run_id}"
     there = fs.get_file_info(at).type == pafs.FileType.Directory
-    old = [i.base_name for i in fs.get_file_info(pafs.FileSelector(at)) if i.base_name.startswith("part-")] if there else []
+    held = [i.base_name for i in fs.get_file_info(pafs.FileSelector(at))] if there else []
+    old = [n for n in held if n.startswith("part-")]
     if old and mode == "error":
         raise FileExistsError(f"{path} holds records already")
-    first = 1 + max((int(n.split("-")[1]) for n in old), default=-1) if mode == "append" else 0
+    if len(old) < len(held) and mode == "replace":
+        raise FileExistsError(f"{path} holds other files than records, which replacing it would remove")
+    first = 1 + max((int(n.split("-")[1]) for n in old), default=-1) if mode != "replace" else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -477,7 +480,7 @@ def write_bytes(records: DataFrame, path: str, lrecl: int | None = None, compres
             list(pool.map(lambda x: fs.move(f"{staged}/{x[1][1]}", f"{staged}/{_part(first + x[0], run_id, compress)}"), enumerate(done)))
             left = [i.path for i in fs.get_file_info(pafs.FileSelector(staged)) if not i.base_name.startswith("part-") and i.base_name not in kept]
             list(pool.map(fs.delete_file, left))
-            if there and mode == "append":
+            if there and mode != "replace":
                 list(pool.map(lambda i: fs.move(i.path, f"{at}/{i.base_name}"), fs.get_file_info(pafs.FileSelector(staged))))
             else:
                 _publish(fs, staged, at)

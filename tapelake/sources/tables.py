@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tapelake.operators import publish
+
 CORRUPT = "_corrupt_record"
 
 
@@ -172,7 +174,7 @@ def evolve(df: DataFrame, target: T.StructType, *, addition: bool = False, relax
 def load(df: DataFrame, table: str, disposition: str = "EMPTY", *, partition: str | None = None, cluster: list[str] | None = None, expire_seconds: int | None = None, require_filter: bool = False, addition: bool = False, relaxation: bool = False, format: str = "parquet") -> int:
     """Write rows to a table, which is made if there is none; returns the rows written.
 
-    EMPTY fails if the table holds a row, TRUNCATE replaces it, APPEND adds.  ``partition`` is a date column;
+    EMPTY fails if the table holds a row, TRUNCATE replaces it once all rows are written, APPEND adds.  ``partition`` is a date column;
     ``cluster`` range-partitions and sorts rows, so that scans can skip files.
     """
     spark = df.sparkSession
@@ -192,15 +194,17 @@ def load(df: DataFrame, table: str, disposition: str = "EMPTY", *, partition: st
         raise ValueError(f"{partition}: tables are partitioned by a date")
     if cluster:
         df = df.repartitionByRange(*cluster).sortWithinPartitions(*([partition] if partition else []), *cluster)
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(format).mode("append" if disposition == "APPEND" else "overwrite")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.saveAsTable(table)
+    if there and disposition == "TRUNCATE":
+        rows = publish.replace_table(spark, table, df, format, [partition] if partition else None)
+    else:
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(format).mode("append" if disposition == "APPEND" else "overwrite")
+        (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
+        rows = seen.get["rows"]
     props = {"expire_seconds": expire_seconds, "require_partition_filter": require_filter or None, "cluster": ",".join(cluster) if cluster else None}
     if kept := ", ".join(f"'lake.{k}'='{v}'" for k, v in props.items() if v is not None):
         spark.sql(f"alter table {table} set tblproperties ({kept})")
-    return seen.get["rows"]
+    return rows
 
 
 def relax(spark: SparkSession, table: str, columns: list[str]) -> None:

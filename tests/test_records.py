@@ -289,6 +289,11 @@ def test_a_used_target_is_refused_or_replaced(spark, tmp_path):
     assert records.write_records(rows.limit(2), LAYOUT, path, mode="replace") == 2
     assert records.read_records(spark, path, LAYOUT.lrecl).count() == 2
     recs = spark.createDataFrame([(bytearray(b"z" * LAYOUT.lrecl),)], "rec binary")
+    (tmp_path / "data/notes").write_text("mine")
+    with pytest.raises(FileExistsError, match="other files"):
+        records.write_records(rows, LAYOUT, path, mode="replace")
+    assert (tmp_path / "data/notes").read_text() == "mine"
+    (tmp_path / "data/notes").unlink()
     assert records.write_bytes(recs, path) == 1
     assert bytes(records.read_records(spark, path, LAYOUT.lrecl).collect()[-1][0]) == b"z" * LAYOUT.lrecl
     assert sorted(p.name for p in tmp_path.iterdir()) == ["data", "data.lrecl"]

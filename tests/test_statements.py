@@ -176,6 +176,13 @@ def test_timestamps_with_zones():
     assert sqljob.parameters(["a:TIMESTAMP:2020-01-01T00:00:00"])["a"] == datetime.datetime(2020, 1, 1)
 
 
+def test_a_source_that_is_not_deterministic_is_read_once(spark, name):
+    spark.range(50).select("id", F.lit(0.5).alias("v")).write.saveAsTable(name)
+    source = spark.range(100).select("id", F.rand().alias("v")).where("v < 0.5")
+    counts = merge.merge_table(spark, name, source, ["id"], ["v"])
+    assert spark.table(name).count() == counts.written == 50 + counts.inserted
+
+
 def test_columns_named_as_the_marks_are(spark, name):
     spark.createDataFrame([(1, "a", "b", "c")], "k int, _n string, _t string, _action string").write.saveAsTable(name)
     source = spark.createDataFrame([(1, "x", "y", "z"), (2, "p", "q", "r")], "k int, _n string, _t string, _action string")
