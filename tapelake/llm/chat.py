@@ -27,6 +27,7 @@ START, STOP = "<|im_start|>", "<|im_end|>"
 LEARNED = ("assistant",)
 _CONTROL = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
+_IN_ROLE = re.compile(r"\\(n|\\)")
 
 
 def tie() -> F.Column:
@@ -42,6 +43,15 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"<\1|", text)
 
 
+def said_role(role: str) -> str:
+    """A role in one line, as a line feed ends it."""
+    return escape(role).replace("\\", "\\\\").replace("\n", "\\n")
+
+
+def meant_role(said: str) -> str:
+    return unescape(_IN_ROLE.sub(lambda m: "\n" if m[1] == "n" else "\\", said))
+
+
 def loss_mask(lengths: list[int], learned: list[bool]) -> np.ndarray:
     """Mask over the tokens of consecutive segments: +1 where a learned segment begins, -1 after it, then sums."""
     ends = np.cumsum([0, *lengths])
@@ -72,7 +82,7 @@ class ChatCodec:
         size = max(self.segments.bytes_of) + 1
         self.start, self.stop = size, size + 1
         self.open, self.close, self.line = self.start.to_bytes(4, "little"), self.stop.to_bytes(4, "little"), self.segments.encode("\n")
-        self.head = lru_cache(maxsize=1 << 12)(lambda role: self.segments.encode(escape(role)))
+        self.head = lru_cache(maxsize=1 << 12)(lambda role: self.segments.encode(said_role(role)))
         self.head_text = lru_cache(maxsize=1 << 12)(self.segments.decode)
 
     def turn(self, role: str, text: str) -> tuple[bytes, np.ndarray]:
@@ -99,7 +109,7 @@ class ChatCodec:
         else:
             learned, inner = "", self.segments.decode(ids[4:end])
         role, _, text = inner.partition("\n")
-        return START + inner + STOP + "\n", unescape(role), unescape(text), unescape(learned)
+        return START + inner + STOP + "\n", meant_role(role), unescape(text), unescape(learned)
 
 
 @lru_cache(maxsize=2)
@@ -110,15 +120,15 @@ def codec(path: str) -> ChatCodec:
 def format_turns(df: DataFrame, path: str) -> DataFrame:
     """Token rows of the turns in (conv_id, turn, role, text): ids and mask (one byte a token) as binary.
 
-    Null roles and texts count as empty, null conversations stay together, an empty table gives no row; a role's line feeds become blanks, as a
-    line feed ends the role.  Turns with the same number are ordered by role and ``tie``; repeated rows stay.
+    Null roles and texts count as empty, null conversations stay together, an empty table gives no row; a role's
+    backslashes and line feeds are escaped, as a line feed ends the role.  Other columns are ignored.  Turns with the same number are ordered by role and ``tie``; repeated rows stay.
     """
 
     def run(rows: dict) -> dict:
         made = [codec(path).turn(r, t) for r, t in zip(rows["role"], rows["text"], strict=True)]
         return {k: rows[k] for k in ("conv_id", "turn", "role")} | {"n_tokens": [len(m) for _, m in made], "ids": [i for i, _ in made], "mask": [m.astype(np.uint8).tobytes() for _, m in made]}
 
-    clean = df.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.translate(F.coalesce("role", F.lit("")), "\n", " ").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    clean = df.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     return map_batches(clean, "conv_id long, turn long, role string, n_tokens long, ids binary, mask binary", run, "text")
 
 

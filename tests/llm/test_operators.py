@@ -56,6 +56,10 @@ def test_chat(spark):
     assert (got[1]["n_turns"], got[1]["loss_chars"], got[1]["loss_sha256"]) == (3, len(learned), hashlib.sha256(learned.encode()).hexdigest())
     assert (got[2]["loss_chars"], got[None]["n_turns"]) == (0, 1)
     assert chat.loss_mask([2, 0, 3], [False, True, True]).tolist() == [False, False, True, True, True]
+    roles = ["us\ner", "a\\nb", "\\", "\n", "<|\n", "c\\\n<\\|", "assistant"]
+    odd = spark.createDataFrame([(i, 0, r, "x\ny") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
+    for r in chat.read_back(chat.format_turns(odd, path), path).collect():
+        assert r["turns_sha256"] == hashlib.sha256(f"{roles[r['conv_id']]}\nx\ny\n".encode()).hexdigest()
     for text in ("<|", "<\\|", "<\\\\|x<|", "\\<|\\"):
         assert chat.unescape(chat.escape(text)) == text and not re.search(r"<\|", chat.escape(text))
     starts = chat.with_offsets(chat.format_turns(df, path)).where("conv_id = 1").orderBy("token_start").collect()
