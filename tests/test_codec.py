@@ -10,16 +10,14 @@ from pyspark.sql import types as T
 from tapelake.functions import codec
 from tapelake.functions.layout import Field, Layout, field_of
 
-DAILY = """
-01 DAILY-ITEMS.
-  03 STORE      PIC S9(4) COMP.
-  03 ITEM       PIC S9(9) COMP.
-  03 WEEK       PIC S9(4) COMP.
-  03 PRICE      PIC S9(9)V9(2) COMP-3.   * a comment
-  03 SALES      PIC S9(9)V99 COMP-3.
-  03 QTY        PIC S9(9) COMP.
-  03 LOCATION   PIC X.
-  03 TYPE-CODE  PIC X(08).
+PARCELS = """
+01 PARCEL-SCAN.
+  05 DEPOT       PIC S9(4) COMP.
+  05 PARCEL-ID   PIC S9(18) COMP.
+  05 WEIGHT-KG   PIC S9(5)V9(3) COMP-3.   * a comment
+  05 FEE         PIC S9(7)V99 COMP-3.
+  05 LANE        PIC X.
+  05 SCAN-CODE   PIC X(06).
 """
 
 
@@ -36,10 +34,10 @@ def encode(spark, f, kind, *values):
 
 
 def test_copybook():
-    layout = Layout.from_copybook(DAILY)
-    assert (layout.lrecl, len(layout.fields)) == (33, 8)
-    assert layout.fields[-1].name == "TYPE_CODE"
-    assert [f.dataType.simpleString() for f in layout.schema] == ["bigint"] * 3 + ["decimal(11,2)"] * 2 + ["bigint", "string", "string"]
+    layout = Layout.from_copybook(PARCELS)
+    assert (layout.lrecl, len(layout.fields)) == (27, 6)
+    assert layout.fields[-1].name == "SCAN_CODE"
+    assert [f.dataType.simpleString() for f in layout.schema] == ["bigint"] * 2 + ["decimal(8,3)", "decimal(9,2)", "string", "string"]
     with pytest.raises(ValueError, match="OCCURS"):
         Layout.from_copybook("05 A PIC X OCCURS 3 TIMES.")
     with pytest.raises(ValueError, match="line 1"):
