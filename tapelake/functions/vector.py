@@ -1,8 +1,8 @@
 """Record bytes to columns and back by whole Arrow batches: the codec of the scans and sinks.
 
 A batch of records is one matrix of bytes, a row for each record.  Integers are views of its columns, packed decimals
-go through tables of nibbles, texts through a table of their charset.  What stays after that (dates out of texts or
-numbers, charsets of several bytes) is left to column expressions over the plain values; see ``codec``.
+go through tables of pairs of digits, texts through a table of their charset.  What stays after that (dates, times and
+numbers out of texts, charsets of several bytes) is left to column expressions over the plain values; see ``codec``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +156,21 @@ def decimals(values: np.ndarray, valid: np.ndarray, digits: int, scale: int) ->
     return pa.Array.from_buffers(pa.decimal128(digits, scale), len(values), [_bits(valid), pa.py_buffer(np.ascontiguousarray(wide))])
 
 
+def days(numbers: np.ndarray, clamp: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(days since 1970, which are dates) of numbers yyyymmdd, of which the first eight digits count; ``clamp`` cuts days to the month's end."""
+    v = numbers.copy()
+    while (v >= 100_000_000).any():
+        v = np.where(v >= 100_000_000, v // 10, v)
+    year, month, day = v // 10_000, v // 100 % 100, v % 100
+    valid = (v > 0) & (year >= 1) & (month >= 1) & (month <= 12) & (day >= 1) & (day <= 31)
+    months = np.where(valid, (year - 1970) * 12 + month - 1, 0).astype("datetime64[M]")
+    first, after = months.astype("datetime64[D]").astype(np.int64), (months + 1).astype("datetime64[D]").astype(np.int64)
+    last = after - first
+    if not clamp:
+        valid &= day <= last
+    return first + np.minimum(day, last) - 1, valid
+
+
 def matrix(records: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(the first ``size`` bytes of each record, padded with zeros; which records are shorter)."""
     n = len(records)
@@ -257,12 +271,15 @@ def lane(spark: SparkSession, f: Field, encoding: str) -> Lane:
     if f.typ in ("INTEGER", "UNSIGNED_INTEGER", "DATE") and f.size <= 8:
         signed = f.typ != "UNSIGNED_INTEGER"
 
-        def number(c: list[Column]) -> codec.Pair:
-            if f.typ == "DATE":
-                return codec.offset_date(c[0])
-            return codec.integer_date(c[0]) if cast == "DATE" else (c[0].cast("string"), codec.ok()) if cast == "STRING" else (c[0], codec.ok())
+        def dated(m: np.ndarray) -> list[pa.Array]:
+            numbers = integers(m[:, :4] if f.typ == "DATE" else m, signed)
+            there = numbers != 0 if f.typ == "DATE" else numbers > 0
+            found, valid = days(numbers + 19_000_000 if f.typ == "DATE" else numbers, clamp=f.typ != "DATE")
+            return [pa.array(found.astype(np.int32), mask=~(there & valid)).cast(pa.date32()), pa.array(there & ~valid)]
 
-        return Lane([T.LongType()], lambda m: [pa.array(integers(m if f.typ != "DATE" else m[:, :4], signed))], number)
+        if f.typ == "DATE" or cast == "DATE":
+            return Lane([T.DateType(), T.BooleanType()], dated, lambda c: (c[0], c[1]))
+        return Lane([T.LongType()], lambda m: [pa.array(integers(m, signed))], lambda c: (c[0].cast("string") if cast == "STRING" else c[0], codec.ok()))
     if f.typ == "DECIMAL":
 
         def read(m: np.ndarray) -> list[pa.Array]:

@@ -35,9 +35,9 @@ def likely(f, random):
         digits = digits if random.random() < 0.3 else ("0" * len(digits) + digits[: f.precision + f.scale])[-len(digits) :]
         return bytes.fromhex(digits + random.choice("cdfb"))
     if f.typ == "DATE":
-        return (random.choice([0, 1200209, 1991231, 1230001]) & 0xFFFFFFFF).to_bytes(4, "big")
+        return (random.choice([0, 1200209, 1991231, 1230001, 1200230, -5, 1 << 30, -18_000_000, 81_001_231, -18_990_000, 2_000_000_000]) & 0xFFFFFFFF).to_bytes(4, "big")
     if f.typ in ("INTEGER", "UNSIGNED_INTEGER"):
-        return (random.choice([0, 1, 20200209, 7]) & ((1 << 8 * f.size) - 1)).to_bytes(f.size, "big")
+        return (random.choice([0, 1, 20200209, 7, 20200231, 99991231, 2_020_020_912, 10101]) & ((1 << 8 * f.size) - 1)).to_bytes(f.size, "big")
     if f.name == "L2":
         return random.choice(["aé ", "日本", "plain ", "  x"]).encode()[: f.size].ljust(f.size, b" ")
     text = random.choice(["20200230", "0000", "12-4", "A[b]^ ", " x", "2020-01-02-03.04.05.678901", "99999999", "é"])
