@@ -5,6 +5,7 @@ A round trip encodes a table's columns to record bytes and decodes them again, s
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,11 @@ def register(sql: str) -> Callable[[Query], Query]:
     return add
 
 
+def fresh() -> str:
+    """A name that no table or view has."""
+    return f"lake_{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -375,15 +381,17 @@ def update_table(spark, sf_dir):
 
 @register("select o_orderpriority, count(*) as n from orders where o_orderstatus = 'F' and o_totalprice > 1000 and o_orderdate >= date '1995-01-01' group by 1")
 def sql_params(spark, sf_dir):
-    table(spark, sf_dir, "orders").createOrReplaceTempView("lake_orders")
-    return sqljob.run_query(spark, "select o_orderpriority, count(*) as n from lake_orders where o_orderstatus = :s and o_totalprice > :p and o_orderdate >= :d group by 1", ["s::F", "p:INT64:1000", "d:DATE:1995-01-01"])
+    view = fresh()
+    table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    return sqljob.run_query(spark, f"select o_orderpriority, count(*) as n from {view} where o_orderstatus = :s and o_totalprice > :p and o_orderdate >= :d group by 1", ["s::F", "p:INT64:1000", "d:DATE:1995-01-01"])
 
 
 @register("select n_name, count(*) as n from customer join nation on c_nationkey = n_nationkey group by 1")
 def sql_script(spark, sf_dir):
-    for name in ("customer", "nation"):
-        table(spark, sf_dir, name).createOrReplaceTempView(f"lake_{name}")
-    return sqljob.run_script(spark, "select 'a;b'; -- a comment; with a mark\n/* another; */ select n_name, count(*) as n from lake_customer join lake_nation on c_nationkey = n_nationkey group by 1;")
+    customer, nation = fresh(), fresh()
+    for name, view in (("customer", customer), ("nation", nation)):
+        table(spark, sf_dir, name).createOrReplaceTempView(view)
+    return sqljob.run_script(spark, f"select 'a;b'; -- a comment; with a mark\n/* another; */ select n_name, count(*) as n from {customer} join {nation} on c_nationkey = n_nationkey group by 1;")
 
 
 @register("select distinct o_orderpriority, o_orderstatus from orders order by 1, 2 limit 7")
@@ -408,5 +416,6 @@ def time_texts(spark, sf_dir):
 @register("select n_name, case when n_regionkey = 0 then 'first' else 'other' end as kind, substring(n_name, 1, 3) as short, cast(n_nationkey as double) as key from nation where n_name is not null")
 def scalar_functions(spark, sf_dir):
     """CASE, SUBSTRING from 0, CAST and WHERE."""
-    table(spark, sf_dir, "nation").createOrReplaceTempView("lake_nation")
-    return sqljob.run_query(spark, "select n_name, case when n_regionkey = 0 then 'first' else 'other' end as kind, substring(n_name, 0, 3) as short, cast(n_nationkey as double) as key from lake_nation where n_name is not null")
+    view = fresh()
+    table(spark, sf_dir, "nation").createOrReplaceTempView(view)
+    return sqljob.run_query(spark, f"select n_name, case when n_regionkey = 0 then 'first' else 'other' end as kind, substring(n_name, 0, 3) as short, cast(n_nationkey as double) as key from {view} where n_name is not null")

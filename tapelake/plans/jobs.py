@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from tapelake.functions.layout import Field, Layout
 from tapelake.operators import merge as merging
 from tapelake.operators import quality, sqljob
-from tapelake.plans.catalog import ORDERS, money, orders_rows, register, table
-from tapelake.plans.loads import fresh
+from tapelake.plans.catalog import ORDERS, fresh, money, orders_rows, register, table
 from tapelake.session import scratch
 from tapelake.sources import generate, records, tables
 

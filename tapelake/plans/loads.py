@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,15 +9,11 @@ from pyspark.sql import functions as F
 
 from tapelake.operators import merge as merging
 from tapelake.operators import quality, sqljob
-from tapelake.plans.catalog import money, orders_rows, register, table
+from tapelake.plans.catalog import fresh, money, orders_rows, register, table
 from tapelake.session import scratch
 from tapelake.sources import tables
 
 
-def fresh() -> str:
-    return f"lake_{uuid.uuid4().hex}"
-
-
 @register("select p_brand, count(*) as n from part group by 1")
 def load_parquet(spark, sf_dir):
     path = scratch(spark)
