@@ -26,7 +26,7 @@ DIMENSIONS, TRIGRAMS, BUCKETS, NONZERO = 96, 1 << 14, 1 << 13, 6
 #: Neighbours on each side that make a context.
 REACH = 2
 #: Words a worker keeps vectors of; common words come early.
-CACHE = 200_000
+CACHE = 100_000
 #: Words pooled in one step, so that long texts take no more memory than short ones.
 STRIDE = 1 << 14
 #: Labelled rows at most that the classifier is fitted on.
