@@ -175,17 +175,16 @@ def _bound(spark: SparkSession, plan, args: dict | list):
         return plan
     analysis = spark._jvm.org.apache.spark.sql.catalyst.analysis
     parse = spark._jsparkSession.sessionState().sqlParser().parseExpression
-    to_seq = lambda values: spark._jvm.PythonUtils.toSeq(_java_list(spark, values))
-    values = to_seq(parse(_literal(v)) for v in (args.values() if isinstance(args, dict) else args))
-    query = analysis.NameParameterizedQuery(plan, to_seq(args), values) if isinstance(args, dict) else analysis.PosParameterizedQuery(plan, values)
+    values = _to_seq(spark, [parse(_literal(v)) for v in (args.values() if isinstance(args, dict) else args)])
+    query = analysis.NameParameterizedQuery(plan, _to_seq(spark, list(args)), values) if isinstance(args, dict) else analysis.PosParameterizedQuery(plan, values)
     return analysis.BindParameters.apply(query)
 
 
-def _java_list(spark: SparkSession, values):
+def _to_seq(spark: SparkSession, values: list):
     out = spark._jvm.java.util.ArrayList()
     for v in values:
         out.add(v)
-    return out
+    return spark._jvm.PythonUtils.toSeq(out)
 
 
 def _frame(spark: SparkSession, plan) -> DataFrame:
