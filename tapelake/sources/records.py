@@ -22,6 +22,8 @@ from tapelake.operators import quality
 
 #: Bytes that one range of a file and one task cover, and schemes that Arrow has clients for.
 RANGE, TASK = 16 << 20, 128 << 20
+#: Bytes of a range that are read and handed on together: a worker holds one such piece and not a range in several copies.
+READ = 1 << 20
 GZIP = b"\x1f\x8b"
 CLIENTS = ("file", "s3", "gs", "abfs", "abfss")
 #: Bytes of an export part that a sink buffers before it writes.
@@ -288,6 +290,14 @@ def ranges(spark: SparkSession, path: str | list[str], lrecl: int, *, most: int
     return placed.repartitionById(tasks, "slot").drop("slot").sortWithinPartitions("number")
 
 
+def _pieces(opened: pa.NativeFile, lrecl: int, left: int) -> Iterator[pa.RecordBatch]:
+    """Records of the next ``left`` bytes, READ bytes or one record at a time; shorter only at the file's end."""
+    piece = max(1, READ // lrecl) * lrecl
+    while left > 0 and (block := opened.read(min(piece, left))):
+        left -= len(block)
+        yield cut_records(block, lrecl)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], lrecl: int) -> Iterator[tuple[str, int, int, Iterator[pa.RecordBatch]]]:
     """(path, first record, records to take, records) of each range."""
     for batch in batches:
@@ -298,7 +308,7 @@ def blocks(batches: Iterator[pa.RecordBatch], lrecl: int) -> Iterator[tuple[str,
             fs, at = _fs(file)
             with fs.open_input_file(at) as opened:
                 opened.seek(start)
-                yield file, start // lrecl, take, iter([cut_records(opened.read(size if take < 0 else min(size, take * lrecl)), lrecl)])
+                yield file, start // lrecl, take, _pieces(opened, lrecl, size if take < 0 else min(size, take * lrecl))
 
 
 def ranged_records(spark: SparkSession, path: str | list[str], lrecl: int, numbered: bool = False, **options) -> DataFrame:

@@ -299,6 +299,28 @@ def test_a_used_target_is_refused_or_replaced(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["data", "data.lrecl"]
 
 
+def test_a_range_is_handed_on_in_pieces(tmp_path):
+    """A worker holds about a megabyte of a range, whole records in order, whatever the range's size."""
+    import pyarrow as pa
+
+    size, lrecl = 3_000_017, 40
+    data = bytes(range(251)) * (size // 251 + 1)
+    (tmp_path / "in").write_bytes(data[:size])
+
+    def run(start, length, take, lrecl=lrecl):
+        row = pa.RecordBatch.from_pydict({"path": [str(tmp_path / "in")], "start": [start], "size": [length], "take": [take], "number": [0]})
+        ((_, first, n, found),) = ((file, first, n, list(found)) for file, first, n, found in records.blocks(iter([row]), lrecl))
+        assert (first, n) == (start // lrecl, take)
+        assert max(b.nbytes for b in found) < 3 << 19 or lrecl > 1 << 20
+        return [bytes(r) for b in found for r in b.column(0).to_pylist()]
+
+    cut = lambda start, end, lrecl=lrecl: [data[i : min(i + lrecl, end)] for i in range(start, end, lrecl)]
+    assert run(0, 16 << 20, -1) == cut(0, size)
+    assert run(400, 2_000_000, -1) == cut(400, 2_000_400)
+    assert run(400, 2_000_000, 30_000) == cut(400, 1_200_400)
+    assert run(0, 6_000_000, -1, 2_000_000) == cut(0, size, 2_000_000)
+
+
 # Malformed rows and partition filters
 
 
