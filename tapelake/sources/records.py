@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapelake.functions import codec, vector
 from tapelake.functions.layout import Layout
@@ -83,6 +84,15 @@ def files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where(~F.endswith("path", F.lit(SIDECAR)))
 
 
+def _few(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver's as a relation of Spark's own; from a plain list executors would start more Python workers to unpickle them."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    columns = zip(*rows, strict=True) if rows else [()] * len(arrow)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow))
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     fs, at = _hadoop(spark, path)
     return fs.makeQualified(at).toString().rstrip("/")
@@ -160,7 +170,7 @@ def _packed_files(spark: SparkSession, found: list[tuple[str, int]], compression
 
     unnamed = [(p,) for p, _ in found if not p.lower().endswith(".gz")]
     tasks = min(len(unnamed), 4 * spark.sparkContext.defaultParallelism)
-    told = spark.createDataFrame(unnamed, "path string").repartition(tasks).mapInArrow(look, "path string").collect() if unnamed else []
+    told = _few(spark, unnamed, "path string").repartition(tasks).mapInArrow(look, "path string").collect() if unnamed else []
     return {p for p, _ in found if p.lower().endswith(".gz")} | {r["path"] for r in told}
 
 
@@ -177,7 +187,7 @@ def _held(spark: SparkSession, files_: list[str], lrecl: int, most: int) -> list
                         break
                 yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([min(n, most)], pa.int64())], names=["path", "n"])
 
-    told = dict(spark.createDataFrame([(f,) for f in files_], "path string").repartition(len(files_)).mapInArrow(count, "path string, n long").collect())
+    told = dict(_few(spark, [(f,) for f in files_], "path string").repartition(len(files_)).mapInArrow(count, "path string, n long").collect())
     return [told[f] for f in files_]
 
 
@@ -281,7 +291,7 @@ def ranges(spark: SparkSession, path: str | list[str], lrecl: int, *, most: int
         rows.append((file, file in packed, used, take, many, number, offset))
         number, offset = number + many, offset + used
     tasks = max(1, min(number, max(spark.sparkContext.defaultParallelism, -(-offset // TASK))))
-    held = spark.createDataFrame(rows, "path string, packed boolean, used long, take long, many long, first long, offset long")
+    held = _few(spark, rows, "path string, packed boolean, used long, take long, many long, first long, offset long")
     each = held.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)))
     start = F.col("i") * step
     left = F.when(F.col("packed") | (F.col("take") < 0), F.col("take")).otherwise(F.least(F.lit(step // lrecl).cast("long"), F.col("take") - F.col("i") * (step // lrecl)))
@@ -562,7 +572,7 @@ def compose(spark: SparkSession, path: str, target: str) -> int:
         yield from ()
 
     if parts:
-        rows = spark.createDataFrame([(p, s) for (p, _), s in zip(parts, starts, strict=False)], "part string, start long")
+        rows = _few(spark, [(p, s) for (p, _), s in zip(parts, starts, strict=False)], "part string, start long")
         spread = rows.repartition(min(len(parts), 4 * spark.sparkContext.defaultParallelism)) if local else rows.coalesce(1).sortWithinPartitions("start")
         spread.mapInArrow(run, "part string").write.format("noop").mode("overwrite").save()
     return starts[-1]

@@ -321,6 +321,16 @@ def test_a_range_is_handed_on_in_pieces(tmp_path):
     assert run(0, 6_000_000, -1, 2_000_000) == cut(0, size, 2_000_000)
 
 
+def test_ranges_come_without_python_workers(spark, tmp_path):
+    """Only what reads records runs in Python; workers that unpickle the driver's list would stay beside it in memory."""
+    (tmp_path / "in").write_bytes(b"0123456789" * 100)
+    for options in ({}, {"most": 30}):
+        made = records.ranges(spark, str(tmp_path), 10, range_bytes=100, **options)
+        assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["start"], r["take"]) for r in made.collect()) == ([(100 * i, -1) for i in range(10)] if not options else [(100 * i, 10) for i in range(3)])
+    assert records.ranges(spark, str(tmp_path), 10, most=0).collect() == []
+
+
 # Malformed rows and partition filters
 
 
